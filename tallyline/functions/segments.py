@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.words import div
-
 WIDTH_CONF = "tallyline.segment.width"
 ROWS_CONF = "tallyline.segment.rows"
 DEFAULT_ROWS = 1_000_000
@@ -30,8 +28,8 @@ class Segments:
     start: int
     width: int
 
-    def of(self, block: Column) -> Column:
-        return div(block - F.lit(self.start), self.width)
+    def of(self, block: str = "block") -> Column:
+        return F.expr(f"({block} - {self.start}) div {self.width}")
 
 
 def plan_segments(source: DataFrame, block: str = "block") -> Segments:

@@ -1,276 +1,243 @@
 """Exact 256-bit integers as 32-byte big-endian two's complement words.
 
-Every helper is a pure column expression.  Sums run on eight unsigned 32-bit
+Every helper takes SQL fragments (usually a column name) and returns a SQL
+fragment for ``F.expr``: one parse per expression instead of hundreds of
+Column objects.  All of it runs in the JVM.  Sums run on eight unsigned 32-bit
 limbs held in BIGINTs, so one partial sum may take 2^31 rows before it is
 folded back into a word; arithmetic is modulo 2^256.
+
+A value used more than once is bound with :func:`let`, which keeps the plan and
+the generated code small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 LIMBS = 8
-_LOW32 = 0xFFFFFFFF
-_CHUNK = 1_000_000_000  # nine decimal digits, the text conversion base
+_LOW32 = 4294967295
+_CHUNK = 1000000000  # nine decimal digits, the text conversion base
 _CHUNKS = 9  # 81 digits hold any 256-bit value
+_NONE = "CAST(array() AS ARRAY<BIGINT>)"
 
 
-def div(a: Column, b) -> Column:
-    """Integer division of BIGINTs, truncating toward zero."""
-    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
+def let(value: str, name: str, body: str) -> str:
+    """Bind ``value`` once as ``name`` for use in ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def hex_to_bigint(h: Column) -> Column:
+def hex_to_bigint(h: str) -> str:
     """Up to 15 hex digits as a non-negative BIGINT."""
-    return F.conv(h, 16, 10).cast("bigint")
+    return f"CAST(conv({h}, 16, 10) AS BIGINT)"
 
 
-def bytes_to_bigint(b: Column, start: int, length: int) -> Column:
+def bytes_to_bigint(b: str, start: int, length: int) -> str:
     """Unsigned value of ``length`` bytes (at most 7) from 1-based ``start``."""
-    return hex_to_bigint(F.hex(F.substring(b, start, length)))
+    return hex_to_bigint(f"hex(substring({b}, {start}, {length}))")
 
 
-def word_at(data: Column, index: int) -> Column:
+def word_at(data: str, index: int) -> str:
     """The ``index``-th 32-byte word of ABI-encoded data."""
-    return F.substring(data, 32 * index + 1, 32)
+    return f"substring({data}, {32 * index + 1}, 32)"
 
 
-def bigint_to_word(c: Column) -> Column:
+def bigint_to_word(c: str) -> str:
     """Sign-extend a BIGINT to a word."""
-    return F.unhex(F.when(c < 0, F.lpad(F.hex(c), 64, "F")).otherwise(F.lpad(F.hex(c), 64, "0")))
+    return f"unhex(lpad(hex({c}), 64, IF({c} < 0, 'F', '0')))"
 
 
-def zero_word() -> Column:
-    return F.unhex(F.lit("0" * 64))
+def zero_word() -> str:
+    return f"X'{'0' * 64}'"
 
 
-def is_negative(word: Column) -> Column:
-    return F.substring(F.hex(word), 1, 1) >= "8"
+def is_negative(word: str) -> str:
+    return f"(substring(hex({word}), 1, 1) >= '8')"
 
 
-def fits_bigint(word: Column) -> Column:
-    h = F.hex(word)
-    sign = F.substring(h, 49, 1)
-    top = F.substring(h, 1, 48)
-    return (F.octet_length(word) == 32) & (
-        ((top == "0" * 48) & (sign < "8")) | ((top == "F" * 48) & (sign >= "8"))
+def fits_bigint(word: str) -> str:
+    zeros, ones = "0" * 48, "F" * 48
+    return let(
+        f"hex({word})",
+        "_f",
+        f"length(_f) = 64 AND CASE substring(_f, 1, 48) WHEN '{zeros}' THEN "
+        f"substring(_f, 49, 1) < '8' WHEN '{ones}' THEN substring(_f, 49, 1) >= '8' "
+        "ELSE false END",
     )
 
 
-def word_to_bigint(word: Column) -> Column:
+def word_to_bigint(word: str) -> str:
     """The word as BIGINT; NULL when it needs more than 64 bits."""
-    high = bytes_to_bigint(word, 25, 4)
-    high = F.when(high >= 2**31, high - 2**32).otherwise(high)
-    return F.when(fits_bigint(word), high * F.lit(2**32) + bytes_to_bigint(word, 29, 4))
+    high, low = hex_to_bigint("substring(_b, 49, 8)"), hex_to_bigint("substring(_b, 57, 8)")
+    zeros, ones = "0" * 48, "F" * 48
+    return let(
+        f"hex({word})",
+        "_b",
+        f"CASE WHEN length(_b) <> 64 THEN NULL "
+        f"WHEN substring(_b, 1, 48) = '{zeros}' AND substring(_b, 49, 1) < '8' "
+        f"THEN {high} * {2**32} + {low} "
+        f"WHEN substring(_b, 1, 48) = '{ones}' AND substring(_b, 49, 1) >= '8' "
+        f"THEN ({high} - {2**32}) * {2**32} + {low} END",
+    )
 
 
-def signed_word(word: Column, bits: int) -> Column:
-    """An intN (N <= 64) ABI word as BIGINT; NULL when not a clean N-bit value."""
-    v = word_to_bigint(word)
-    if bits >= 64:
-        return v
-    return F.when(v.between(-(2 ** (bits - 1)), 2 ** (bits - 1) - 1), v)
+def signed_word(word: str, bits: int) -> str:
+    """An intN (N < 64) ABI word as BIGINT; NULL when not a clean N-bit value."""
+    low, high = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
+    return let(word_to_bigint(word), "_s", f"IF(_s BETWEEN {low} AND {high}, _s, NULL)")
 
 
-def unsigned_word(word: Column, bits: int) -> Column:
+def unsigned_word(word: str, bits: int) -> str:
     """A uintN (N < 64) ABI word as BIGINT; NULL when not a clean N-bit value."""
-    v = word_to_bigint(word)
-    return F.when(v.between(0, 2**bits - 1), v)
+    return let(word_to_bigint(word), "_s", f"IF(_s BETWEEN 0 AND {2**bits - 1}, _s, NULL)")
 
 
-def low_bytes(word: Column, count: int) -> Column:
+def low_bytes(word: str, count: int) -> str:
     """The last ``count`` bytes of a word (an address is the last 20)."""
-    return F.substring(word, 33 - count, count)
+    return f"substring({word}, {33 - count}, {count})"
 
 
-def let(value: Column, body) -> Column:
-    """Bind ``value`` once and use it many times in ``body``.
-
-    Word expressions repeat their input often; binding keeps both the plan and
-    the generated code small.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
-def limbs(word: Column) -> list[Column]:
-    """Eight unsigned limbs as separate columns, least significant first."""
+def limbs(word: str) -> list[str]:
+    """Eight unsigned limbs as separate fragments, least significant first."""
     return [bytes_to_bigint(word, 29 - 4 * i, 4) for i in range(LIMBS)]
 
 
-def limb_array(word: Column) -> Column:
+def limb_array(word: str) -> str:
     """The same limbs as one array."""
-    return let(
-        F.hex(word),
-        lambda h: F.array(*[hex_to_bigint(F.substring(h, 57 - 8 * i, 8)) for i in range(LIMBS)]),
-    )
+    parts = [hex_to_bigint(f"substring(_l, {57 - 8 * i}, 8)") for i in range(LIMBS)]
+    return let(f"hex({word})", "_l", f"array({', '.join(parts)})")
 
 
-def pack(parts: Column, carry: int = 0) -> Column:
+def pack(parts: str, carry: int = 0) -> str:
     """Propagate carries through an array of non-negative limbs, modulo 2^256."""
-
-    def step(state: Column, limb: Column) -> Column:
-        total = limb + state["carry"]
-        low = F.lpad(F.hex(total.bitwiseAND(F.lit(_LOW32))), 8, "0")
-        return F.struct(
-            F.shiftright(total, 32).alias("carry"), F.concat(low, state["out"]).alias("out")
-        )
-
-    start = F.struct(F.lit(carry).cast("bigint").alias("carry"), F.lit("").alias("out"))
-    return F.aggregate(parts, start, step, lambda s: F.unhex(s["out"]))
+    total = "(_x + _c.carry)"
+    return (
+        f"aggregate({parts}, named_struct('carry', {carry}L, 'out', ''), (_c, _x) -> "
+        f"named_struct('carry', shiftright({total}, 32), "
+        f"'out', concat(lpad(hex({total} & {_LOW32}), 8, '0'), _c.out)), _c -> unhex(_c.out))"
+    )
 
 
-def limbs_to_word(parts: list[Column]) -> Column:
-    """Pack limb columns; NULL limbs give a NULL word."""
-    return F.when(parts[0].isNotNull(), pack(F.array(*parts)))
+def limbs_to_word(parts: list[str]) -> str:
+    """Pack limb fragments; NULL limbs give a NULL word."""
+    return let(f"array({', '.join(parts)})", "_y", f"IF(_y[0] IS NULL, NULL, {pack('_y')})")
 
 
-def word_add(a: Column, b: Column) -> Column:
-    return pack(F.zip_with(limb_array(a), limb_array(b), lambda x, y: x + y))
+def word_add(a: str, b: str) -> str:
+    return pack(f"zip_with({limb_array(a)}, {limb_array(b)}, (_p, _q) -> _p + _q)")
 
 
-def word_negate(a: Column) -> Column:
-    return pack(F.transform(limb_array(a), lambda x: F.lit(_LOW32) - x), carry=1)
+def word_negate(a: str) -> str:
+    return pack(f"transform({limb_array(a)}, _p -> {_LOW32} - _p)", carry=1)
 
 
-def word_sub(a: Column, b: Column) -> Column:
+def word_sub(a: str, b: str) -> str:
     return pack(
-        F.zip_with(limb_array(a), limb_array(b), lambda x, y: x + F.lit(_LOW32) - y), carry=1
+        f"zip_with({limb_array(a)}, {limb_array(b)}, (_p, _q) -> _p + {_LOW32} - _q)", carry=1
     )
 
 
-def minimal_signed_bytes(word: Column) -> Column:
+def minimal_signed_bytes(word: str) -> str:
     """Shortest big-endian two's complement; absent (NULL) becomes empty bytes."""
-    h = F.hex(word)
-    short = F.when(
-        is_negative(word), F.regexp_replace(h, "^(FF)+(?=[89A-F].)", "")
-    ).otherwise(F.regexp_replace(h, "^(00)+(?=[0-7].)", ""))
-    return F.coalesce(F.unhex(short), F.unhex(F.lit("")))
+    return (
+        "coalesce(unhex("
+        + let(
+            f"hex({word})",
+            "_h",
+            "IF(_h >= '8', regexp_replace(_h, '^(FF)+(?=[89A-F].)', ''), "
+            "regexp_replace(_h, '^(00)+(?=[0-7].)', ''))",
+        )
+        + "), X'')"
+    )
 
 
-def signed_bytes_to_word(b: Column) -> Column:
+def signed_bytes_to_word(b: str) -> str:
     """Inverse of :func:`minimal_signed_bytes`; empty bytes are absent (NULL)."""
-    h = F.hex(b)
-    pad = F.when(F.substring(h, 1, 1) >= "8", F.lit("F")).otherwise(F.lit("0"))
-    return F.when(
-        F.octet_length(b) > 0, F.unhex(F.concat(F.repeat(pad, F.lit(64) - F.length(h)), h))
+    return let(
+        f"hex({b})", "_h", "IF(length(_h) > 0, unhex(lpad(_h, 64, IF(_h >= '8', 'F', '0'))), NULL)"
     )
 
 
-def _chunks_of_magnitude(word: Column) -> Column:
-    """Base 10^9 chunks, least significant first, by long multiplication."""
-
-    def shift_in(acc: Column, limb: Column) -> Column:
-        def ripple(state: Column, chunk: Column) -> Column:
-            total = chunk * F.lit(2**32) + state["carry"]
-            return F.struct(
-                div(total, _CHUNK).alias("carry"),
-                F.concat(state["out"], F.array(total % _CHUNK)).alias("out"),
-            )
-
-        start = F.struct(limb.alias("carry"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(acc, start, ripple, lambda s: s["out"])
-
-    zeros = F.array(*[F.lit(0).cast("bigint")] * _CHUNKS)
-    return F.aggregate(F.reverse(limb_array(word)), zeros, shift_in)
-
-
-def _long_text(magnitude: Column) -> Column:
-    """Decimal text of any unsigned word."""
-    padded = F.array_join(
-        F.transform(
-            F.reverse(_chunks_of_magnitude(magnitude)),
-            lambda c: F.lpad(c.cast("string"), 9, "0"),
-        ),
-        "",
+def _long_text(magnitude: str) -> str:
+    """Decimal text of any unsigned word, by long multiplication in base 10^9."""
+    total = f"(_d * {2**32} + _r.carry)"
+    ripple = (
+        f"aggregate(_a, named_struct('carry', _i, 'out', {_NONE}), (_r, _d) -> "
+        f"named_struct('carry', {total} div {_CHUNK}, "
+        f"'out', concat(_r.out, array({total} % {_CHUNK}))), _r -> _r.out)"
+    )
+    zeros = f"array_repeat(0L, {_CHUNKS})"
+    chunks = f"aggregate(reverse({limb_array(magnitude)}), {zeros}, (_a, _i) -> {ripple})"
+    padded = (
+        f"array_join(transform(reverse({chunks}), _k -> lpad(CAST(_k AS STRING), 9, '0')), '')"
     )
-    return F.regexp_replace(padded, "^0+(?=.)", "")
+    return f"regexp_replace({padded}, '^0+(?=.)', '')"
 
 
-def _magnitude_text(magnitude: Column) -> Column:
+def _magnitude_text(magnitude: str) -> str:
     """Decimal text of an unsigned word; up to 120 bits take the cheap branch."""
-
-    def medium(h: Column) -> Column:
-        high = hex_to_bigint(F.substring(h, 35, 15)).cast("decimal(19,0)")
-        low = hex_to_bigint(F.substring(h, 50, 15)).cast("decimal(19,0)")
-        return (high * F.lit(2**60).cast("decimal(19,0)") + low).cast("string")
-
-    def text(m: Column) -> Column:
-        return F.when(F.substring(F.hex(m), 1, 34) == "0" * 34, medium(F.hex(m))).otherwise(
-            _long_text(m)
-        )
-
-    return let(magnitude, text)
+    high, low = hex_to_bigint("substring(_g, 35, 15)"), hex_to_bigint("substring(_g, 50, 15)")
+    medium = (
+        f"CAST(CAST({high} AS DECIMAL(19,0)) * CAST({2**60} AS DECIMAL(19,0)) "
+        f"+ CAST({low} AS DECIMAL(19,0)) AS STRING)"
+    )
+    small = let("hex(_m)", "_g", f"IF(substring(_g, 1, 34) = '{'0' * 34}', {medium}, NULL)")
+    return let(magnitude, "_m", f"coalesce({small}, {_long_text('_m')})")
 
 
-def word_text(word: Column) -> Column:
+def word_text(word: str) -> str:
     """Signed decimal text; 64-bit values take the cheapest branch."""
-
-    def text(w: Column) -> Column:
-        return (
-            F.when(w.isNull(), F.lit(None).cast("string"))
-            .when(fits_bigint(w), word_to_bigint(w).cast("string"))
-            .when(is_negative(w), F.concat(F.lit("-"), _magnitude_text(word_negate(w))))
-            .otherwise(_magnitude_text(w))
-        )
-
-    return let(word, text)
+    return let(
+        word,
+        "_w",
+        "CASE WHEN _w IS NULL THEN NULL "
+        f"WHEN {fits_bigint('_w')} THEN CAST({word_to_bigint('_w')} AS STRING) "
+        f"WHEN {is_negative('_w')} THEN concat('-', {_magnitude_text(word_negate('_w'))}) "
+        f"ELSE {_magnitude_text('_w')} END",
+    )
 
 
-def unsigned_word_text(word: Column) -> Column:
+def unsigned_word_text(word: str) -> str:
     """Decimal text of an unsigned word (uint256)."""
-    return F.when(word.isNotNull(), _magnitude_text(word))
+    return let(word, "_w", f"IF(_w IS NULL, NULL, {_magnitude_text('_w')})")
 
 
-def is_integer_text(text: Column) -> Column:
-    return text.rlike("^[+-]?[0-9]+$")
+def _text_magnitude(digits: str) -> str:
+    """Hex of ten limbs, two more than a word, so an overflow stays visible."""
+    chunks = ", ".join(
+        f"CAST(substring(_z, {9 * i + 1}, 9) AS BIGINT)" for i in range(_CHUNKS)
+    )
+    total = f"(_d * {_CHUNK} + _r.carry)"
+    ripple = (
+        f"aggregate(_a, named_struct('carry', _i, 'out', {_NONE}), (_r, _d) -> "
+        f"named_struct('carry', shiftright({total}, 32), "
+        f"'out', concat(_r.out, array({total} & {_LOW32}))), _r -> _r.out)"
+    )
+    parts = f"aggregate(array({chunks}), array_repeat(0L, {LIMBS + 2}), (_a, _i) -> {ripple})"
+    packed = f"array_join(transform(reverse({parts}), _k -> lpad(hex(_k), 8, '0')), '')"
+    return let(f"lpad({digits}, {9 * _CHUNKS}, '0')", "_z", packed)
 
 
-def text_to_word(text: Column) -> Column:
+def text_to_word(text: str) -> str:
     """Decimal text to a word; NULL when it is not an integer or exceeds int256."""
-    negative = F.substring(text, 1, 1) == "-"
-    digits = F.regexp_replace(F.regexp_replace(text, "^[+-]", ""), "^0+(?=.)", "")
-    padded = F.lpad(digits, 9 * _CHUNKS, "0")
-    chunks = F.array(
-        *[F.substring(padded, 9 * i + 1, 9).cast("bigint") for i in range(_CHUNKS)]
+    magnitude = "unhex(substring(_h, 17, 64))"
+    lowest = f"(_t LIKE '-%' AND substring(_h, 17, 64) = '8{'0' * 63}')"
+    wide = let(
+        _text_magnitude("_n"),
+        "_h",
+        f"CASE WHEN substring(_h, 1, 16) <> '{'0' * 16}' THEN NULL "
+        f"WHEN substring(_h, 17, 1) >= '8' AND NOT {lowest} THEN NULL "
+        f"WHEN _t LIKE '-%' THEN {word_negate(magnitude)} ELSE {magnitude} END",
     )
-
-    def shift_in(acc: Column, chunk: Column) -> Column:
-        def ripple(state: Column, limb: Column) -> Column:
-            total = limb * F.lit(_CHUNK) + state["carry"]
-            return F.struct(
-                F.shiftright(total, 32).alias("carry"),
-                F.concat(state["out"], F.array(total.bitwiseAND(F.lit(_LOW32)))).alias("out"),
-            )
-
-        start = F.struct(chunk.alias("carry"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(acc, start, ripple, lambda s: s["out"])
-
-    # Two limbs more than a word holds, so an overflow stays visible.
-    zeros = F.array(*[F.lit(0).cast("bigint")] * (LIMBS + 2))
-    packed = F.array_join(
-        F.transform(
-            F.reverse(F.aggregate(chunks, zeros, shift_in)), lambda x: F.lpad(F.hex(x), 8, "0")
-        ),
-        "",
+    small = let(
+        "IF(_t LIKE '-%', -CAST(_n AS BIGINT), CAST(_n AS BIGINT))", "_v", bigint_to_word("_v")
     )
-
-    def signed(h: Column) -> Column:
-        magnitude = F.unhex(F.substring(h, 17, 64))
-        lowest = negative & (F.substring(h, 17, 64) == "8" + "0" * 63)
-        in_range = (F.substring(h, 1, 16) == "0" * 16) & (
-            (F.substring(h, 17, 1) < "8") | lowest
-        )
-        return F.when(in_range & negative, word_negate(magnitude)).when(in_range, magnitude)
-
-    wide = let(packed, signed)
-    small = digits.cast("bigint")
-    return F.when(
-        is_integer_text(text) & (F.length(digits) <= 18),
-        bigint_to_word(F.when(negative, -small).otherwise(small)),
-    ).when(is_integer_text(text) & (F.length(digits) <= 9 * _CHUNKS), wide)
+    by_size = let(
+        "regexp_extract(_t, '^[+-]?0*([0-9]+)$', 1)",
+        "_n",
+        f"CASE WHEN length(_n) <= 18 THEN {small} "
+        f"WHEN length(_n) <= {9 * _CHUNKS} THEN {wide} END",
+    )
+    return let(text, "_t", f"IF(_t RLIKE '^[+-]?[0-9]+$', {by_size}, NULL)")
 
 
-def hex_key(b: Column) -> Column:
+def hex_key(b: str) -> str:
     """``0x`` and lowercase hex of a byte column."""
-    return F.concat(F.lit("0x"), F.lower(F.hex(b)))
+    return f"concat('0x', lower(hex({b})))"

@@ -9,6 +9,7 @@ means the state does not exist yet.  The plan is a two-level scan:
 3. a join on (keys, segment) that adds the carried value.
 
 A key that holds a third of all rows is thus spread over all its segments.
+Expressions are SQL fragments, see :mod:`tallyline.functions.words`.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import words as W
@@ -25,45 +26,72 @@ SEGMENT = "segment"
 ORDER = ("block", "ordinal")
 
 
+def rows_upto(partition: Sequence[str], order: Sequence[str]) -> str:
+    """Window over the partition's rows up to and including the current one."""
+    return _window(partition, order) + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def rows_before(partition: Sequence[str], order: Sequence[str]) -> str:
+    """Window over the partition's strictly earlier rows."""
+    return _window(partition, order) + " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _window(partition: Sequence[str], order: Sequence[str]) -> str:
+    by = f"PARTITION BY {', '.join(partition)} " if partition else ""
+    return f"{by}ORDER BY {', '.join(order)}"
+
+
+def last_over(value: str, window: str) -> str:
+    return f"last({value}, true) OVER ({window})"
+
+
 class Narrow:
     """BIGINT amounts."""
 
     @staticmethod
-    def over(value: Column, window: WindowSpec) -> Column:
-        return F.sum(value).over(window)
+    def total(value: str) -> str:
+        return f"sum({value})"
+
+    @staticmethod
+    def over(value: str, window: str) -> str:
+        return f"sum({value}) OVER ({window})"
 
     @staticmethod
-    def total(value: Column) -> Column:
-        return F.sum(value)
+    def add(a: str, b: str) -> str:
+        return f"({a} + {b})"
 
     @staticmethod
-    def add(a: Column, b: Column) -> Column:
-        return a + b
+    def sub(a: str, b: str) -> str:
+        return f"({a} - {b})"
 
     @staticmethod
-    def sub(a: Column, b: Column) -> Column:
-        return a - b
+    def negate(a: str) -> str:
+        return f"(-{a})"
 
 
 class Wide:
     """32-byte word amounts, summed limb by limb modulo 2^256."""
 
     @staticmethod
-    def over(value: Column, window: WindowSpec) -> Column:
-        return W.limbs_to_word([F.sum(x).over(window) for x in W.limbs(value)])
+    def total(value: str) -> str:
+        return W.limbs_to_word([f"sum({x})" for x in W.limbs(value)])
 
     @staticmethod
-    def total(value: Column) -> Column:
-        return W.limbs_to_word([F.sum(x) for x in W.limbs(value)])
+    def over(value: str, window: str) -> str:
+        return W.limbs_to_word([f"sum({x}) OVER ({window})" for x in W.limbs(value)])
 
     @staticmethod
-    def add(a: Column, b: Column) -> Column:
+    def add(a: str, b: str) -> str:
         return W.word_add(a, b)
 
     @staticmethod
-    def sub(a: Column, b: Column) -> Column:
+    def sub(a: str, b: str) -> str:
         return W.word_sub(a, b)
 
+    @staticmethod
+    def negate(a: str) -> str:
+        return W.word_negate(a)
+
 
 @dataclass(frozen=True)
 class Put:
@@ -82,25 +110,14 @@ class Tally:
     lane: type = Narrow
 
 
-def _lane_plus(lane: type, a: Column, b: Column) -> Column:
+def plus(lane: type, a: str, b: str) -> str:
     """Sum of two nullable amounts; NULL only if both are."""
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(lane.add(a, b))
-
-
-def upto(partition: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return (
-        Window.partitionBy(*partition)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    return f"CASE WHEN {a} IS NULL THEN {b} WHEN {b} IS NULL THEN {a} ELSE {lane.add(a, b)} END"
 
 
-def prior(partition: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return (
-        Window.partitionBy(*partition)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add columns given as SQL fragments."""
+    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
 
 
 def fold(
@@ -111,44 +128,46 @@ def fold(
 ) -> DataFrame:
     """Add before/after columns of SET and ADD states to a segmented ledger."""
     group = [*keys, SEGMENT]
-    now, past = upto(group, order), prior(group, order)
-    position = F.struct(*[F.col(c) for c in order])
+    now, past = rows_upto(group, order), rows_before(group, order)
+    incoming = rows_before(keys, [SEGMENT])
+    position = f"struct({', '.join(order)})"
 
-    totals, carries, local, seen, before, after = [], [], [], [], [], []
+    totals, carries, local, own_before, out = [], [], {}, {}, {}
     for s in states:
-        own, carry = f"_{s.name}_own", f"_{s.name}_carry"
-        incoming = prior(keys, [SEGMENT])
+        total, carry = f"_{s.name}_total", f"_{s.name}_carry"
+        before, after, seen = f"_{s.name}_b", f"_{s.name}_a", f"_{s.name}_n"
         if isinstance(s, Put):
-            v = F.col(s.value)
-            totals.append(F.max_by(v, F.when(v.isNotNull(), position)).alias(own))
-            carries.append(F.last(own, ignorenulls=True).over(incoming).alias(carry))
-            local += [
-                F.last(v, ignorenulls=True).over(past).alias(f"{own}_b"),
-                F.last(v, ignorenulls=True).over(now).alias(f"{own}_a"),
-            ]
-            before.append(F.coalesce(f"{own}_b", carry).alias(f"{s.name}_before"))
-            after.append(F.coalesce(f"{own}_a", carry).alias(f"{s.name}_after"))
+            v = s.value
+            totals.append(f"max_by({v}, IF({v} IS NULL, NULL, {position})) AS {total}")
+            carries.append(f"{last_over(total, incoming)} AS {carry}")
+            local[before], local[after] = last_over(v, past), last_over(v, now)
+            out[f"{s.name}_before"] = f"coalesce({before}, {carry})"
+            out[f"{s.name}_after"] = f"coalesce({after}, {carry})"
         else:
-            v = F.col(s.amount)
-            totals.append(s.lane.total(v).alias(own))
-            carries.append(s.lane.over(F.col(own), incoming).alias(carry))
-            local.append(s.lane.over(v, now).alias(f"{own}_a"))
+            v = s.amount
+            totals.append(f"{s.lane.total(v)} AS {total}")
+            carries.append(f"{s.lane.over(total, incoming)} AS {carry}")
             # A second frame would sum everything twice: the earlier value is
             # this one less the row's own amount, if any earlier row has one.
-            local.append(F.count(v).over(past).alias(f"{own}_n"))
-            a, n, c = F.col(f"{own}_a"), F.col(f"{own}_n"), F.col(carry)
-            seen.append(
-                F.when(v.isNull(), a).when(n > 0, s.lane.sub(a, v)).alias(f"{own}_b")
+            local[after] = s.lane.over(v, now)
+            local[seen] = f"count({v}) OVER ({past})"
+            own_before[before] = (
+                f"CASE WHEN {v} IS NULL THEN {after} "
+                f"WHEN {seen} > 0 THEN {s.lane.sub(after, v)} END"
             )
-            before.append(_lane_plus(s.lane, F.col(f"{own}_b"), c).alias(f"{s.name}_before"))
-            after.append(_lane_plus(s.lane, a, c).alias(f"{s.name}_after"))
-
-    carried = ledger.groupBy(*group).agg(*totals).select(*group, *carries)
-    return (
-        ledger.select("*", *local)
-        .select("*", *seen)
-        .join(carried, group, "left")
-        .select(*ledger.columns, *before, *after)
+            out[f"{s.name}_before"] = plus(s.lane, before, carry)
+            out[f"{s.name}_after"] = plus(s.lane, after, carry)
+
+    carried = (
+        ledger.groupBy(*group)
+        .agg(*[F.expr(t) for t in totals])
+        .selectExpr(*group, *carries)
+    )
+    rows = with_sql(ledger, local)
+    if own_before:
+        rows = with_sql(rows, own_before)
+    return rows.join(carried, group, "left").selectExpr(
+        *ledger.columns, *[f"{sql} AS {name}" for name, sql in out.items()]
     )
 
 
@@ -166,19 +185,16 @@ def _local_set_sum(
     The state is ``running sum + (set value - running sum at that set)``, so
     windows over one sort give it, with no second sort by set number.
     """
-    now = upto(partition, order)
-    total, base = F.col("_total"), F.col("_base")
-    offset = F.when(
-        F.col(put).isNotNull(),
-        F.when(total.isNull(), F.col(put)).otherwise(lane.sub(F.col(put), total)),
-    )
-    return (
-        df.withColumn("_total", lane.over(F.col(add), now))
-        .withColumn("_base", F.last(offset, ignorenulls=True).over(now))
-        .withColumn(out, _lane_plus(lane, base, total))
-        .withColumn("_reset", base.isNotNull())
-        .drop("_total", "_base")
+    now = rows_upto(partition, order)
+    offset = (
+        f"CASE WHEN {put} IS NULL THEN NULL WHEN _total IS NULL THEN {put} "
+        f"ELSE {lane.sub(put, '_total')} END"
     )
+    step = with_sql(df, {"_total": lane.over(add, now)})
+    step = with_sql(step, {"_base": last_over(offset, now)})
+    return with_sql(
+        step, {out: plus(lane, "_base", "_total"), "_reset": "_base IS NOT NULL"}
+    ).drop("_total", "_base")
 
 
 def fold_set_sum(
@@ -195,31 +211,26 @@ def fold_set_sum(
     A row with both NULL leaves the state as it is; ``put`` wins over ``add``.
     """
     group = [*keys, SEGMENT]
-    step = ledger.withColumn("_add", F.when(F.col(put).isNull(), F.col(add)))
+    in_segment = _window(group, order)
+    step = with_sql(ledger, {"_add": f"IF({put} IS NULL, {add}, NULL)"})
     local = _local_set_sum(step, group, order, put, "_add", lane, "_own")
 
-    is_last = F.lead(F.lit(1)).over(Window.partitionBy(*group).orderBy(*order))
     totals = (
-        local.withColumn("_next", is_last)
-        .where(F.col("_next").isNull())
-        .select(
-            *group,
-            F.when(F.col("_reset"), F.col("_own")).alias("_put"),
-            F.when(~F.col("_reset"), F.col("_own")).alias("_add"),
-        )
+        with_sql(local, {"_next": f"lead(1) OVER ({in_segment})"})
+        .where("_next IS NULL")
+        .selectExpr(*group, "IF(_reset, _own, NULL) AS _put", "IF(_reset, NULL, _own) AS _add")
     )
-    by_segment = Window.partitionBy(*keys).orderBy(SEGMENT)
-    carried = _local_set_sum(totals, keys, [SEGMENT], "_put", "_add", lane, "_end").select(
-        *group, F.lag("_end").over(by_segment).alias("_carry")
+    carried = _local_set_sum(totals, keys, [SEGMENT], "_put", "_add", lane, "_end").selectExpr(
+        *group, f"lag(_end) OVER ({_window(keys, [SEGMENT])}) AS _carry"
     )
-
-    own, carry = F.col("_own"), F.col("_carry")
-    after = F.when(F.col("_reset"), own).otherwise(_lane_plus(lane, carry, own))
-    previous = F.lag(f"{name}_after").over(Window.partitionBy(*group).orderBy(*order))
-    first = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) == 1
-    return (
-        local.join(carried, group, "left")
-        .withColumn(f"{name}_after", after)
-        .withColumn(f"{name}_before", F.when(first, carry).otherwise(previous))
-        .select(*ledger.columns, f"{name}_before", f"{name}_after")
+    after, before = f"{name}_after", f"{name}_before"
+    rows = local.join(carried, group, "left")
+    rows = with_sql(rows, {after: f"IF(_reset, _own, {plus(lane, '_carry', '_own')})"})
+    rows = with_sql(
+        rows,
+        {
+            before: f"IF(row_number() OVER ({in_segment}) = 1, _carry, "
+            f"lag({after}) OVER ({in_segment}))"
+        },
     )
+    return rows.select(*ledger.columns, before, after)

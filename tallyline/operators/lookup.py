@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.fold import ORDER, SEGMENT, Put, Tally, fold
+from tallyline.operators.fold import ORDER, SEGMENT, Narrow, Put, Tally, fold
 from tallyline.operators.unpivot import tick_bounds
 
 
@@ -39,10 +39,10 @@ def asof_lookup(
 TICK_VALUES = ("gross_before", "gross_after", "net_before", "net_after")
 
 
-def tick_deltas(changes: DataFrame, lane: type, wide: bool) -> DataFrame:
+def tick_deltas(changes: DataFrame, lane: type = Narrow) -> DataFrame:
     """Gross and net liquidity of both bounds before and after each change."""
     rows = tick_bounds(
-        changes.select("block", "ordinal", SEGMENT, "pool", "lower", "upper", "delta"), wide
+        changes.select("block", "ordinal", SEGMENT, "pool", "lower", "upper", "delta"), lane
     )
     return fold(
         rows,

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.fold import Narrow, Put, Tally, fold, fold_set_sum
+from tallyline.operators.fold import Narrow, Put, Tally, fold, fold_set_sum, with_sql
 from tallyline.sources.catalog import CHANGE_KINDS, POOL_KINDS
 
 
 def pool_events(ledger: DataFrame) -> DataFrame:
+    """Rows of the kinds that name a pool."""
     return ledger.where(F.col("kind").isin(*POOL_KINDS))
 
 
-def in_range(lower: Column, upper: Column, tick: Column) -> Column:
+def in_range(lower: str, upper: str, tick: str) -> str:
     """Lower bound inclusive, upper exclusive; an unknown tick is not in range."""
-    return F.coalesce((lower <= tick) & (tick < upper), F.lit(False))
+    return f"coalesce({lower} <= {tick} AND {tick} < {upper}, false)"
 
 
 def with_count(ledger: DataFrame) -> DataFrame:
@@ -29,8 +30,8 @@ def with_count(ledger: DataFrame) -> DataFrame:
 
 def with_contribution(ledger: DataFrame, tick: str = "tick_after") -> DataFrame:
     """A change counts toward pool liquidity only when the as-of tick is inside."""
-    active = in_range(F.col("lower"), F.col("upper"), F.col(tick))
-    return ledger.withColumn("contribution", F.when(active, F.col("delta")))
+    active = in_range("lower", "upper", tick)
+    return with_sql(ledger, {"contribution": f"IF({active}, delta, NULL)"})
 
 
 def pool_states(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.fold import ORDER, SEGMENT, Narrow
+from tallyline.operators.fold import ORDER, SEGMENT, Narrow, plus
 
 
 def _position(order: Sequence[str]):
@@ -34,7 +34,7 @@ def snapshot_add(
     return (
         ledger.where(F.col(amount).isNotNull())
         .groupBy(*keys)
-        .agg(lane.total(F.col(amount)).alias(out))
+        .agg(F.expr(lane.total(amount)).alias(out))
     )
 
 
@@ -57,10 +57,11 @@ def set_sum_partials(
     later = F.col("_last").isNull() | (pos > F.col("_last"))
     return (
         ledger.withColumn("_last", last_put)
+        .withColumn("_later", F.when(later & ~is_put, F.col(add)))
         .groupBy(*group)
         .agg(
             F.max_by(put, F.when(is_put, pos)).alias("put_value"),
-            lane.total(F.when(later & ~is_put, F.col(add))).alias("add_value"),
+            F.expr(lane.total("_later")).alias("add_value"),
         )
     )
 
@@ -75,22 +76,15 @@ def merge_set_sum(
     has_put = F.col("put_value").isNotNull()
     last_put = F.max(F.when(has_put, F.col(SEGMENT))).over(Window.partitionBy(*keys))
     counted = F.col("_last").isNull() | (F.col(SEGMENT) >= F.col("_last"))
-    put, add = F.col("_put"), F.col("_add")
     return (
         partials.withColumn("_last", last_put)
         .where(counted)
         .groupBy(*keys)
         .agg(
             F.max_by("put_value", F.when(has_put, F.col(SEGMENT))).alias("_put"),
-            lane.total(F.col("add_value")).alias("_add"),
-        )
-        .select(
-            *keys,
-            F.when(put.isNull(), add)
-            .when(add.isNull(), put)
-            .otherwise(lane.add(put, add))
-            .alias(out),
+            F.expr(lane.total("add_value")).alias("_add"),
         )
+        .selectExpr(*keys, f"{plus(lane, '_put', '_add')} AS {out}")
         .where(F.col(out).isNotNull())
     )
 

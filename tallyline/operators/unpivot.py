@@ -2,94 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tallyline.functions import words as W
+from tallyline.operators.fold import Narrow
 
 
-def _explode_structs(df: DataFrame, rows: list[Column]) -> DataFrame:
-    return df.select("*", F.inline(F.array(*rows)))
+def _inline(df: DataFrame, names: list[str], rows: list[tuple[str, ...]]) -> DataFrame:
+    structs = [
+        "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(names, row)) + ")"
+        for row in rows
+    ]
+    return df.selectExpr("*", f"inline(array({', '.join(structs)}))")
 
 
-def tick_operations(changes: DataFrame, wide: bool = False) -> DataFrame:
+def tick_operations(changes: DataFrame, lane: type = Narrow) -> DataFrame:
     """Liquidity changes to four ADD operations each, in order.
 
     gross lower, net lower, gross upper (all +delta), then net upper (-delta).
     """
-    delta = F.col("delta")
-    minus = W.word_negate(delta) if wide else -delta
-
-    def op(seq: int, side: str, bound: str, amount: Column) -> Column:
-        return F.struct(
-            F.lit(seq).alias("op_seq"),
-            F.lit(side).alias("side"),
-            F.col(bound).alias("bound"),
-            amount.alias("amount"),
-        )
-
-    return _explode_structs(
-        changes.where(delta.isNotNull()),
+    return _inline(
+        changes.where("delta IS NOT NULL"),
+        ["op_seq", "side", "bound", "amount"],
         [
-            op(0, "gross", "lower", delta),
-            op(1, "net", "lower", delta),
-            op(2, "gross", "upper", delta),
-            op(3, "net", "upper", minus),
+            ("0", "'gross'", "lower", "delta"),
+            ("1", "'net'", "lower", "delta"),
+            ("2", "'gross'", "upper", "delta"),
+            ("3", "'net'", "upper", lane.negate("delta")),
         ],
     )
 
 
-def tick_bounds(changes: DataFrame, wide: bool = False) -> DataFrame:
+def tick_bounds(changes: DataFrame, lane: type = Narrow) -> DataFrame:
     """Liquidity changes to two rows each (lower, upper) with both amounts.
 
     Half the rows of :func:`tick_operations`: gross and net of one tick share
     a key, so one fold keeps both.
     """
-    delta = F.col("delta")
-    minus = W.word_negate(delta) if wide else -delta
-
-    def bound(seq: int, name: str, net: Column) -> Column:
-        return F.struct(
-            F.lit(seq).alias("position"),
-            F.col(name).alias("bound"),
-            delta.alias("gross_amount"),
-            net.alias("net_amount"),
-        )
-
-    return _explode_structs(
-        changes.where(delta.isNotNull()), [bound(0, "lower", delta), bound(1, "upper", minus)]
+    return _inline(
+        changes.where("delta IS NOT NULL"),
+        ["position", "bound", "gross_amount", "net_amount"],
+        [
+            ("0", "lower", "delta", "delta"),
+            ("1", "upper", "delta", lane.negate("delta")),
+        ],
     )
 
 
 def tick_ids(changes: DataFrame) -> DataFrame:
     """Lower and upper tick ids in save order."""
-    return changes.select(
-        "*", F.posexplode(F.array("lower", "upper")).alias("position", "bound")
-    )
+    return changes.selectExpr("*", "posexplode(array(lower, upper)) AS (position, bound)")
 
 
 def currencies(inits: DataFrame) -> DataFrame:
     """Initialize rows to (side, token) rows."""
-    return _explode_structs(
-        inits,
-        [
-            F.struct(F.lit(0).alias("side"), F.col("currency0").alias("token")),
-            F.struct(F.lit(1).alias("side"), F.col("currency1").alias("token")),
-        ],
-    )
+    return _inline(inits, ["side", "token"], [("0", "currency0"), ("1", "currency1")])
 
 
 def text_fields(inits: DataFrame) -> DataFrame:
     """Initialize rows to the four checked texts: symbol, name of each token."""
-    return _explode_structs(
+    return _inline(
         inits,
+        ["field_seq", "token", "field", "text"],
         [
-            F.struct(
-                F.lit(2 * side + i).alias("field_seq"),
-                F.col(f"currency{side}").alias("token"),
-                F.lit(field).alias("field"),
-                F.col(f"{field}{side}").alias("text"),
-            )
+            (str(2 * side + i), f"currency{side}", f"'{field}'", f"{field}{side}")
             for side in (0, 1)
             for i, field in enumerate(("symbol", "name"))
         ],

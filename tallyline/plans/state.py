@@ -109,8 +109,8 @@ def state_add_count(spark, sf_dir):
     return done.select(*ID, "tx_count_before", "tx_count_after")
 
 
-def _tick_ops(spark, sf_dir, wide=False):
-    return tick_operations(pool_ledger(spark, sf_dir), wide)
+def _tick_ops(spark, sf_dir):
+    return tick_operations(pool_ledger(spark, sf_dir))
 
 
 @query(
@@ -132,9 +132,9 @@ def state_add_liquidity(spark, sf_dir):
     )
 
 
-def widen(c):
+def widen(c: str) -> str:
     """A BIGINT times 2^64, as a word."""
-    return F.unhex(F.concat(F.substring(F.hex(W.bigint_to_word(c)), 17, 48), F.lit("0" * 16)))
+    return f"unhex(concat(substring(hex({W.bigint_to_word(c)}), 17, 48), '{'0' * 16}'))"
 
 
 @query(
@@ -147,30 +147,26 @@ FROM R""",
 )
 def state_add_wide(spark, sf_dir):
     """ADD on values beyond 64 bits, summed limb by limb."""
-    ledger = pool_ledger(spark, sf_dir).withColumn("delta", widen(F.col("delta")))
+    ledger = pool_ledger(spark, sf_dir).withColumn("delta", F.expr(widen("delta")))
     done = fold(
-        tick_operations(ledger, wide=True),
+        tick_operations(ledger, Wide),
         ["side", "pool", "bound"],
         [Tally("value", "amount", Wide)],
         [*ORDER, "op_seq"],
     )
     return done.select(
         "block", "ordinal", "op_seq", "side", "pool", "bound",
-        W.word_text(F.col("value_before")).alias("value_before"),
-        W.word_text(F.col("value_after")).alias("value_after"),
+        F.expr(W.word_text("value_before")).alias("value_before"),
+        F.expr(W.word_text("value_after")).alias("value_after"),
     )
 
 
-def shard_of(pool_id, shards: int = 64):
+def shard_of(pool_id: str, shards: int = 64) -> str:
     """First id byte modulo the shard count; an empty id goes to shard 0."""
-    return F.when(
-        F.octet_length(pool_id) > 0, W.bytes_to_bigint(pool_id, 1, 1) % shards
-    ).otherwise(F.lit(0).cast("bigint"))
+    return f"IF(octet_length({pool_id}) > 0, {W.bytes_to_bigint(pool_id, 1, 1)} % {shards}, 0L)"
 
 
-def pool_id(pool):
-    """The test ledger's 16-byte pool id."""
-    return F.unhex(F.md5(pool.cast("string").cast("binary")))
+POOL_ID = "unhex(md5(CAST(CAST(pool AS STRING) AS BINARY)))"
 
 
 @query(
@@ -181,7 +177,7 @@ def pool_id(pool):
 )
 def state_add_sharded(spark, sf_dir):
     """ADD routed by shard: the shard joins the key and changes no value."""
-    ops = _tick_ops(spark, sf_dir).withColumn("shard", shard_of(pool_id(F.col("pool"))))
+    ops = _tick_ops(spark, sf_dir).withColumn("shard", F.expr(shard_of(POOL_ID)))
     done = fold(
         ops, ["shard", "side", "pool", "bound"], [Tally("value", "amount")], [*ORDER, "op_seq"]
     )
@@ -217,13 +213,13 @@ WINDOW w AS (PARTITION BY pool ORDER BY block, ordinal
 )
 def state_set_price(spark, sf_dir):
     """SET from decimal text; text that is no integer writes nothing."""
-    text = F.when(F.col("k") % 10 == 3, F.lit("n/a")).otherwise(F.col("price").cast("string"))
-    ledger = pool_ledger(spark, sf_dir).withColumn("word", W.text_to_word(text))
+    text = "IF(k % 10 = 3, 'n/a', CAST(price AS STRING))"
+    ledger = pool_ledger(spark, sf_dir).withColumn("word", F.expr(W.text_to_word(text)))
     done = fold(ledger, ["pool"], [Put("price", "word")])
     return done.drop("price").select(
         *ID,
-        W.word_text(F.col("price_before")).alias("price_before"),
-        W.word_text(F.col("price_after")).alias("price_after"),
+        F.expr(W.word_text("price_before")).alias("price_before"),
+        F.expr(W.word_text("price_after")).alias("price_after"),
     )
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.segments import plan_segments
-from tallyline.functions.words import div
 from tallyline.operators.fold import SEGMENT
 from tallyline.sources.catalog import FIRST_BLOCK
 from tallyline.sources.tables import table
@@ -48,7 +47,7 @@ def ledger_columns(events: DataFrame) -> DataFrame:
     cents = F.col("cents")
     return events.select(
         "event_id",
-        (div(F.col("event_id"), 10) + FIRST_BLOCK).alias("block"),
+        F.expr(f"event_id div 10 + {FIRST_BLOCK} AS block"),
         slot.alias("slot"),
         (slot * 2 + 1).alias("ordinal"),
         F.col("user_id").alias("pool"),
@@ -73,14 +72,14 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_segments(spark: SparkSession, sf_dir: str):
     """Segments planned from the ``event_id`` column alone."""
     ids = table(spark, sf_dir, "events").select(
-        (div(F.col("event_id"), 10) + FIRST_BLOCK).alias("block")
+        F.expr(f"event_id div 10 + {FIRST_BLOCK} AS block")
     )
     return plan_segments(ids)
 
 
 def segmented_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = ledger_segments(spark, sf_dir)
-    return ledger(spark, sf_dir).withColumn(SEGMENT, segments.of(F.col("block")))
+    return ledger(spark, sf_dir).withColumn(SEGMENT, segments.of())
 
 
 LEDGER_SQL = f"""
