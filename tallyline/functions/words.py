@@ -49,44 +49,50 @@ def zero_word() -> str:
 
 
 def is_negative(word: str) -> str:
-    return f"(substring(hex({word}), 1, 1) >= '8')"
+    return f"(substring({word}, 1, 1) >= X'80')"
 
 
-def fits_bigint(word: str) -> str:
-    zeros, ones = "0" * 48, "F" * 48
-    return let(
-        f"hex({word})",
-        "_f",
-        f"length(_f) = 64 AND CASE substring(_f, 1, 48) WHEN '{zeros}' THEN "
-        f"substring(_f, 49, 1) < '8' WHEN '{ones}' THEN substring(_f, 49, 1) >= '8' "
-        "ELSE false END",
+def _narrow(word: str, size: int) -> tuple[str, str]:
+    """Conditions that the last ``size`` bytes carry the whole value, by sign."""
+    top, sign = f"substring({word}, 1, {32 - size})", f"substring({word}, {33 - size}, 1)"
+    whole = f"octet_length({word}) = 32 AND"
+    return (
+        f"{whole} {top} = X'{'00' * (32 - size)}' AND {sign} < X'80'",
+        f"{whole} {top} = X'{'FF' * (32 - size)}' AND {sign} >= X'80'",
     )
 
 
+def fits_bigint(word: str) -> str:
+    plus, minus = _narrow(word, 8)
+    return f"(({plus}) OR ({minus}))"
+
+
 def word_to_bigint(word: str) -> str:
     """The word as BIGINT; NULL when it needs more than 64 bits."""
-    high, low = hex_to_bigint("substring(_b, 49, 8)"), hex_to_bigint("substring(_b, 57, 8)")
-    zeros, ones = "0" * 48, "F" * 48
-    return let(
-        f"hex({word})",
-        "_b",
-        f"CASE WHEN length(_b) <> 64 THEN NULL "
-        f"WHEN substring(_b, 1, 48) = '{zeros}' AND substring(_b, 49, 1) < '8' "
-        f"THEN {high} * {2**32} + {low} "
-        f"WHEN substring(_b, 1, 48) = '{ones}' AND substring(_b, 49, 1) >= '8' "
-        f"THEN ({high} - {2**32}) * {2**32} + {low} END",
+    plus, minus = _narrow(word, 8)
+    high, low = bytes_to_bigint(word, 25, 4), bytes_to_bigint(word, 29, 4)
+    return (
+        f"CASE WHEN {plus} THEN {high} * {2**32} + {low} "
+        f"WHEN {minus} THEN ({high} - {2**32}) * {2**32} + {low} END"
     )
 
 
 def signed_word(word: str, bits: int) -> str:
-    """An intN (N < 64) ABI word as BIGINT; NULL when not a clean N-bit value."""
-    low, high = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
-    return let(word_to_bigint(word), "_s", f"IF(_s BETWEEN {low} AND {high}, _s, NULL)")
+    """An intN (N <= 56, whole bytes) word as BIGINT; NULL when not a clean intN."""
+    size = bits // 8
+    plus, minus = _narrow(word, size)
+    value = bytes_to_bigint(word, 33 - size, size)
+    return f"CASE WHEN {plus} THEN {value} WHEN {minus} THEN {value} - {2**bits} END"
 
 
 def unsigned_word(word: str, bits: int) -> str:
-    """A uintN (N < 64) ABI word as BIGINT; NULL when not a clean N-bit value."""
-    return let(word_to_bigint(word), "_s", f"IF(_s BETWEEN 0 AND {2**bits - 1}, _s, NULL)")
+    """A uintN (N <= 56, whole bytes) word as BIGINT; NULL when not a clean uintN."""
+    size = bits // 8
+    return (
+        f"CASE WHEN octet_length({word}) = 32 "
+        f"AND substring({word}, 1, {32 - size}) = X'{'00' * (32 - size)}' "
+        f"THEN {bytes_to_bigint(word, 33 - size, size)} END"
+    )
 
 
 def low_bytes(word: str, count: int) -> str:

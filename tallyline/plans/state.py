@@ -16,9 +16,10 @@ from tallyline.operators.pool_state import (
 )
 from tallyline.operators.unpivot import tick_operations
 from tallyline.plans.registry import query
-from tallyline.sources.catalog import FIRST_BLOCK
 from tallyline.sources.ledger import (
+    LEDGER_BLOCK,
     LEDGER_SQL,
+    ledger,
     ledger_segments,
     segmented_ledger,
 )
@@ -147,9 +148,9 @@ FROM R""",
 )
 def state_add_wide(spark, sf_dir):
     """ADD on values beyond 64 bits, summed limb by limb."""
-    ledger = pool_ledger(spark, sf_dir).withColumn("delta", F.expr(widen("delta")))
+    rows = pool_ledger(spark, sf_dir).withColumn("delta", F.expr(widen("delta")))
     done = fold(
-        tick_operations(ledger, Wide),
+        tick_operations(rows, Wide),
         ["side", "pool", "bound"],
         [Tally("value", "amount", Wide)],
         [*ORDER, "op_seq"],
@@ -214,8 +215,8 @@ WINDOW w AS (PARTITION BY pool ORDER BY block, ordinal
 def state_set_price(spark, sf_dir):
     """SET from decimal text; text that is no integer writes nothing."""
     text = "IF(k % 10 = 3, 'n/a', CAST(price AS STRING))"
-    ledger = pool_ledger(spark, sf_dir).withColumn("word", F.expr(W.text_to_word(text)))
-    done = fold(ledger, ["pool"], [Put("price", "word")])
+    rows = pool_ledger(spark, sf_dir).withColumn("word", F.expr(W.text_to_word(text)))
+    done = fold(rows, ["pool"], [Put("price", "word")])
     return done.drop("price").select(
         *ID,
         F.expr(W.word_text("price_before")).alias("price_before"),
@@ -258,8 +259,6 @@ def state_deltas(spark, sf_dir):
 )
 def snap_set(spark, sf_dir):
     """SET snapshot: map-side max_by, no window."""
-    from tallyline.sources.ledger import ledger
-
     return S.snapshot_set(ledger(spark, sf_dir), ["pool"], "tick")
 
 
@@ -270,8 +269,6 @@ def snap_set(spark, sf_dir):
 )
 def snap_add(spark, sf_dir):
     """ADD snapshot: map-side sum, no window."""
-    from tallyline.sources.ledger import ledger
-
     ops = tick_operations(pool_events(ledger(spark, sf_dir)))
     return S.snapshot_add(ops, ["side", "pool", "bound"], "amount", "total")
 
@@ -328,7 +325,7 @@ def merge_partials(spark, sf_dir):
 def seed_continue(spark, sf_dir):
     """State through a seed block, then the rest continued from its snapshot."""
     segments = ledger_segments(spark, sf_dir)
-    seed_block = FIRST_BLOCK + 4 * segments.width - 1
+    seed_block = LEDGER_BLOCK + 4 * segments.width - 1
     rows = pool_ledger(spark, sf_dir)
     head = rows.where(F.col("block") <= seed_block)
     tail = rows.where(F.col("block") > seed_block)

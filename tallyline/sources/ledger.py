@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.segments import plan_segments
 from tallyline.operators.fold import SEGMENT
-from tallyline.sources.catalog import FIRST_BLOCK
+from tallyline.sources.catalog import REGISTRY
 from tallyline.sources.tables import table
 
 
+# All three sources are live from here on, so routing drops nothing.
+LEDGER_BLOCK = max(s.start_block for s in REGISTRY)
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with exact cents and the integer inside ``props``."""
     return table(spark, sf_dir, "events").select(
@@ -47,7 +51,7 @@ def ledger_columns(events: DataFrame) -> DataFrame:
     cents = F.col("cents")
     return events.select(
         "event_id",
-        F.expr(f"event_id div 10 + {FIRST_BLOCK} AS block"),
+        F.expr(f"event_id div 10 + {LEDGER_BLOCK} AS block"),
         slot.alias("slot"),
         (slot * 2 + 1).alias("ordinal"),
         F.col("user_id").alias("pool"),
@@ -72,7 +76,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_segments(spark: SparkSession, sf_dir: str):
     """Segments planned from the ``event_id`` column alone."""
     ids = table(spark, sf_dir, "events").select(
-        F.expr(f"event_id div 10 + {FIRST_BLOCK} AS block")
+        F.expr(f"event_id div 10 + {LEDGER_BLOCK} AS block")
     )
     return plan_segments(ids)
 
@@ -89,7 +93,7 @@ WITH e AS (
          CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k
   FROM events),
 L AS (
-  SELECT event_id, {FIRST_BLOCK} + event_id // 10 AS block, event_id % 10 AS slot,
+  SELECT event_id, {LEDGER_BLOCK} + event_id // 10 AS block, event_id % 10 AS slot,
          2 * (event_id % 10) + 1 AS ordinal, user_id AS pool,
          CASE event_type WHEN 'signup' THEN 'Initialize' WHEN 'purchase' THEN 'Swap'
               WHEN 'view' THEN 'ModifyLiquidity' WHEN 'click' THEN 'ModifyLiquidity'
