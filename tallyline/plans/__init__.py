@@ -1,3 +1,3 @@
 """Registered queries; importing this package fills the registry."""
 
-from tallyline.plans import decode, state  # noqa: F401
+from tallyline.plans import decode, state, values  # noqa: F401

@@ -124,7 +124,7 @@ def token_calls(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFram
         f"CASE p_partkey % 4 WHEN 1 THEN {fixed} WHEN 2 THEN {WORD('1')} "
         f"ELSE {dynamic_string('p_brand')} END"
     )
-    decimals = WORD("IF(p_partkey % 11 = 5, 255L, CAST(p_size AS BIGINT))")
+    decimals = WORD("IF(p_partkey % 11 = 5, 255L, CAST(p_size % 19 AS BIGINT))")
     calls = [
         ("symbol", "p_partkey % 9 = 8", symbol),
         ("name", "false", dynamic_string(nul_name)),

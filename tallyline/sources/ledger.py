@@ -59,7 +59,7 @@ def ledger_columns(events: DataFrame) -> DataFrame:
         "cents",
         "k",
         F.when(price_kind, cents % 2001 - 1000).alias("tick"),
-        F.when(price_kind, cents + 1).alias("price"),
+        F.when(price_kind, cents * 2 + 1).alias("price"),
         F.when(t == "signup", F.lit(0).cast("bigint"))
         .when(t == "purchase", cents)
         .alias("liquidity"),
@@ -101,7 +101,7 @@ L AS (
                    WHEN 2 THEN 'Transfer' ELSE 'LogCreatePrivateHook' END END AS kind,
          cents, k,
          CASE WHEN event_type IN ('signup', 'purchase') THEN cents % 2001 - 1000 END AS tick,
-         CASE WHEN event_type IN ('signup', 'purchase') THEN cents + 1 END AS price,
+         CASE WHEN event_type IN ('signup', 'purchase') THEN 2 * cents + 1 END AS price,
          CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN cents END AS liquidity,
          CASE event_type WHEN 'view' THEN cents WHEN 'click' THEN -cents END AS delta,
          CASE WHEN event_type IN ('view', 'click') THEN -10 * k END AS lower,
