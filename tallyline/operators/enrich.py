@@ -96,9 +96,11 @@ def encode_ticks(rows: DataFrame) -> DataFrame:
     return with_sql(rows, {c: W.minimal_signed_bytes(c) for c in _TICK_COLUMNS})
 
 
-def enriched_ledger(events: DataFrame, metadata: DataFrame) -> DataFrame:
-    """One row per event; events without a pool keep empty state."""
-    tokens = initialize_tokens(events, metadata)
+def enriched_ledger(events: DataFrame, tokens: DataFrame) -> DataFrame:
+    """One row per event; events without a pool keep empty state.
+
+    Pass ``events`` and ``tokens`` (:func:`initialize_tokens`) as stored tables.
+    """
     values = encode_states(pool_values(events, tokens)).select(
         *EVENT,
         *[f"{s}_{w}" for s in (*_NARROW, *_WIDE) for w in ("before", "after")],

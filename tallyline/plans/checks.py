@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyline.operators.valuation import TICK_FACTORS
+from tallyline.functions.kernels import TICK_FACTORS
 from tallyline.plans.state import POOL_SQL
 
 TWO64 = "'18446744073709551616'::UHUGEINT"
@@ -56,11 +56,11 @@ division AS (
   FROM {previous} WHERE bound > 0
   UNION ALL
   SELECT bound, r, i + 1,
-         CASE WHEN hit AND rem >= r - rem THEN rem - (r - rem) + 1 WHEN hit THEN 0::UHUGEINT
-              ELSE rem + rem + 1 END,
-         CASE WHEN i < 96 THEN q * 2 + CASE WHEN hit THEN 1 ELSE 0 END ELSE q END,
+         CASE WHEN hit AND rem >= r - rem THEN rem - (r - rem) + 1::UHUGEINT WHEN hit THEN 0::UHUGEINT
+              ELSE rem + rem + 1::UHUGEINT END,
+         CASE WHEN i < 96 THEN q + q + CASE WHEN hit THEN 1::UHUGEINT ELSE 0::UHUGEINT END ELSE q END,
          low OR (i >= 96 AND hit)
-  FROM (SELECT *, rem >= r - rem OR r - rem = rem + 1 AS hit FROM division WHERE i < 128)),
+  FROM (SELECT *, rem >= r - rem OR r - rem = rem + 1::UHUGEINT AS hit FROM division WHERE i < 128)),
 ratios AS (
   SELECT bound, CAST(79228162514264337593543950336 AS HUGEINT) AS ratio
   FROM {previous} WHERE bound = 0

@@ -24,6 +24,7 @@ from tallyline.plans.registry import query
 from tallyline.plans.state import POOL_SQL
 from tallyline.sources.encoded import encoded_logs, token_calls
 from tallyline.sources.ledger import LEDGER_SQL, ledger, ledger_segments
+from tallyline.sources.stage import stage
 
 
 def segmented_events(spark, sf_dir):
@@ -177,8 +178,10 @@ def muldiv_round(spark, sf_dir):
 
 
 def _valued(spark, sf_dir):
-    events = segmented_events(spark, sf_dir)
-    tokens = initialize_tokens(events, metadata_for(spark, sf_dir, events))
+    events = stage(segmented_events(spark, sf_dir), "events")
+    tokens = stage(
+        initialize_tokens(events, metadata_for(spark, sf_dir, events)), "tokens"
+    )
     return pool_values(events, tokens)
 
 
