@@ -32,6 +32,14 @@ class Segments:
         return F.expr(f"({block} - {self.start}) div {self.width}")
 
 
+def block_span(source: DataFrame, block: str = "block") -> tuple[int, int, int]:
+    """First block, last block and row count; (0, -1, 0) when empty."""
+    row = source.agg(
+        F.min(block).alias("lo"), F.max(block).alias("hi"), F.count(F.lit(1)).alias("n")
+    ).first()
+    return (0, -1, 0) if row["lo"] is None else (row["lo"], row["hi"], row["n"])
+
+
 def plan_segments(source: DataFrame, block: str = "block") -> Segments:
     """Pick a width from the row count and block span of ``source``.
 
@@ -43,12 +51,7 @@ def plan_segments(source: DataFrame, block: str = "block") -> Segments:
     width = conf.get(WIDTH_CONF, None)
     if width is not None:
         return Segments(0, int(width))
-    row = source.agg(
-        F.min(block).alias("lo"), F.max(block).alias("hi"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if row["n"] == 0 or row["lo"] is None:
-        return Segments(0, 1)
-    rows = int(conf.get(ROWS_CONF, None) or DEFAULT_ROWS)
-    count = min(max(row["n"] // rows, MIN_SEGMENTS), MAX_SEGMENTS)
-    span = row["hi"] - row["lo"] + 1
-    return Segments(row["lo"], max(-(-span // count), 1))
+    low, high, rows = block_span(source, block)
+    wanted = int(conf.get(ROWS_CONF, None) or DEFAULT_ROWS)
+    count = min(max(rows // wanted, MIN_SEGMENTS), MAX_SEGMENTS)
+    return Segments(low, max(-(-(high - low + 1) // count), 1))

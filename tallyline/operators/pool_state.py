@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.fold import Narrow, Put, Tally, fold, fold_set_sum, with_sql
+from tallyline.operators.snapshot import last_value, seed_rows, with_seed
 from tallyline.sources.catalog import CHANGE_KINDS, POOL_KINDS
 
 
@@ -49,3 +50,29 @@ def pool_states(
     return fold_set_sum(
         with_contribution(simple), keys, "liquidity", "liquidity", "contribution", lane
     ).drop("touch", "contribution")
+
+
+STATES = ("tick", "tx_count", "liquidity")
+
+
+def pool_snapshot(states: DataFrame, keys: Sequence[str] = ("pool",)) -> DataFrame:
+    """State per pool after the last row of ``states``."""
+    return states.groupBy(*keys).agg(
+        *[last_value(f"{s}_after").alias(s) for s in STATES]
+    )
+
+
+def continue_pool_states(
+    rows: DataFrame, snapshot: DataFrame, seed_block: int, keys: Sequence[str] = ("pool",)
+) -> DataFrame:
+    """Fold ``rows`` on top of a snapshot taken at ``seed_block``.
+
+    Seed rows stay in the result, marked by ``seed``, so that pools without new
+    rows survive into the next snapshot.
+    """
+    seeds = seed_rows(snapshot, seed_block).withColumnRenamed("tx_count", "touch")
+    seeded = with_seed(with_count(rows), seeds)
+    simple = fold(seeded, keys, [Put("tick", "tick"), Tally("tx_count", "touch")])
+    return fold_set_sum(
+        with_contribution(simple), keys, "liquidity", "liquidity", "contribution"
+    )

@@ -89,13 +89,16 @@ def merge_set_sum(
     )
 
 
-def seed_rows(snapshot: DataFrame, block: int, segment: int) -> DataFrame:
-    """Turn a snapshot into ledger rows that precede everything after ``block``."""
+def seed_rows(snapshot: DataFrame, block: int) -> DataFrame:
+    """Turn a snapshot into ledger rows that precede everything after ``block``.
+
+    They get a segment of their own, before all others.
+    """
     return snapshot.withColumns(
         {
             "block": F.lit(block).cast("bigint"),
             "ordinal": F.lit(2**62).cast("bigint"),
-            SEGMENT: F.lit(segment).cast("bigint"),
+            SEGMENT: F.lit(-1).cast("bigint"),
             "seed": F.lit(True),
         }
     )

@@ -1,3 +1,3 @@
 """Registered queries; importing this package fills the registry."""
 
-from tallyline.plans import decode, enriched, state, values  # noqa: F401
+from tallyline.plans import audits, decode, enriched, state, streams, values  # noqa: F401

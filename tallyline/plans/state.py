@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import words as W
 from tallyline.operators import snapshot as S
-from tallyline.operators.fold import ORDER, SEGMENT, Put, Tally, Wide, fold, fold_set_sum
+from tallyline.operators.fold import ORDER, SEGMENT, Put, Tally, Wide, fold
 from tallyline.operators.pool_state import (
+    continue_pool_states,
     pool_events,
+    pool_snapshot,
     pool_states,
     with_contribution,
     with_count,
@@ -23,6 +25,7 @@ from tallyline.sources.ledger import (
     ledger_segments,
     segmented_ledger,
 )
+from tallyline.sources.stage import stage
 
 ID = ["block", "ordinal", "pool", "kind"]
 
@@ -329,19 +332,8 @@ def seed_continue(spark, sf_dir):
     rows = pool_ledger(spark, sf_dir)
     head = rows.where(F.col("block") <= seed_block)
     tail = rows.where(F.col("block") > seed_block)
-    puts = [Put("tick", "tick")]
-
-    first = pool_states(head, puts=puts)
-    snapshot = first.groupBy("pool").agg(
-        *[S.last_value(f"{s}_after").alias(s) for s in ("tick", "tx_count", "liquidity")]
-    )
-    seeds = S.seed_rows(snapshot, seed_block, 3)
-    seeded = S.with_seed(with_count(tail), seeds.withColumnRenamed("tx_count", "touch"))
-    folded = fold(seeded, ["pool"], [*puts, Tally("tx_count", "touch")])
-    rest = S.drop_seed(
-        fold_set_sum(
-            with_contribution(folded), ["pool"], "liquidity", "liquidity", "contribution"
-        )
-    )
     out = [*ID, "tick_after", "tx_count_after", "liquidity_after"]
+    first = stage(pool_states(head, puts=[Put("tick", "tick")]).select(*out), "head")
+    snapshot = stage(pool_snapshot(first), "snapshot")
+    rest = S.drop_seed(continue_pool_states(tail, snapshot, seed_block))
     return first.select(*out).unionByName(rest.select(*out))

@@ -15,7 +15,7 @@ TRANSACTION_TYPE = (
 )
 BLOCK_SCHEMA = (
     "block BIGINT, hash BINARY, header STRUCT<parent_hash: BINARY, seconds: BIGINT, "
-    f"nanos: BIGINT>, transactions: ARRAY<{TRANSACTION_TYPE}>"
+    f"nanos: BIGINT>, transactions ARRAY<{TRANSACTION_TYPE}>"
 )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.segments import plan_segments
+from tallyline.functions.segments import Segments, plan_segments
 from tallyline.operators.fold import SEGMENT
 from tallyline.sources.catalog import REGISTRY
 from tallyline.sources.tables import table
@@ -73,12 +73,15 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger_columns(event_rows(spark, sf_dir))
 
 
-def ledger_segments(spark: SparkSession, sf_dir: str):
-    """Segments planned from the ``event_id`` column alone."""
-    ids = table(spark, sf_dir, "events").select(
+def ledger_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block numbers from the ``event_id`` column alone."""
+    return table(spark, sf_dir, "events").select(
         F.expr(f"event_id div 10 + {LEDGER_BLOCK} AS block")
     )
-    return plan_segments(ids)
+
+
+def ledger_segments(spark: SparkSession, sf_dir: str) -> Segments:
+    return plan_segments(ledger_blocks(spark, sf_dir))
 
 
 def segmented_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1 +1 @@
-
+"""Structured Streaming jobs: incremental decode and keyed state."""
