@@ -79,19 +79,24 @@ def word_to_bigint(word: str) -> str:
 
 def signed_word(word: str, bits: int) -> str:
     """An intN (N <= 56, whole bytes) word as BIGINT; NULL when not a clean intN."""
-    size = bits // 8
-    plus, minus = _narrow(word, size)
+    size, spare = bits // 8, 64 - bits
     value = bytes_to_bigint(word, 33 - size, size)
-    return f"CASE WHEN {plus} THEN {value} WHEN {minus} THEN {value} - {2**bits} END"
+    fill = (
+        f"IF(substring({word}, {33 - size}, 1) >= X'80', X'{'FF' * (32 - size)}', "
+        f"X'{'00' * (32 - size)}')"
+    )
+    return (
+        f"IF(substring({word}, 1, {32 - size}) = {fill}, "
+        f"shiftright(shiftleft({value}, {spare}), {spare}), NULL)"
+    )
 
 
 def unsigned_word(word: str, bits: int) -> str:
     """A uintN (N <= 56, whole bytes) word as BIGINT; NULL when not a clean uintN."""
     size = bits // 8
     return (
-        f"CASE WHEN octet_length({word}) = 32 "
-        f"AND substring({word}, 1, {32 - size}) = X'{'00' * (32 - size)}' "
-        f"THEN {bytes_to_bigint(word, 33 - size, size)} END"
+        f"IF(substring({word}, 1, {32 - size}) = X'{'00' * (32 - size)}', "
+        f"{bytes_to_bigint(word, 33 - size, size)}, NULL)"
     )
 
 

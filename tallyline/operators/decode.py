@@ -13,11 +13,13 @@ from tallyline.sources.catalog import REGISTRY, SIGNATURES, Signature, Source
 
 
 def _routing(registry: Sequence[Source]) -> str:
-    arms = " ".join(
-        f"WHEN address = X'{s.address}' AND block >= {s.start_block} THEN '{s.name}'"
+    """Source name by address lookup, once its start block is reached."""
+    entries = ", ".join(
+        f"X'{s.address}', named_struct('name', '{s.name}', 'start', {s.start_block}L)"
         for s in registry
     )
-    return f"CASE {arms} END"
+    found = f"element_at(map({entries}), address)"
+    return f"IF(block >= {found}.start, {found}.name, NULL)"
 
 
 def route(logs: DataFrame, registry: Sequence[Source] = REGISTRY) -> DataFrame:
@@ -36,13 +38,17 @@ def route(logs: DataFrame, registry: Sequence[Source] = REGISTRY) -> DataFrame:
 
 
 def _match(signatures: Sequence[Signature]) -> str:
-    arms = " ".join(
-        f"WHEN source = '{s.source}' AND topics[0] = X'{s.topic0}' "
-        f"AND size(topics) = {s.topics} AND octet_length(data) = {s.data_bytes} "
-        f"THEN '{s.kind}'"
+    """Kind by topic lookup; source, arity and data length must agree."""
+    entries = ", ".join(
+        f"X'{s.topic0}', named_struct('kind', '{s.kind}', 'source', '{s.source}', "
+        f"'topics', {s.topics}, 'data_bytes', {s.data_bytes})"
         for s in signatures
     )
-    return f"CASE WHEN size(topics) = 0 THEN NULL {arms} END"
+    found = f"element_at(map({entries}), get(topics, 0))"
+    return (
+        f"IF({found}.source = source AND {found}.topics = size(topics) "
+        f"AND {found}.data_bytes = octet_length(data), {found}.kind, NULL)"
+    )
 
 
 def match_kind(routed: DataFrame, signatures: Sequence[Signature] = SIGNATURES) -> DataFrame:
@@ -51,8 +57,12 @@ def match_kind(routed: DataFrame, signatures: Sequence[Signature] = SIGNATURES)
 
 
 def _case(values: dict[str, str]) -> str:
-    arms = " ".join(f"WHEN '{kind}' THEN {sql}" for kind, sql in values.items())
-    return f"CASE kind {arms} END"
+    """CASE over the kind; kinds read the same way share an arm."""
+    kinds: dict[str, list[str]] = {}
+    for kind, sql in values.items():
+        kinds.setdefault(sql, []).append(f"'{kind}'")
+    arms = " ".join(f"WHEN kind IN ({', '.join(k)}) THEN {sql}" for sql, k in kinds.items())
+    return f"CASE {arms} END"
 
 
 def _word(i: int) -> str:

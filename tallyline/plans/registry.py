@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +19,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register ``fn(spark, sf_dir)`` under ``name`` with its SQL check."""
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = configured
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -14,7 +14,7 @@ from tallyline.functions import words as W
 from tallyline.operators.fold import with_sql
 from tallyline.sources.catalog import FIRST_BLOCK, REGISTRY, SIGNATURES
 from tallyline.sources.ledger import event_rows, ledger_columns
-from tallyline.sources.tables import table
+from tallyline.sources.tables import spread, table
 
 WORD = W.bigint_to_word
 PRICE_WORD = f"unhex(lpad(concat(hex(price), '{'0' * 20}'), 64, '0'))"  # price * 2^80
@@ -106,7 +106,8 @@ def encode_logs(ledger: DataFrame, dirty: bool = False) -> DataFrame:
 
 
 def encoded_logs(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    return encode_logs(ledger_columns(event_rows(spark, sf_dir)), dirty)
+    events = spread(event_rows(spark, sf_dir), "event_id")
+    return encode_logs(ledger_columns(events), dirty)
 
 
 def token_calls(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:

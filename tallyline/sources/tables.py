@@ -15,3 +15,13 @@ SCHEMAS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Use all cores for CPU-bound work on a scan that has too few splits.
+
+    A file with one row group cannot be split; real tables have many files and
+    pass through unchanged.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
