@@ -49,12 +49,12 @@ class Narrow:
     """BIGINT amounts."""
 
     @staticmethod
-    def total(value: str) -> str:
-        return f"sum({value})"
+    def parts(value: str) -> list[str]:
+        return [value]
 
     @staticmethod
-    def over(value: str, window: str) -> str:
-        return f"sum({value}) OVER ({window})"
+    def join(parts: list[str]) -> str:
+        return parts[0]
 
     @staticmethod
     def add(a: str, b: str) -> str:
@@ -70,15 +70,18 @@ class Narrow:
 
 
 class Wide:
-    """32-byte word amounts, summed limb by limb modulo 2^256."""
+    """32-byte word amounts: limb columns are summed, then joined modulo 2^256.
+
+    A joined total has limbs below 2^32 again, so carried sums cannot overflow.
+    """
 
     @staticmethod
-    def total(value: str) -> str:
-        return W.limbs_to_word([f"sum({x})" for x in W.limbs(value)])
+    def parts(value: str) -> list[str]:
+        return W.limbs(value)
 
     @staticmethod
-    def over(value: str, window: str) -> str:
-        return W.limbs_to_word([f"sum({x}) OVER ({window})" for x in W.limbs(value)])
+    def join(parts: list[str]) -> str:
+        return W.limbs_to_word(parts)
 
     @staticmethod
     def add(a: str, b: str) -> str:
@@ -93,6 +96,11 @@ class Wide:
         return W.word_negate(a)
 
 
+def total(lane: type, value: str) -> str:
+    """Aggregate: the sum of ``value``."""
+    return lane.join([f"sum({x})" for x in lane.parts(value)])
+
+
 @dataclass(frozen=True)
 class Put:
     """SET: rows with a non-NULL ``value`` overwrite the state."""
@@ -132,41 +140,49 @@ def fold(
     incoming = rows_before(keys, [SEGMENT])
     position = f"struct({', '.join(order)})"
 
-    totals, carries, local, own_before, out = [], [], {}, {}, {}
+    totals, carries, local, out = [], [], {}, {}
     for s in states:
-        total, carry = f"_{s.name}_total", f"_{s.name}_carry"
-        before, after, seen = f"_{s.name}_b", f"_{s.name}_a", f"_{s.name}_n"
+        own, carry = f"_{s.name}_total", f"_{s.name}_carry"
+        before, after = f"{s.name}_before", f"{s.name}_after"
         if isinstance(s, Put):
             v = s.value
-            totals.append(f"max_by({v}, IF({v} IS NULL, NULL, {position})) AS {total}")
-            carries.append(f"{last_over(total, incoming)} AS {carry}")
-            local[before], local[after] = last_over(v, past), last_over(v, now)
-            out[f"{s.name}_before"] = f"coalesce({before}, {carry})"
-            out[f"{s.name}_after"] = f"coalesce({after}, {carry})"
+            totals.append(f"max_by({v}, IF({v} IS NULL, NULL, {position})) AS {own}")
+            carries.append(f"{last_over(own, incoming)} AS {carry}")
+            local[f"_{before}"] = last_over(v, past)
+            local[f"_{after}"] = last_over(v, now)
+            out[before] = f"coalesce(_{before}, {carry})"
+            out[after] = f"coalesce(_{after}, {carry})"
         else:
-            v = s.amount
-            totals.append(f"{s.lane.total(v)} AS {total}")
-            carries.append(f"{s.lane.over(total, incoming)} AS {carry}")
-            # A second frame would sum everything twice: the earlier value is
-            # this one less the row's own amount, if any earlier row has one.
-            local[after] = s.lane.over(v, now)
+            v, seen = s.amount, f"_{s.name}_n"
+            parts = s.lane.parts(v)
+            totals.append(f"{total(s.lane, v)} AS {own}")
+            for i, x in enumerate(s.lane.parts(own)):
+                carries.append(f"sum({x}) OVER ({incoming}) AS {carry}_{i}")
+            for i, x in enumerate(parts):
+                local[f"_{after}_{i}"] = f"sum({x}) OVER ({now})"
             local[seen] = f"count({v}) OVER ({past})"
-            own_before[before] = (
-                f"CASE WHEN {v} IS NULL THEN {after} "
-                f"WHEN {seen} > 0 THEN {s.lane.sub(after, v)} END"
+            # Parts stay apart until here; each value is joined once.  A second
+            # frame would sum everything twice: the earlier value is this one
+            # less the row's own amount.
+            now_parts = [
+                f"(coalesce(_{after}_{i}, 0L) + coalesce({carry}_{i}, 0L))"
+                for i in range(len(parts))
+            ]
+            past_parts = [f"({p} - coalesce({x}, 0L))" for p, x in zip(now_parts, parts)]
+            no_carry = f"{carry}_0 IS NULL"
+            out[before] = (
+                f"IF({no_carry} AND {seen} = 0, NULL, {s.lane.join(past_parts)})"
+            )
+            out[after] = (
+                f"IF({no_carry} AND _{after}_0 IS NULL, NULL, {s.lane.join(now_parts)})"
             )
-            out[f"{s.name}_before"] = plus(s.lane, before, carry)
-            out[f"{s.name}_after"] = plus(s.lane, after, carry)
 
     carried = (
         ledger.groupBy(*group)
         .agg(*[F.expr(t) for t in totals])
         .selectExpr(*group, *carries)
     )
-    rows = with_sql(ledger, local)
-    if own_before:
-        rows = with_sql(rows, own_before)
-    return rows.join(carried, group, "left").selectExpr(
+    return with_sql(ledger, local).join(carried, group, "left").selectExpr(
         *ledger.columns, *[f"{sql} AS {name}" for name, sql in out.items()]
     )
 
@@ -190,7 +206,8 @@ def _local_set_sum(
         f"CASE WHEN {put} IS NULL THEN NULL WHEN _total IS NULL THEN {put} "
         f"ELSE {lane.sub(put, '_total')} END"
     )
-    step = with_sql(df, {"_total": lane.over(add, now)})
+    parts = {f"_part_{i}": f"sum({x}) OVER ({now})" for i, x in enumerate(lane.parts(add))}
+    step = with_sql(with_sql(df, parts), {"_total": lane.join(list(parts))}).drop(*parts)
     step = with_sql(step, {"_base": last_over(offset, now)})
     return with_sql(
         step, {out: plus(lane, "_base", "_total"), "_reset": "_base IS NOT NULL"}

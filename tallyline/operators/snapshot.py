@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.fold import ORDER, SEGMENT, Narrow, plus
+from tallyline.operators.fold import ORDER, SEGMENT, Narrow, plus, total
 
 
 def _position(order: Sequence[str]):
@@ -34,7 +34,7 @@ def snapshot_add(
     return (
         ledger.where(F.col(amount).isNotNull())
         .groupBy(*keys)
-        .agg(F.expr(lane.total(amount)).alias(out))
+        .agg(F.expr(total(lane, amount)).alias(out))
     )
 
 
@@ -61,7 +61,7 @@ def set_sum_partials(
         .groupBy(*group)
         .agg(
             F.max_by(put, F.when(is_put, pos)).alias("put_value"),
-            F.expr(lane.total("_later")).alias("add_value"),
+            F.expr(total(lane, "_later")).alias("add_value"),
         )
     )
 
@@ -82,7 +82,7 @@ def merge_set_sum(
         .groupBy(*keys)
         .agg(
             F.max_by("put_value", F.when(has_put, F.col(SEGMENT))).alias("_put"),
-            F.expr(lane.total("add_value")).alias("_add"),
+            F.expr(total(lane, "add_value")).alias("_add"),
         )
         .selectExpr(*keys, f"{plus(lane, '_put', '_add')} AS {out}")
         .where(F.col(out).isNotNull())
