@@ -107,13 +107,24 @@ def range_kind_counts(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFram
 
 
 def range_boundaries(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:
-    """Hashes of the first and last block present in each range."""
-    return in_ranges(rows, ranges).groupBy("range").agg(
-        F.min("block").alias("first_block"),
-        F.min_by("block_hash", "block").alias("first_hash"),
-        F.max("block").alias("last_block"),
-        F.max_by("block_hash", "block").alias("last_hash"),
+    """Hashes of the first and last block present in each range.
+
+    Ends first, by a numeric aggregate over one column; then the hashes of
+    those blocks only, at most two per range, which bounds the broadcast.
+    """
+    ends = in_ranges(rows.select("block"), ranges).groupBy("range").agg(
+        F.min("block").alias("first_block"), F.max("block").alias("last_block")
+    )
+    wanted = ends.select(F.explode(F.array("first_block", "last_block")).alias("block"))
+    hashes = (
+        rows.select("block", "block_hash")
+        .join(F.broadcast(wanted.distinct()), "block", "left_semi")
+        .groupBy("block")
+        .agg(F.max("block_hash").alias("block_hash"))
     )
+    first = hashes.toDF("first_block", "first_hash")
+    last = hashes.toDF("last_block", "last_hash")
+    return ends.join(first, "first_block").join(last, "last_block")
 
 
 def range_block_counts(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:

@@ -59,7 +59,7 @@ def pool_values(events: DataFrame, tokens: DataFrame) -> DataFrame:
     )
     rows = narrow.where("kind <> 'Initialize'").unionByName(inits, allowMissingColumns=True)
     puts = [
-        Put("tick", "tick"), Put("price", "price"),
+        Put("tick", "tick"), Put("price", "price", Wide),
         Put("d0", "pool_decimals0"), Put("d1", "pool_decimals1"),
     ]
     states = pool_states(rows, puts=puts, lane=Wide).withColumnsRenamed(

@@ -45,9 +45,30 @@ def last_over(value: str, window: str) -> str:
     return f"last({value}, true) OVER ({window})"
 
 
+def rank(order: Sequence[str]) -> str:
+    """One number that sorts like ``order``: block, ordinal, then one tie digit.
+
+    Numbers keep max_by in a hash aggregate; a struct would force a sort of the
+    ledger before the map-side aggregate.
+    """
+    if len(order) == 1:
+        return order[0]
+    scale = f"CAST({10**20} AS DECIMAL(21,0))"
+    tie = f" + {order[2]}" if len(order) == 3 else ""
+    return (
+        f"(CAST({order[0]} AS DECIMAL(17,0)) * {scale} "
+        f"+ CAST({order[1]} AS DECIMAL(19,0)) * 10{tie})"
+    )
+
+
 class Narrow:
     """BIGINT amounts."""
 
+    @staticmethod
+    def last(value: str, at: str) -> str:
+        """Aggregate: ``value`` where ``at`` is greatest, ignoring NULL values."""
+        return f"max_by({value}, IF({value} IS NULL, NULL, {at}))"
+
     @staticmethod
     def parts(value: str) -> list[str]:
         return [value]
@@ -75,6 +96,16 @@ class Wide:
     A joined total has limbs below 2^32 again, so carried sums cannot overflow.
     """
 
+    @staticmethod
+    def last(value: str, at: str) -> str:
+        """As for BIGINTs, byte group by byte group, to stay in a hash aggregate."""
+        groups = [(1, 4), (5, 7), (12, 7), (19, 7), (26, 7)]
+        picked = [
+            f"lpad(hex({Narrow.last(W.bytes_to_bigint(value, start, size), at)}), {2 * size}, '0')"
+            for start, size in groups
+        ]
+        return f"unhex(concat({', '.join(picked)}))"
+
     @staticmethod
     def parts(value: str) -> list[str]:
         return W.limbs(value)
@@ -107,6 +138,7 @@ class Put:
 
     name: str
     value: str
+    lane: type = Narrow
 
 
 @dataclass(frozen=True)
@@ -138,7 +170,7 @@ def fold(
     group = [*keys, SEGMENT]
     now, past = rows_upto(group, order), rows_before(group, order)
     incoming = rows_before(keys, [SEGMENT])
-    position = f"struct({', '.join(order)})"
+    position = rank(order)
 
     totals, carries, local, out = [], [], {}, {}
     for s in states:
@@ -146,7 +178,7 @@ def fold(
         before, after = f"{s.name}_before", f"{s.name}_after"
         if isinstance(s, Put):
             v = s.value
-            totals.append(f"max_by({v}, IF({v} IS NULL, NULL, {position})) AS {own}")
+            totals.append(f"{s.lane.last(v, position)} AS {own}")
             carries.append(f"{last_over(own, incoming)} AS {carry}")
             local[f"_{before}"] = last_over(v, past)
             local[f"_{after}"] = last_over(v, now)

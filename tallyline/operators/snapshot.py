@@ -7,23 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.fold import ORDER, SEGMENT, Narrow, plus, total
+from tallyline.operators.fold import ORDER, SEGMENT, Narrow, plus, rank, total
 
 
-def _position(order: Sequence[str]):
-    return F.struct(*[F.col(c) for c in order])
-
-
-def last_value(value: str, order: Sequence[str] = ORDER):
+def last_value(value: str, order: Sequence[str] = ORDER, lane: type = Narrow):
     """Aggregate: the last non-NULL ``value`` in ledger order."""
-    return F.max_by(value, F.when(F.col(value).isNotNull(), _position(order)))
+    return F.expr(lane.last(value, rank(order)))
 
 
-def snapshot_set(ledger: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def snapshot_set(
+    ledger: DataFrame, keys: Sequence[str], value: str, lane: type = Narrow
+) -> DataFrame:
+    """Last value per key; a key that was never written has no row."""
     return (
         ledger.where(F.col(value).isNotNull())
         .groupBy(*keys)
-        .agg(F.max_by(value, _position(ORDER)).alias(value))
+        .agg(last_value(value, ORDER, lane).alias(value))
     )
 
 
@@ -51,7 +50,7 @@ def set_sum_partials(
     ``put_value`` is NULL where the segment holds no set.
     """
     group = [*keys, SEGMENT]
-    pos = _position(order)
+    pos = F.expr(rank(order))
     is_put = F.col(put).isNotNull()
     last_put = F.max(F.when(is_put, pos)).over(Window.partitionBy(*group))
     later = F.col("_last").isNull() | (pos > F.col("_last"))
@@ -60,7 +59,7 @@ def set_sum_partials(
         .withColumn("_later", F.when(later & ~is_put, F.col(add)))
         .groupBy(*group)
         .agg(
-            F.max_by(put, F.when(is_put, pos)).alias("put_value"),
+            last_value(put, order, lane).alias("put_value"),
             F.expr(total(lane, "_later")).alias("add_value"),
         )
     )
@@ -81,7 +80,7 @@ def merge_set_sum(
         .where(counted)
         .groupBy(*keys)
         .agg(
-            F.max_by("put_value", F.when(has_put, F.col(SEGMENT))).alias("_put"),
+            last_value("put_value", [SEGMENT], lane).alias("_put"),
             F.expr(total(lane, "add_value")).alias("_add"),
         )
         .selectExpr(*keys, f"{plus(lane, '_put', '_add')} AS {out}")

@@ -219,7 +219,7 @@ def state_set_price(spark, sf_dir):
     """SET from decimal text; text that is no integer writes nothing."""
     text = "IF(k % 10 = 3, 'n/a', CAST(price AS STRING))"
     rows = pool_ledger(spark, sf_dir).withColumn("word", F.expr(W.text_to_word(text)))
-    done = fold(rows, ["pool"], [Put("price", "word")])
+    done = fold(rows, ["pool"], [Put("price", "word", Wide)])
     return done.drop("price").select(
         *ID,
         F.expr(W.word_text("price_before")).alias("price_before"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.operators.fold import rank
 from tallyline.sources.blocks import nest_blocks, read_blocks
 
 
@@ -19,8 +20,10 @@ def write_events(events: DataFrame, path: str, bucket: str) -> None:
 
 def first_per_kind(events: DataFrame) -> DataFrame:
     """The earliest log of each kind: a map-side minimum, one row per kind."""
-    position = F.struct("block", "log_index", "tx_index")
-    return events.groupBy("kind").agg(F.min(position).alias("at")).select("kind", "at.*")
+    at = rank(["block", "log_index"])
+    return events.groupBy("kind").agg(
+        *[F.expr(f"min_by({c}, {at})").alias(c) for c in ("block", "log_index", "tx_index")]
+    )
 
 
 def fixture_blocks(logs: DataFrame, events: DataFrame) -> DataFrame:
