@@ -62,7 +62,7 @@ def pool_values(events: DataFrame, tokens: DataFrame) -> DataFrame:
         Put("tick", "tick"), Put("price", "price", Wide),
         Put("d0", "pool_decimals0"), Put("d1", "pool_decimals1"),
     ]
-    states = pool_states(rows, puts=puts, lane=Wide).withColumnsRenamed(
+    states = pool_states(rows, puts=puts, lane=Wide, staged=True).withColumnsRenamed(
         {"d0_after": "decimals0", "d1_after": "decimals1"}
     )
     changes = events.where("kind = 'ModifyLiquidity'")

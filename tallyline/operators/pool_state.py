@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.operators.fold import Narrow, Put, Tally, fold, fold_set_sum, with_sql
 from tallyline.operators.snapshot import last_value, seed_rows, with_seed
 from tallyline.sources.catalog import CHANGE_KINDS, POOL_KINDS
+from tallyline.sources.stage import stage
 
 
 def pool_events(ledger: DataFrame) -> DataFrame:
@@ -40,13 +41,17 @@ def pool_states(
     keys: Sequence[str] = ("pool",),
     puts: Sequence[Put] = (Put("tick", "tick"), Put("price", "price")),
     lane: type = Narrow,
+    staged: bool = False,
 ) -> DataFrame:
     """All pool states before and after each pool event.
 
     Two scans of the same (pool, segment) partitions: the simple states first,
-    then liquidity, whose in-range test needs the tick.
+    then liquidity, whose in-range test needs the tick.  ``staged`` writes the
+    first result, so that the second scan does not compute it twice.
     """
     simple = fold(with_count(ledger), keys, [*puts, Tally("tx_count", "touch")])
+    if staged:
+        simple = stage(simple, "pool-states")
     return fold_set_sum(
         with_contribution(simple), keys, "liquidity", "liquidity", "contribution", lane
     ).drop("touch", "contribution")
