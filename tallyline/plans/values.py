@@ -9,7 +9,7 @@ from tallyline.operators import metadata as M
 from tallyline.operators import valuation as V
 from tallyline.operators.decode import decode
 from tallyline.operators.enrich import initialize_tokens, pool_values
-from tallyline.operators.fold import SEGMENT, Put, fold, with_sql
+from tallyline.operators.fold import SEGMENT, Put, fold
 from tallyline.plans.checks import (
     BOUNDS_SQL,
     TOKENS_SQL,
