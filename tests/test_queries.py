@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from tallyline.plans.registry import ORACLES as SQL
+from tallyline.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
