@@ -66,7 +66,7 @@ STATEMENTS = (
 PIECE = 4096
 GRAMS = (2, 3)
 BAND = 2
-COVERAGE = 70
+COVERAGE = 60
 STRETCH = 130
 # A gram every document has once: it carries documents without hits through the join.
 ROOT = np.uint64(0x726F6F74)

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import license_scan, quality_rules
+from tallyline.llm import license_scan, mixing, quality_rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,7 +142,8 @@ WITH t AS (
     min(first) AS first, max(last) AS last FROM numbered GROUP BY ALL
 ), found AS (
   SELECT * FROM spans WHERE CASE WHEN exact THEN votes = n_grams
-    ELSE 100 * votes >= 70 * n_grams AND 100 * (last - first + 3) <= 130 * length END
+    ELSE 100 * votes >= """ + str(license_scan.COVERAGE) + r""" * n_grams
+      AND 100 * (last - first + 3) <= """ + str(license_scan.STRETCH) + r""" * length END
 ), per AS (
   SELECT doc_id, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word,
     max(first) FILTER (exact) AS last_word,
@@ -163,3 +164,62 @@ FROM d LEFT JOIN per USING (doc_id)
 def op2_license_scan(spark, sf_dir):
     """License phrases and statements in every document."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op3_sharding")
+def op3_sharding(spark, sf_dir):
+    """All documents in 16 shards whose counts differ by one at most."""
+    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+MIX_SQL = r"""
+WITH s AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), src AS (
+  SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT] AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source)
+), r AS (
+  SELECT *, 2 * source_size / weight::DOUBLE AS lim,
+    (sum(source_size) OVER ())::DOUBLE * 150 / 100.0
+      - coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS rest,
+    (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS weights
+  FROM src WINDOW o AS (ORDER BY 2 * source_size / weight::DOUBLE, source NULLS LAST)
+), level AS (
+  SELECT rest, weights FROM r WHERE rest * weight <= 2 * source_size * weights
+  ORDER BY lim, rest, weights LIMIT 1
+), aims AS (
+  SELECT source, source_size, round(least(
+    coalesce((SELECT rest FROM level) * weight / (SELECT weights FROM level), 2.0 * source_size::DOUBLE),
+    2.0 * source_size::DOUBLE), 6)::DOUBLE AS target FROM r
+), u AS (
+  SELECT *, CASE WHEN source_size > 0 THEN round(least(target / source_size, 2.0) * 16777216) ELSE 0 END::BIGINT
+    AS units, ('0x' || substr(md5(coalesce(source, '')), 1, 6))::BIGINT AS shift FROM aims
+), b AS (
+  SELECT s.doc_id, s.source, s.size, u.source_size, u.target, u.units, u.shift,
+    coalesce(sum(u.units) OVER (PARTITION BY s.source ORDER BY
+      len(bin(size)) * 8 + ((size >> greatest(len(bin(size)) - 4, 0)) & 7),
+      md5(coalesce(s.doc_id::VARCHAR, '')), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM s JOIN u ON s.source IS NOT DISTINCT FROM u.source WHERE s.size > 0
+), trial AS (
+  SELECT source, i, abs(sum(size * ((before + shift + i * 1048576 + units) // 16777216
+    - (before + shift + i * 1048576) // 16777216))::DOUBLE - max(target)) AS miss
+  FROM b, range(16) AS t(i) GROUP BY source, i
+), best AS (
+  SELECT source, first(i ORDER BY miss, i) AS i FROM trial GROUP BY source
+), c AS (
+  SELECT doc_id, size, source_size, target, ((before + shift + i * 1048576 + units) // 16777216
+    - (before + shift + i * 1048576) // 16777216)::BIGINT AS copies
+  FROM b JOIN best ON b.source IS NOT DISTINCT FROM best.source
+  UNION ALL
+  SELECT s.doc_id, s.size, u.source_size, u.target, 0
+  FROM s JOIN u ON s.source IS NOT DISTINCT FROM u.source WHERE s.size = 0
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
+"""
+
+
+@query("op9_mixing", MIX_SQL)
+def op9_mixing(spark, sf_dir):
+    """How often the mix takes every document."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
