@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import license_scan, mixing, quality_rules, sharding
+from tallyline.llm import license_scan, mixing, packing, quality_rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,3 +224,10 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 def op9_mixing(spark, sf_dir):
     """How often the mix takes every document."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+@query("op5_packing")
+def op5_packing(spark, sf_dir):
+    """Every document's pieces in as few sequences of 2048 tokens as they fit."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
