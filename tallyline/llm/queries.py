@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import license_scan, mixing, packing, quality_rules, sharding
+from tallyline.llm import license_scan, mixing, near_dup, packing, quality_rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,3 +231,40 @@ def op5_packing(spark, sf_dir):
     """Every document's pieces in as few sequences of 2048 tokens as they fit."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(""" + LOWER_SQL.format("coalesce(text, '')") + r""",
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  UNION ALL
+  SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), pairs AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c
+  FROM sh AS p JOIN sh AS q ON p.g = q.g AND p.doc_id < q.doc_id GROUP BY p.doc_id, q.doc_id
+), links AS (
+  SELECT a, b FROM pairs JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION
+  SELECT reach.doc_id, ways.b FROM reach JOIN ways ON reach.r = ways.a
+), low AS (
+  SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM d JOIN low USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op7_near_duplicates", NEAR_SQL)
+def op7_near_duplicates(spark, sf_dir):
+    """Every document's near-duplicate component."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
