@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import words as W
 from tallyline.llm.graph import components
+from tallyline.llm.tables import few
 from tallyline.sources.stage import stage
 
 BANDS, ROWS = 32, 4
@@ -49,7 +50,6 @@ SKETCH_LONGS = 8
 SKETCH_BITS = 64 * SKETCH_LONGS
 SIMILARITY = 75  # percent
 MARGIN = 5.0
-BROADCAST_IDS = 1_000_000
 CHUNK = 1 << 15
 
 
@@ -186,11 +186,6 @@ def close(a: str, b: str) -> Column:
     )
 
 
-def few(ids: DataFrame) -> DataFrame:
-    """A written table of ids, broadcast only when it is small; else a merge join."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     wanted = stage(

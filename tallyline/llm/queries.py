@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import license_scan, mixing, near_dup, packing, quality_rules, sharding
+from tallyline.llm import license_scan, mixing, near_dup, packing, quality_rules, sharding, warc
+from tallyline.sources.stage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,3 +269,33 @@ FROM d JOIN low USING (doc_id) LEFT JOIN n USING (doc_id)
 def op7_near_duplicates(spark, sf_dir):
     """Every document's near-duplicate component."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS sha FROM pages
+), t AS (
+  SELECT *, max(page_id) OVER (PARTITION BY sha) AS top FROM p
+)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(8), lambda g:
+    array_to_string(list_transform([15, 10, 5, 0], lambda s:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(sha, g * 5 + 1, 5))::BIGINT >> s) & 31) + 1)::BIGINT, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM t
+"""
+
+
+@query("op8_warc", WARC_SQL)
+def op8_warc(spark, sf_dir):
+    """All pages through WARC archives: responses with payloads, revisits by header."""
+    path = new_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    responses = warc.records(spark, path).where("record_type = 'response'")
+    revisits = warc.headers(spark, path).where("record_type = 'revisit'")
+    names = ["page_id", "payload_digest", "record_type", "refers_to"]
+    return responses.select(
+        *names, F.octet_length("payload").cast("bigint").alias("payload_bytes")
+    ).unionByName(revisits.select(*names, "payload_bytes"))
