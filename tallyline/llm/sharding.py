@@ -52,12 +52,14 @@ def vertices(docs: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, most: int) -> DataFrame:
     """(uid, hub) of every document with a copy; at most about ``most`` share a hub."""
-    groups = (
+    # Written, so that the join below has exchanges of its own and can split a hot text.
+    groups = stage(
         docs.where("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("digest", F.ceil(F.col("n") / F.lit(max(most, 1))).alias("parts"))
+        .select("digest", F.ceil(F.col("n") / F.lit(max(most, 1))).alias("parts")),
+        "shard-groups",
     )
     linked = (
         docs.select("uid", "digest")
