@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import words as W
+from tallyline.llm.tables import fresh
 
 SYMBOLS = np.isin(W.BYTES, np.frombuffer(b"#*$%&|<>", np.uint8))
 NEWLINE = W.BYTES == 0x0A
@@ -135,9 +136,7 @@ def passes(policy: Policy, bits: str = "ledger.fail_bits") -> Column:
 
 def kept(docs: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """The documents that a policy keeps, with their own columns."""
-    into = "ledger"
-    while into in docs.columns:
-        into = f"_{into}"
+    into = fresh(docs, "ledger")
     return ledger(docs, into=into).where(passes(policy, f"{into}.fail_bits")).drop(into)
 
 

@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import license_scan, mixing, near_dup, packing, quality_rules, sharding, warc
+from tallyline.llm import (
+    cotraining,
+    license_scan,
+    mixing,
+    near_dup,
+    packing,
+    quality_rules,
+    sharding,
+    topk,
+    url_filter,
+    warc,
+)
 from tallyline.sources.stage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,3 +310,38 @@ def op8_warc(spark, sf_dir):
     return responses.select(
         *names, F.octet_length("payload").cast("bigint").alias("payload_bytes")
     ).unionByName(revisits.select(*names, "payload_bytes"))
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark, sf_dir):
+    """Every page's verdict by rule or by boosted trees."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "judged.*")
+
+
+TOPK_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
+@query("op4_top_k", TOPK_SQL)
+def op4_top_k(spark, sf_dir):
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op10_cotraining")
+def op10_cotraining(spark, sf_dir):
+    """Quality scores of all documents from two views trained on each other."""
+    return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

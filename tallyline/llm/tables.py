@@ -1,4 +1,4 @@
-"""Joins with tables of ids that may be small or large."""
+"""Small helpers for joins and column names."""
 
 from __future__ import annotations
 
@@ -11,3 +11,10 @@ BROADCAST_IDS = 1_000_000
 def few(ids: DataFrame) -> DataFrame:
     """A written table of ids, broadcast only when it is small; else a merge join."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
