@@ -32,7 +32,10 @@ def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return cotraining.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Trained on the raw table: the rules may have left no document labelled bad."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return cotraining.kept(docs, labels, raw)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
