@@ -17,19 +17,41 @@ WIDTH_CONF = "tallyline.segment.width"
 ROWS_CONF = "tallyline.segment.rows"
 DEFAULT_ROWS = 1_000_000
 MIN_SEGMENTS = 8
-# The carry step orders one total per segment of a key in one task.
-MAX_SEGMENTS = 100_000
+PIECES = 128
+ACCURACY = 20_000
 
 
 @dataclass(frozen=True)
-class Segments:
-    """Where segments start and how many blocks each spans."""
+class Piece:
+    """Blocks from ``start`` on, in segments of ``width`` blocks from number ``base`` on."""
 
     start: int
     width: int
+    base: int = 0
+
+
+@dataclass(frozen=True)
+class Segments:
+    """How block numbers map to segments: pieces in the order of their starts."""
+
+    pieces: tuple[Piece, ...]
+
+    @classmethod
+    def even(cls, start: int, width: int) -> Segments:
+        """Segments of one width everywhere."""
+        return cls((Piece(start, width),))
 
     def of(self, block: str = "block") -> Column:
-        return F.expr(f"({block} - {self.start}) div {self.width}")
+        return F.expr(self._sql(block, 0, len(self.pieces)))
+
+    def _sql(self, block: str, begin: int, end: int) -> str:
+        """A balanced decision tree over the pieces' starts."""
+        if end - begin == 1:
+            p = self.pieces[begin]
+            return f"(({block} - {p.start}L) div {p.width}L + {p.base}L)"
+        middle = (begin + end) // 2
+        low, high = self._sql(block, begin, middle), self._sql(block, middle, end)
+        return f"IF({block} < {self.pieces[middle].start}L, {low}, {high})"
 
 
 def block_span(source: DataFrame, block: str = "block") -> tuple[int, int, int]:
@@ -41,17 +63,37 @@ def block_span(source: DataFrame, block: str = "block") -> tuple[int, int, int]:
 
 
 def plan_segments(source: DataFrame, block: str = "block") -> Segments:
-    """Pick a width from the row count and block span of ``source``.
+    """Pick segments from where the rows of ``source`` are.
 
-    One aggregate over one column; pass the table as close to the scan as
-    possible so that only that column is read.  The session may fix the width
-    or the wanted rows per segment instead.
+    Row quantiles cut the blocks into up to ``PIECES`` pieces with about the
+    same number of rows, so a far block or a dense stretch does not fill one
+    segment; when more segments are wanted, each piece is cut evenly by blocks.
+    There is no maximum: a hot key carries one total per segment, a million for
+    10^12 rows.  One aggregate over one column; pass the table as close to the
+    scan as possible so that only that column is read.  The session may fix the
+    width or the wanted rows per segment instead.
     """
     conf = source.sparkSession.conf
     width = conf.get(WIDTH_CONF, None)
     if width is not None:
-        return Segments(0, int(width))
-    low, high, rows = block_span(source, block)
+        return Segments.even(0, int(width))
+    shares = ", ".join(f"{i / PIECES}D" for i in range(PIECES))
+    row = source.agg(
+        F.min(block).alias("lo"),
+        F.max(block).alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_percentile({block}, array({shares}), {ACCURACY})").alias("at"),
+    ).first()
+    if row["lo"] is None:
+        return Segments.even(0, 1)
     wanted = int(conf.get(ROWS_CONF, None) or DEFAULT_ROWS)
-    count = min(max(rows // wanted, MIN_SEGMENTS), MAX_SEGMENTS)
-    return Segments(low, max(-(-(high - low + 1) // count), 1))
+    count = max(-(-row["n"] // wanted), MIN_SEGMENTS)
+    step = max(PIECES // count, 1)
+    starts = sorted({row["lo"], *row["at"][::step]})
+    inside = -(-count // len(starts))
+    pieces, base = [], 0
+    for start, stop in zip(starts, [*starts[1:], row["hi"] + 1]):
+        width = max(-(-(stop - start) // inside), 1)
+        pieces.append(Piece(start, width, base))
+        base += -(-(stop - start) // width)
+    return Segments(tuple(pieces))

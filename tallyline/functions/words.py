@@ -227,14 +227,18 @@ def _text_magnitude(digits: str) -> str:
 
 
 def text_to_word(text: str) -> str:
-    """Decimal text to a word; NULL when it is not an integer or exceeds int256."""
+    """Decimal text to a word; NULL when it is not an integer.
+
+    An integer beyond int256 is an error: NULL would silently drop the write.
+    """
     magnitude = "unhex(substring(_h, 17, 64))"
+    too_big = "CAST(raise_error(concat('integer beyond 256 bits: ', _t)) AS BINARY)"
     lowest = f"(_t LIKE '-%' AND substring(_h, 17, 64) = '8{'0' * 63}')"
     wide = let(
         _text_magnitude("_n"),
         "_h",
-        f"CASE WHEN substring(_h, 1, 16) <> '{'0' * 16}' THEN NULL "
-        f"WHEN substring(_h, 17, 1) >= '8' AND NOT {lowest} THEN NULL "
+        f"CASE WHEN substring(_h, 1, 16) <> '{'0' * 16}' THEN {too_big} "
+        f"WHEN substring(_h, 17, 1) >= '8' AND NOT {lowest} THEN {too_big} "
         f"WHEN _t LIKE '-%' THEN {word_negate(magnitude)} ELSE {magnitude} END",
     )
     small = let(
@@ -244,7 +248,7 @@ def text_to_word(text: str) -> str:
         "regexp_extract(_t, '^[+-]?0*([0-9]+)$', 1)",
         "_n",
         f"CASE WHEN length(_n) <= 18 THEN {small} "
-        f"WHEN length(_n) <= {9 * _CHUNKS} THEN {wide} END",
+        f"WHEN length(_n) <= {9 * _CHUNKS} THEN {wide} ELSE {too_big} END",
     )
     return let(text, "_t", f"IF(_t RLIKE '^[+-]?[0-9]+$', {by_size}, NULL)")
 

@@ -82,13 +82,20 @@ class BlockRange:
 
 
 def in_ranges(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:
-    """Each row once per range that holds its block; the range list is a literal."""
+    """Each row once per range that holds its block; the range list is a literal.
+
+    The ranges also reach the scan as a plain predicate, so blocks outside all
+    of them are not read.
+    """
     literal = ", ".join(
         f"named_struct('range', '{r.name}', 'first', {r.first}L, 'last', {r.last}L)"
         for r in ranges
     )
     hits = f"filter(array({literal}), r -> block BETWEEN r.first AND r.last)"
-    return rows.selectExpr("*", f"explode(transform({hits}, r -> r.range)) AS range")
+    inside = " OR ".join(f"block BETWEEN {r.first} AND {r.last}" for r in ranges)
+    return rows.where(inside).selectExpr(
+        "*", f"explode(transform({hits}, r -> r.range)) AS range"
+    )
 
 
 def range_kind_counts(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:
@@ -138,9 +145,14 @@ def range_block_counts(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFra
 
 
 def missing_anchors(anchors: DataFrame, events: DataFrame) -> DataFrame:
-    """Expected logs that the events do not hold; must be empty."""
+    """Expected logs that the events do not hold; must be empty.
+
+    The events are first cut down to the few that an anchor names, so that only
+    the anchors can make the second join large.
+    """
     keys = ["tx_hash", "tx_index", "log_index"]
-    return anchors.join(events.select(*keys), keys, "left_anti")
+    hits = events.select(*keys).join(anchors.select(*keys), keys, "left_semi")
+    return anchors.join(hits, keys, "left_anti")
 
 
 def order_violations(rows: DataFrame) -> DataFrame:

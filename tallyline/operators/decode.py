@@ -37,6 +37,27 @@ def route(logs: DataFrame, registry: Sequence[Source] = REGISTRY) -> DataFrame:
     )
 
 
+def _reject_reason(registry: Sequence[Source]) -> str:
+    """Why a log gives no event, from its address, block and kind; NULL if it gives one."""
+    entries = ", ".join(f"X'{s.address}', {s.start_block}L" for s in registry)
+    start = f"element_at(map({entries}), address)"
+    return (
+        f"CASE WHEN {start} IS NULL THEN 'unknown source' WHEN block < {start} THEN 'not started' "
+        f"WHEN kind IS NULL THEN 'no signature' WHEN NOT ({_clean(FIELDS)}) THEN 'integer out of range' END"
+    )
+
+
+def _clean(fields: Sequence[str]) -> str:
+    """Condition: every narrow integer of the kind has a value of its type."""
+    checks = [
+        f"(kind = '{kind}' AND {name} IS NULL)"
+        for kind, names in _REQUIRED.items()
+        for name in names
+        if name in fields
+    ]
+    return f"NOT ({' OR '.join(checks)})" if checks else "true"
+
+
 def _match(signatures: Sequence[Signature]) -> str:
     """Kind by topic lookup; source, arity and data length must agree."""
     entries = ", ".join(
@@ -122,7 +143,8 @@ def decode(logs: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     """Typed events in one narrow pass over routed, matched logs.
 
     Wide integers stay 32-byte words; a narrow integer outside its type makes
-    the log malformed, and malformed logs give no row.
+    the log malformed.  Malformed logs give no row here and one row with the
+    reason in :func:`rejected_logs`.
     """
     matched = match_kind(route(logs)).where("kind IS NOT NULL")
     typed = matched.selectExpr(
@@ -131,19 +153,17 @@ def decode(logs: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
         "kind",
         *[f"{_case(_FIELDS[name])} AS {name}" for name in fields],
     )
-    checks = [
-        f"(kind = '{kind}' AND {name} IS NULL)"
-        for kind, names in _REQUIRED.items()
-        for name in names
-        if name in fields
-    ]
-    return typed.where(f"NOT ({' OR '.join(checks)})") if checks else typed
+    return typed.where(_clean(fields))
 
 
-def rejected_logs(logs: DataFrame) -> DataFrame:
-    """Logs that give no event: unknown source, not started, or malformed."""
-    keys = ["block", "log_index"]
-    return logs.join(decode(logs).select(*keys), keys, "left_anti")
+def rejected_logs(logs: DataFrame, registry: Sequence[Source] = REGISTRY) -> DataFrame:
+    """Logs that give no event, with the reason; one narrow pass, no exchange."""
+    judged = match_kind(logs.withColumn("source", F.expr(_routing(registry))))
+    needed = sorted({name for names in _REQUIRED.values() for name in names})
+    typed = with_sql(judged, {name: _case(_FIELDS[name]) for name in needed})
+    return with_sql(typed, {"reason": _reject_reason(registry)}).where("reason IS NOT NULL").select(
+        *logs.columns, "reason"
+    )
 
 
 def canonical_sequence(events: DataFrame) -> DataFrame:

@@ -49,16 +49,28 @@ def rank(order: Sequence[str]) -> str:
     """One number that sorts like ``order``: block, ordinal, then one tie digit.
 
     Numbers keep max_by in a hash aggregate; a struct would force a sort of the
-    ledger before the map-side aggregate.
+    ledger before the map-side aggregate.  A position outside the number's range
+    is an error, also without ANSI mode: NULL would silently lose a row.
     """
     if len(order) == 1:
         return order[0]
     scale = f"CAST({10**20} AS DECIMAL(21,0))"
     tie = f" + {order[2]}" if len(order) == 3 else ""
-    return (
+    outside = (
+        f"{order[0]} NOT BETWEEN -1 AND {10**17 - 1}L OR {order[1]} NOT BETWEEN -1 AND {2**62}L"
+    )
+    if tie:
+        outside += f" OR {order[2]} NOT BETWEEN 0 AND 9"
+    number = (
         f"(CAST({order[0]} AS DECIMAL(17,0)) * {scale} "
         f"+ CAST({order[1]} AS DECIMAL(19,0)) * 10{tie})"
     )
+    return f"IF({outside}, {raised('position out of range', 'DECIMAL(38,0)')}, {number})"
+
+
+def raised(message: str, kind: str) -> str:
+    """A fragment of the given type that fails when it is evaluated."""
+    return f"CAST(raise_error('{message}') AS {kind})"
 
 
 class Narrow:

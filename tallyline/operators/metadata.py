@@ -37,10 +37,12 @@ def required_calls(inits: DataFrame) -> DataFrame:
     return wanted_tokens(inits).select("block", "token", fields.alias("field"))
 
 
-def missing_calls(required: DataFrame, calls: DataFrame) -> DataFrame:
-    """Required calls without a response; a complete snapshot has none."""
-    return required.join(
-        calls.select("block", "token", "field"), ["block", "token", "field"], "left_anti"
+def answered_calls(required: DataFrame, calls: DataFrame) -> DataFrame:
+    """Required calls and whether there is a response; a complete snapshot answers all."""
+    keys = ["block", "token", "field"]
+    found = calls.select(*keys).distinct().withColumn("answered", F.lit(True))
+    return required.join(found, keys, "left").selectExpr(
+        *keys, "coalesce(answered, false) AS answered"
     )
 
 

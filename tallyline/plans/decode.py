@@ -124,13 +124,14 @@ def match_signature(spark, sf_dir):
 @query(
     "drop_malformed",
     DIRTY_SQL
-    + "SELECT block, slot AS log_index FROM B"
+    + "SELECT block, slot AS log_index, CASE WHEN k % 25 = 8 THEN 'unknown source'"
+    " WHEN block < start_block THEN 'not started' ELSE 'no signature' END AS reason FROM B"
     " WHERE k % 25 IN (7, 8) OR block < start_block",
 )
 def drop_malformed(spark, sf_dir):
-    """Everything that gives no event."""
+    """Everything that gives no event, and why."""
     return D.rejected_logs(encoded_logs(spark, sf_dir, dirty=True)).select(
-        "block", "log_index"
+        "block", "log_index", "reason"
     )
 
 

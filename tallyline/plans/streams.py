@@ -102,7 +102,7 @@ def late_ranges(spark, sf_dir):
 
 @query(
     "stream_totals",
-    POOL_SQL + "SELECT pool, count(touch) AS tx_count FROM P GROUP BY pool",
+    POOL_SQL + "SELECT pool, count(touch) AS tx_count FROM P GROUP BY pool HAVING count(touch) > 0",
 )
 def stream_totals(spark, sf_dir):
     """ADD totals by streaming aggregation with partial sums before the shuffle."""

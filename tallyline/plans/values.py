@@ -65,11 +65,7 @@ def meta_required_calls(spark, sf_dir):
     calls = calls_for(spark, sf_dir, inits).where(
         f"NOT (field = 'totalSupply' AND {index} % 97 = 13)"
     )
-    missing = M.missing_calls(required, calls).withColumn("answered", F.lit(False))
-    marked = required.join(missing, ["block", "token", "field"], "left")
-    return marked.selectExpr(
-        "block", *keys("token"), "field", "coalesce(answered, true) AS answered"
-    )
+    return M.answered_calls(required, calls).selectExpr("block", *keys("token"), "field", "answered")
 
 
 @query(

@@ -24,12 +24,25 @@ def read_blocks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.schema(BLOCK_SCHEMA).format(fmt).load(path)
 
 
-def block_range(blocks: DataFrame, start: int, stop: int, first: int = 0) -> DataFrame:
+def block_range(
+    blocks: DataFrame,
+    start: int,
+    stop: int,
+    first: int = 0,
+    bucket: str | None = None,
+    bucket_blocks: int = 1,
+) -> DataFrame:
     """Blocks of ``[start, stop)`` that are not before the job's first block.
 
-    Plain comparisons on the stored column, so partitions and row groups prune.
+    Plain comparisons on stored columns: row groups prune by ``block``, and
+    partitions by ``bucket``, the block divided by ``bucket_blocks``, where a
+    table is partitioned by it.
     """
-    return blocks.where((F.col("block") >= max(start, first)) & (F.col("block") < stop))
+    start = max(start, first)
+    rows = blocks.where((F.col("block") >= start) & (F.col("block") < stop))
+    if bucket is None:
+        return rows
+    return rows.where(F.col(bucket).between(start // bucket_blocks, (stop - 1) // bucket_blocks))
 
 
 def explode_logs(blocks: DataFrame) -> DataFrame:

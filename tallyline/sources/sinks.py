@@ -12,10 +12,10 @@ from tallyline.sources.blocks import nest_blocks, read_blocks
 def write_events(events: DataFrame, path: str, bucket: str) -> None:
     """Write events partitioned by block bucket.
 
-    A range exchange on the block first gives each task few buckets and splits
-    a large bucket over several files.
+    The rows are rebalanced by bucket: a task writes few buckets, and a large
+    bucket is split over several files, whatever the size.
     """
-    events.repartitionByRange("block", "ordinal").write.partitionBy(bucket).parquet(path)
+    events.hint("rebalance", bucket).write.partitionBy(bucket).parquet(path)
 
 
 def first_per_kind(events: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ columns, and no step is planned or computed twice.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -22,11 +23,16 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a private one only in local mode."""
+    """The session's checkpoint folder.
+
+    Where the setting is absent, a private folder serves a session whose
+    executors are threads of the driver, as in tests; anything else is an error.
+    """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     return _local_folder()
 

@@ -17,11 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+SPREAD_CONF = "tallyline.test.spread"
+
+
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Use all cores for CPU-bound work on a scan that has too few splits.
+    """Deal rows to as many tasks as the session asks for; off unless it is set.
 
-    A file with one row group cannot be split; real tables have many files and
-    pass through unchanged.
+    Tests and the bench set it: their single files have one row group, which no
+    scan can split.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    tasks = rows.sparkSession.conf.get(SPREAD_CONF, None)
+    return rows.repartition(int(tasks), key) if tasks else rows

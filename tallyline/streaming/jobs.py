@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.segments import block_span, plan_segments
-from tallyline.operators.fold import SEGMENT
+from tallyline.operators.fold import ORDER, SEGMENT
 from tallyline.operators.pool_state import (
     STATES,
     continue_pool_states,
@@ -24,6 +24,7 @@ from tallyline.operators.pool_state import (
 )
 from tallyline.operators.snapshot import drop_seed
 
+MARK_SCHEMA = "block BIGINT, ordinal BIGINT"
 SNAPSHOT_SCHEMA = "pool BIGINT, tick BIGINT, tx_count BIGINT, liquidity BIGINT"
 
 
@@ -63,9 +64,10 @@ class PoolStateJob:
     """Running pool states over landed ranges.
 
     Tables under ``root``: ``rows`` (before/after per event), ``snapshots`` (state
-    per pool after each batch), ``marks`` (last block of each batch) and ``late``
-    (rows at or before the last processed block; blocks are final, so these
-    break the input contract and never reach the state).
+    per pool after each batch), ``marks`` (last position of each batch, by block
+    and ordinal, so a block may be split over batches) and ``late`` (rows at or
+    before the last processed position; blocks are final and land in order, so
+    these break the input contract and never reach the state).
     """
 
     def __init__(self, spark: SparkSession, root: str, row_schema) -> None:
@@ -74,12 +76,13 @@ class PoolStateJob:
     def _path(self, name: str, batch: int) -> str:
         return f"{self.root}/{name}/batch={batch}"
 
-    def _mark(self, batch: int) -> int | None:
-        """Last block processed before ``batch``."""
+    def _mark(self, batch: int) -> tuple[int, int] | None:
+        """Block and ordinal of the last row processed before ``batch``."""
         if batch == 0:
             return None
-        marks = self.spark.read.schema("last_block BIGINT").parquet(self._path("marks", batch - 1))
-        return marks.first()["last_block"]
+        marks = self.spark.read.schema(MARK_SCHEMA).parquet(self._path("marks", batch - 1))
+        row = marks.first()
+        return None if row["block"] is None else (row["block"], row["ordinal"])
 
     def snapshot(self, batch: int) -> DataFrame:
         if batch < 0:
@@ -88,12 +91,13 @@ class PoolStateJob:
 
     def process(self, batch_rows: DataFrame, batch: int) -> None:
         mark = self._mark(batch)
-        fresh = batch_rows if mark is None else batch_rows.where(F.col("block") > mark)
-        late = batch_rows.where(F.lit(False) if mark is None else F.col("block") <= mark)
+        done = "false" if mark is None else f"block < {mark[0]} OR (block = {mark[0]} AND ordinal <= {mark[1]})"
+        fresh, late = batch_rows.where(f"NOT ({done})"), batch_rows.where(done)
         late.write.mode("overwrite").parquet(self._path("late", batch))
 
-        low, high, count = block_span(fresh)
-        seed_block = low - 1 if mark is None else mark
+        low = block_span(fresh)[0]
+        # Seeds come before every row of the batch, also in a block that was split.
+        seed_block = low - 1
         segments = plan_segments(fresh)
         states = continue_pool_states(
             fresh.withColumn(SEGMENT, segments.of()), self.snapshot(batch - 1), seed_block
@@ -105,10 +109,10 @@ class PoolStateJob:
         ).write.mode("overwrite").parquet(self._path("rows", batch))
         written = self.spark.read.parquet(self._path("rows", batch))
         pool_snapshot(written).write.mode("overwrite").parquet(self._path("snapshots", batch))
-        last = high if count else (mark if mark is not None else -1)
-        self.spark.range(1).select(F.lit(last).cast("bigint").alias("last_block")).write.mode(
-            "overwrite"
-        ).parquet(self._path("marks", batch))
+        last = fresh.agg(F.max(F.struct("block", "ordinal")).alias("at")).select(
+            *(F.coalesce(F.col(f"at.{c}"), F.lit(mark[i] if mark else None)).alias(c) for i, c in enumerate(ORDER))
+        )
+        last.write.mode("overwrite").parquet(self._path("marks", batch))
 
     def rows(self, batches: int) -> DataFrame:
         """Before/after rows of all batches."""
@@ -124,12 +128,14 @@ def incremental_totals(source: DataFrame, checkpoint: str, path: str) -> None:
     """Transaction totals per pool by Spark's own streaming aggregation.
 
     Partial sums are combined before the shuffle and only pools touched by a
-    batch are emitted; the latest row per pool is the total.
+    batch are emitted; the latest row per pool is the total.  A pool without a
+    transaction has no total.
     """
     totals = (
         with_count(source)
         .groupBy("pool")
-        .agg(F.count("touch").alias("tx_count"), F.max("event_id").alias("last_event"))
+        .agg(F.sum("touch").alias("tx_count"), F.max("event_id").alias("last_event"))
+        .where("tx_count IS NOT NULL")
     )
 
     def emit(updated: DataFrame, batch: int) -> None:

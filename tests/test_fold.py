@@ -45,7 +45,7 @@ def ledger(spark, rows, width):
     shuffled = rows[:]
     random.Random(1).shuffle(shuffled)
     df = spark.createDataFrame([(*r, word(r[4])) for r in shuffled], SCHEMA)
-    return df.withColumn(SEGMENT, Segments(0, width).of())
+    return df.withColumn(SEGMENT, Segments.even(0, width).of())
 
 
 @pytest.mark.parametrize(("seed", "width"), [(1, 1), (2, 7), (3, 25), (4, 1000)])
@@ -84,11 +84,11 @@ def test_asof(spark, inclusive):
     writes = spark.createDataFrame(
         [(1, 1, "x", 10), (1, 3, "x", 20), (9, 1, "x", 30), (2, 1, "y", 5)],
         "block bigint, ordinal bigint, k string, v bigint",
-    ).withColumn(SEGMENT, Segments(0, 4).of())
+    ).withColumn(SEGMENT, Segments.even(0, 4).of())
     probes = spark.createDataFrame(
         [(0, 1, "x"), (1, 3, "x"), (8, 1, "x"), (9, 1, "x"), (1, 1, "y"), (3, 1, "z")],
         "block bigint, ordinal bigint, k string",
-    ).withColumn(SEGMENT, Segments(0, 4).of())
+    ).withColumn(SEGMENT, Segments.even(0, 4).of())
     done = asof_lookup(writes, probes, ["k"], "v", "found", inclusive).collect()
     got = {(r.block, r.ordinal, r.k): r.found for r in done}
     assert got == {
@@ -104,7 +104,7 @@ def test_asof(spark, inclusive):
 def test_islands_cross_segments(spark):
     blocks = [1, 2, 3, 4, 5, 9, 10, 20, 33, 34, 35, 36, 37, 38]
     df = spark.createDataFrame([(b,) for b in blocks], "block bigint").withColumn(
-        SEGMENT, Segments(0, 3).of()
+        SEGMENT, Segments.even(0, 3).of()
     )
     got = sorted((r.first_block, r.last_block, r.blocks) for r in islands(df).collect())
     assert got == [(1, 5, 5), (9, 10, 2), (20, 20, 1), (33, 38, 6)]
