@@ -23,12 +23,15 @@ documents give no pieces; other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,51 +41,123 @@ from tallyline.sources.stage import stage
 
 SEQUENCE = 2048
 END = 0
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 PIECE = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 
 
-def word_encoder(path: str) -> Callable[[list[bytes]], list[np.ndarray]]:
+def alphabet() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary (fixed rule)."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    made = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+    return [made[b] for b in range(256)]
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Bytes where the tokenizer starts anew whatever stands around them.
+
+    These are places between two ASCII characters of which one is a letter and
+    the other is not, or both are not the same kind, and between digits.
+    Apostrophes, control characters and everything beyond ASCII are left to the
+    tokenizer.
+    """
+    kinds = KIND[data]
+    cut = np.zeros(len(data), bool)
+    left, right = kinds[:-1], kinds[1:]
+    cut[1:] = (left > 0) & (right > 0) & ((left != right) | (left == DIGIT))
+    return cut
+
+
+LETTER, DIGIT, MARK = 1, 2, 3
+KIND = np.zeros(256, np.uint8)
+KIND[0x21:0x7F] = MARK
+KIND[0x27] = 0
+KIND[0x30:0x3A] = DIGIT
+KIND[0x41:0x5B] = KIND[0x61:0x7B] = LETTER
+MARKS = re.compile(rb"[!-&(-/:-@\[-`{-~]+")
+
+
+class WordEncoder:
     """Token ids of texts, word by word.
 
-    The tokenizer drops white space and never joins ids across it, so a text's
-    ids are those of its white-space separated words one after another; known
-    words are looked up (at most ``KNOWN_WORDS`` are kept at a time).
+    The tokenizer drops white space and never joins ids across it or across the
+    places that ``cuts`` finds, so a text's ids are those of its words one
+    after another.  A batch's distinct words are encoded once, and known words
+    are looked up (at most ``KNOWN_WORDS`` are kept).  Words that are one run of
+    letters, marks or a digit go to the tokenizer's model directly; all others,
+    and texts with special tokens, go through the whole tokenizer.
     """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
-
-    def encode(texts: list[bytes]) -> list[np.ndarray]:
-        split = [text.split() for text in texts]
-        new = {word for words in split for word in words if word not in known}
-        if len(known) + len(new) > KNOWN_WORDS:
-            known.clear()
-            new = {word for words in split for word in words}
-        fresh = list(new)
-        coded = tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)
-        known.update(
-            (w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(fresh, coded, strict=True)
-        )
-        end = np.array([END], "<u4").tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in words]) + end, "<u4") for words in split]
 
-    return encode
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.bytes = dict(enumerate(alphabet()))
+        self.known: dict[bytes, bytes] = {}
+
+    def plain(self, word: bytes) -> str | None:
+        """The word as the model sees it, if it is one piece for certain."""
+        if word.isalpha() or word.isdigit():  # ASCII letters; digits stand alone
+            return word.decode()
+        if word.isascii():
+            return word.decode() if MARKS.fullmatch(word) else None
+        text = word.decode()
+        # Latin letters only: single characters in every normal form.
+        if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text and "\u0149" not in text:
+            return text.lower().encode().decode("latin-1").translate(self.bytes)
+        return None
+
+    def learn(self, words: list[bytes]) -> None:
+        rest = []
+        for word in words:
+            seen = self.plain(word)
+            if seen is None:
+                rest.append(word)
+            else:
+                self.known[word] = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+        coded = self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)
+        self.known.update((w, array("I", c.ids).tobytes()) for w, c in zip(rest, coded, strict=True))
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        source = W.texts(texts, lower=True)
+        words = W.split(source, W.WHITE, cuts(source.data))
+        names = words.names.to_pylist()
+        new = [w for w in names if w not in self.known]
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known.clear()
+            new = names
+        self.learn(new)
+        coded = [self.known[w] for w in names]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        flat = np.frombuffer(b"".join(coded), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        # Ids of all words in order: a ragged gather.
+        per = sizes[words.ids]
+        ends = np.cumsum(per)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - per, per)
+        ids = flat[np.repeat(starts[words.ids], per) + at]
+        bounds = np.append(0, ends)[words.bounds]
+        end = np.array([END], "<u4")
+        made = [np.append(ids[a:b], end) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        special = pc.fill_null(pc.match_substring(texts, "<|"), False).to_numpy(zero_copy_only=False)
+        for row in np.flatnonzero(special):
+            own = self.tokenizer.encode(texts[row].as_py(), add_special_tokens=False).ids
+            made[row] = np.array([*own, END], "<u4")
+        return made
 
 
 def piece_rows(path: str, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of (doc_id, text) to batches of pieces with a running count per length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path)
+        encode = WordEncoder(path)
         seen = np.zeros(SEQUENCE + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
-            texts = batch["text"].fill_null("").cast(pa.large_string()).cast(pa.large_binary())
             for rows in W.parts(batch["text"]):
                 owner, piece, start, length, crc, local, kept = [], [], [], [], [], [], []
-                for row, ids in enumerate(encode(texts[rows].to_pylist()), rows.start):
+                for row, ids in enumerate(encode(batch["text"][rows]), rows.start):
                     for number, begin in enumerate(range(0, len(ids), SEQUENCE)):
                         own = ids[begin : begin + SEQUENCE]
                         owner.append(row)
@@ -125,6 +200,10 @@ class Plan:
     patterns: list[tuple[int, ...]]
     times: list[int]
 
+    @classmethod
+    def of(cls, made: list[tuple[tuple[int, ...], int]]) -> Plan:
+        return cls([p for p, _ in made], [t for _, t in made])
+
     @property
     def sequences(self) -> int:
         return sum(self.times)
@@ -149,7 +228,21 @@ def complements(counts: np.ndarray, most: int, gap: int) -> Iterator[tuple[int,
 
 
 def plan(lengths: dict[int, int], size: int = SEQUENCE) -> Plan:
-    """Pack counted lengths: exact complements first, then best fit."""
+    """Pack counted lengths: exact complements first, then best fit.
+
+    With few pieces the exact fills can use up lengths that best fit needs more;
+    best fit alone is tried as well, and the fewer sequences win.
+    """
+    made, left = exact_fills(lengths, size)
+    filled = Plan.of(made + best_fit(left, size))
+    plain = Plan.of(best_fit(sorted(lengths.items(), reverse=True), size))
+    return min(filled, plain, key=lambda p: p.sequences)
+
+
+def exact_fills(
+    lengths: dict[int, int], size: int
+) -> tuple[list[tuple[tuple[int, ...], int]], list[tuple[int, int]]]:
+    """Patterns that fill a sequence exactly with their times, and the lengths left over."""
     counts = np.zeros(size + 1, np.int64)
     for length, n in lengths.items():
         counts[length] = n
@@ -176,11 +269,16 @@ def plan(lengths: dict[int, int], size: int = SEQUENCE) -> Plan:
             if not found:
                 left.append((length, int(counts[length])))
                 counts[length] = 0
-    # Best fit: open sequences by gap; each class is a pattern with a number of sequences.
+    return made, left
+
+
+def best_fit(left: list[tuple[int, int]], size: int) -> list[tuple[tuple[int, ...], int]]:
+    """Counted lengths, from long to short, each into the open sequences with the smallest gap."""
+    # Open sequences by gap; each class is a pattern with a number of sequences.
     open_: dict[int, list[list]] = {}
     for length, n in left:
         while n:
-            gap = next((g for g in range(length, size) if open_.get(g)), None)
+            gap = next((g for g in range(length, size + 1) if open_.get(g)), None)
             if gap is None:
                 fits = size // length
                 whole, rest = divmod(n, fits)
@@ -197,8 +295,7 @@ def plan(lengths: dict[int, int], size: int = SEQUENCE) -> Plan:
                 open_[gap].pop()
             open_.setdefault(gap - k * length, []).append([pattern + (length,) * k, used])
             n -= used * k
-    made += [(tuple(p), t) for classes in open_.values() for p, t in classes]
-    return Plan([p for p, _ in made], [t for _, t in made])
+    return [(tuple(p), t) for classes in open_.values() for p, t in classes]
 
 
 @dataclass(frozen=True)

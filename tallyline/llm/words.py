@@ -83,11 +83,16 @@ def texts(column: pa.Array, lower: bool = False) -> Texts:
     return Texts(LOWER[flat] if lower else flat, ends - ends[0])
 
 
-def split(source: Texts, separator: np.ndarray) -> Words:
-    """Maximal runs of bytes that are no separators; no run crosses texts."""
+def split(source: Texts, separator: np.ndarray, cut: np.ndarray | None = None) -> Words:
+    """Maximal runs of bytes that are no separators; no run crosses texts.
+
+    ``cut`` marks bytes that start a new run in any case.
+    """
     inside = ~separator[source.data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
+    if cut is not None:
+        first |= inside & cut
     begins = source.bounds[:-1]
     begins = begins[begins < len(inside)]
     first[begins] = inside[begins]
