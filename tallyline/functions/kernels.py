@@ -90,12 +90,6 @@ def plain(value: Decimal) -> str:
     return format(value.normalize(_UP), "f") if value else "0"
 
 
-def scaled(amount: int, decimals: int) -> Decimal:
-    """amount / 10^decimals to 34 digits."""
-    value = _integer(amount)
-    return _divide(value, Decimal(10) ** decimals) if decimals else value
-
-
 def prices(sqrt_price: int, decimals0: int, decimals1: int) -> tuple[str, str]:
     """(price of token0, price of token1); operands are rounded before dividing."""
     ratio = _divide(_integer(sqrt_price * sqrt_price), _integer(Q96 * Q96))
@@ -141,15 +135,6 @@ def token1_word(delta: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:
     return _rowwise(amount, delta, low, high, result=pa.binary())
 
 
-@F.arrow_udf(T.StringType())
-def scaled_text(amount: pa.Array, decimals: pa.Array, flip: pa.Array) -> pa.Array:
-    def text(a, d, f):
-        value = scaled(_int(a), d)
-        return plain(to_digits(value.copy_negate()) if f else value)
-
-    return _rowwise(text, amount, decimals, flip, result=pa.string())
-
-
 _PRICES = pa.struct([("price0", pa.string()), ("price1", pa.string())])
 
 

@@ -253,6 +253,44 @@ def text_to_word(text: str) -> str:
     return let(text, "_t", f"IF(_t RLIKE '^[+-]?[0-9]+$', {by_size}, NULL)")
 
 
+DIGITS = 34
+
+
+def scaled_text(word: str, decimals: str) -> str:
+    """The word over 10^decimals as plain text of at most 34 significant digits.
+
+    Integers of more digits are rounded first: half up above zero, toward zero
+    below it.  Dividing by a power of ten then only moves the point.
+    """
+    head = f"CAST(left(_s, {DIGITS}) AS DECIMAL(38,0))"
+    up = f"IF(_n NOT LIKE '-%' AND substring(_s, {DIGITS + 1}, 1) >= '5', 1, 0)"
+    rounded = (
+        f"IF(length(_s) <= {DIGITS}, _s, concat(CAST({head} + {up} AS STRING), "
+        f"repeat('0', length(_s) - {DIGITS})))"
+    )
+    point = f"CAST({decimals} AS INT)"
+    filled = f"lpad(_r, greatest(length(_r), {point} + 1), '0')"
+    fraction = f"rtrim('0', right(_f, {point}))"
+    moved = (
+        f"concat(IF(_n LIKE '-%', '-', ''), left(_f, length(_f) - {point}), "
+        f"IF({point} = 0 OR {fraction} = '', '', concat('.', {fraction})))"
+    )
+    text = let(rounded, "_r", let(filled, "_f", moved))
+    body = let("ltrim('-', _n)", "_s", text)
+    return let(
+        word_text(word), "_n", f"CASE WHEN _n IS NULL OR {decimals} IS NULL THEN NULL "
+        f"WHEN _n = '0' THEN '0' ELSE {body} END",
+    )
+
+
+def flipped_text(number: str) -> str:
+    """A number's text with the other sign."""
+    return let(
+        number, "_v",
+        "CASE WHEN _v = '0' THEN '0' WHEN _v LIKE '-%' THEN substring(_v, 2) ELSE concat('-', _v) END",
+    )
+
+
 def hex_key(b: str) -> str:
     """``0x`` and lowercase hex of a byte column."""
     return f"concat('0x', lower(hex({b})))"

@@ -54,6 +54,34 @@ def coverage_exceptions(dense: DataFrame) -> DataFrame:
     )
 
 
+def coverage_report(
+    spark: SparkSession, rows: DataFrame, start: int, stop: int, first_exception: int | None
+) -> DataFrame:
+    """One row on how ``rows`` cover the fixed target ``[start, stop)``.
+
+    Counts the target's blocks, those present, gaps, duplicates and rows outside
+    the target, names the first exception, and says whether nothing lies outside
+    and the first exception is the expected one (None: there must be none).
+    """
+    inside = rows.where(f"block >= {start} AND block < {stop}")
+    dense = dense_counts(spark, inside, start, stop).agg(
+        F.count(F.lit(1)).alias("target_blocks"),
+        F.count_if(F.col("n") > 0).alias("present"),
+        F.count_if(F.col("n") == 0).alias("gaps"),
+        F.count_if(F.col("n") > 1).alias("duplicates"),
+        F.min(F.when(F.col("n") != 1, F.col("block"))).alias("first_exception"),
+    )
+    outside = rows.where(f"block < {start} OR block >= {stop}").agg(
+        F.count(F.lit(1)).alias("outside"), F.max("block").alias("last_outside")
+    )
+    wanted = F.lit(first_exception).cast("bigint")
+    # Both sides are one row.
+    return dense.withColumn("_k", F.lit(1)).join(outside.withColumn("_k", F.lit(1)), "_k").drop("_k").withColumn(
+        "as_expected",
+        (F.col("outside") == 0) & F.col("first_exception").eqNullSafe(wanted),
+    )
+
+
 def islands(blocks: DataFrame) -> DataFrame:
     """Maximal runs of consecutive blocks.
 
@@ -79,6 +107,8 @@ class BlockRange:
     name: str
     first: int
     last: int
+    first_hash: str | None = None
+    last_hash: str | None = None
 
 
 def in_ranges(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:
@@ -134,6 +164,35 @@ def range_boundaries(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame
     return ends.join(first, "first_block").join(last, "last_block")
 
 
+def boundary_check(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:
+    """Hashes seen at each range's own first and last block against the expected ones.
+
+    Only rows of those blocks are read.  A block that is absent, or seen with
+    two hashes, is not as expected; a range without an expected hash accepts any.
+    """
+    ends = [
+        BlockRange(f"{side}:{r.name}", block, block)
+        for r in ranges
+        for side, block in (("first", r.first), ("last", r.last))
+    ]
+    seen = (
+        in_ranges(rows.select("block", "block_hash"), ends)
+        .groupBy("range")
+        .agg(F.min("block_hash").alias("low"), F.max("block_hash").alias("high"))
+    )
+    literal = ", ".join(
+        f"struct('{r.name}' AS range, '{side}' AS side, '{side}:{r.name}' AS at, {block}L AS block, "
+        f"{f"X'{wanted}'" if wanted else 'CAST(NULL AS BINARY)'} AS expected)"
+        for r in ranges
+        for side, block, wanted in (("first", r.first, r.first_hash), ("last", r.last, r.last_hash))
+    )
+    every = rows.sparkSession.range(1).selectExpr(f"inline(array({literal}))")
+    return every.join(seen.withColumnRenamed("range", "at"), "at", "left").selectExpr(
+        "range", "side", "block", "low AS block_hash", "expected",
+        "coalesce(low = high AND (expected IS NULL OR low = expected), false) AS as_expected",
+    )
+
+
 def range_block_counts(rows: DataFrame, ranges: Sequence[BlockRange]) -> DataFrame:
     """Distinct blocks with output per range: distinct first, then a plain count."""
     return (
@@ -184,6 +243,51 @@ def differences(
     return a.join(b, list(keys), "full_outer").where("NOT (first_run <=> second_run)")
 
 
+def range_differential(
+    first: DataFrame,
+    second: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    ranges: Sequence[BlockRange],
+) -> DataFrame:
+    """Two runs compared per range: blocks, records, duplicates, differences, verdict.
+
+    ``keys`` include ``block``.  Both runs are cut to the ranges at the scan and
+    counted in one grouping by key, so duplicates show and nothing is joined.
+    """
+    def side(df: DataFrame, number: int) -> DataFrame:
+        return in_ranges(df, ranges).selectExpr(
+            "range", *keys, f"struct({', '.join(values)}) AS v", f"{number} AS run"
+        )
+
+    records = side(first, 1).unionByName(side(second, 2)).groupBy("range", *keys).agg(
+        F.count_if(F.col("run") == 1).alias("n1"),
+        F.count_if(F.col("run") == 2).alias("n2"),
+        # Equal sums of value digests: the same values equally often.
+        F.expr("sum(CAST(IF(run = 1, xxhash64(v), -xxhash64(v)) AS DECIMAL(38,0))) = 0").alias("same"),
+    )
+    per_block = records.groupBy("range", "block").agg(
+        F.sum("n1").alias("n1"),
+        F.sum("n2").alias("n2"),
+        F.sum(F.greatest(F.col("n1") - 1, F.lit(0)) + F.greatest(F.col("n2") - 1, F.lit(0))).alias("duplicates"),
+        F.count_if(~(F.col("same") & (F.col("n1") == F.col("n2")))).alias("different"),
+    )
+    counted = per_block.groupBy("range").agg(
+        F.count(F.lit(1)).alias("blocks"),
+        F.sum("n1").alias("first_records"),
+        F.sum("n2").alias("second_records"),
+        F.sum("duplicates").alias("duplicates"),
+        F.sum("different").alias("different"),
+    )
+    names = ", ".join(f"'{r.name}'" for r in ranges)
+    every = first.sparkSession.range(1).selectExpr(f"explode(array({names})) AS range")
+    numbers = ("blocks", "first_records", "second_records", "duplicates", "different")
+    return every.join(counted, "range", "left").selectExpr(
+        "range", *[f"coalesce({n}, 0L) AS {n}" for n in numbers],
+        "coalesce(duplicates + different, 0L) = 0 AS agrees",
+    )
+
+
 def kinds_represented(events: DataFrame) -> DataFrame:
     """Every expected kind with its number of events, zero when it never occurs."""
     seen = events.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

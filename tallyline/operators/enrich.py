@@ -37,11 +37,14 @@ _POOL_COLUMNS = [
 
 
 def initialize_tokens(events: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Both tokens' metadata and effective decimals, one row per Initialize."""
+    """Both tokens' metadata and effective decimals, one row per Initialize.
+
+    Every wanted token needs a response to each call in ``metadata``.
+    """
     inits = events.where("kind = 'Initialize'").select(
         *EVENT, SEGMENT, "currency0", "currency1"
     )
-    rows = token_decimals(token_rows(inits, metadata))
+    rows = token_decimals(token_rows(inits, metadata, complete=True))
     return by_side(
         rows, EVENT, ["symbol", "name", "total_supply", "decimals", "pool_decimals"]
     )
@@ -82,13 +85,14 @@ _TICK_COLUMNS = [f"{side}_{name}" for side in ("lower", "upper") for name in TIC
 
 
 def encode_states(rows: DataFrame) -> DataFrame:
-    """State columns as shortest signed bytes; absent state is empty."""
+    """State columns and raw amounts as shortest signed bytes; absent is empty."""
     out = {}
     for when in ("before", "after"):
         for s in _NARROW:
             out[f"{s}_{when}"] = W.minimal_signed_bytes(W.bigint_to_word(f"{s}_{when}"))
         for s in _WIDE:
             out[f"{s}_{when}"] = W.minimal_signed_bytes(f"{s}_{when}")
+    out |= {f"raw{i}": W.minimal_signed_bytes(f"raw{i}") for i in (0, 1)}
     return with_sql(rows, out)
 
 

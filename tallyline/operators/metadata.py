@@ -87,6 +87,7 @@ def decode_metadata(calls: DataFrame) -> DataFrame:
             f"{decode_number('raw', 'failed')}, NULL)",
         },
     )
+    bits = " ".join(f"WHEN '{f}' THEN {1 << i}" for i, f in enumerate(CALL_FIELDS))
     grouped = values.groupBy("block", "token").agg(
         *[
             F.max(F.when(F.col("field") == field, F.col(col))).alias(name)
@@ -96,7 +97,9 @@ def decode_metadata(calls: DataFrame) -> DataFrame:
                 ("totalSupply", "_word", "_supply"),
                 ("decimals", "_word", "_decimals"),
             )
-        ]
+        ],
+        # One bit per call that has a response, failed or not.
+        F.expr(f"bit_or(CASE field {bits} ELSE 0 END)").alias("answers"),
     )
     decimals = W.let(
         W.word_to_bigint("_decimals"), "_v", f"IF(_v >= 0 AND _v < {NO_DECIMALS}, _v, NULL)"
@@ -104,6 +107,7 @@ def decode_metadata(calls: DataFrame) -> DataFrame:
     return grouped.selectExpr(
         "block",
         "token",
+        "answers",
         "coalesce(symbol, 'unknown') AS symbol",
         "coalesce(name, 'unknown') AS name",
         f"coalesce({W.unsigned_word_text('_supply')}, '0') AS total_supply",
@@ -111,12 +115,24 @@ def decode_metadata(calls: DataFrame) -> DataFrame:
     )
 
 
-def token_rows(inits: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Initialize rows as (side, token) rows with metadata or defaults."""
+def token_rows(inits: DataFrame, metadata: DataFrame, complete: bool = False) -> DataFrame:
+    """Initialize rows as (side, token) rows with metadata or defaults.
+
+    With ``complete`` a token without a response to each of its calls is an
+    error: an incomplete snapshot must not pass for tokens that do not answer.
+    """
     names = list(NATIVE)
     joined = currencies(inits).join(
         metadata.withColumn("_known", F.lit(True)), ["block", "token"], "left"
     )
+    if complete:
+        every = (1 << len(CALL_FIELDS)) - 1
+        absent = f"token <> {ZERO_ADDRESS} AND coalesce(answers, 0) <> {every}"
+        problem = "concat('metadata responses missing for block ', block, ', token ', hex(token))"
+        joined = with_sql(
+            joined, {"_known": f"IF({absent}, CAST(raise_error({problem}) AS BOOLEAN), _known)"}
+        )
+    joined = joined.drop("answers")
     filled = {
         n: f"CASE WHEN token = {ZERO_ADDRESS} THEN {NATIVE[n]} "
         f"WHEN _known THEN {n} ELSE {UNKNOWN[n]} END"

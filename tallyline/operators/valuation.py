@@ -13,7 +13,6 @@ from tallyline.functions import words as W
 from tallyline.functions.kernels import (
     MAX_TICK,
     price_texts,
-    scaled_text,
     tick_ratio_word,
     token0_word,
     token1_word,
@@ -88,11 +87,9 @@ def token_amounts(rows: DataFrame) -> DataFrame:
         }
         | {"_flip": "kind = 'Swap'"},
     )
-    return step.select(
-        "*",
-        scaled_text("_raw0", "decimals0", "_flip").alias("token_amount0"),
-        scaled_text("_raw1", "decimals1", "_flip").alias("token_amount1"),
-    ).drop("_raw0", "_raw1", "_flip")
+    amounts = {f"token_amount{i}": W.scaled_text(f"_raw{i}", f"decimals{i}") for i in (0, 1)}
+    flipped = {name: f"IF(_flip, {W.flipped_text(name)}, {name})" for name in amounts}
+    return with_sql(with_sql(step, amounts), flipped).drop("_raw0", "_raw1", "_flip")
 
 
 def pool_prices(rows: DataFrame) -> DataFrame:

@@ -318,3 +318,79 @@ def sink_roundtrip(spark, sf_dir):
         "coalesce(initialize.tick, swap.tick) AS tick",
         "modify_liquidity.liquidity_delta AS delta",
     )
+
+
+TARGET = (LEDGER_BLOCK, LEDGER_BLOCK + 90)
+
+
+@query(
+    "coverage_target",
+    LEDGER_SQL
+    + f""", S AS (SELECT block FROM L WHERE kind = 'Swap'),
+N AS (SELECT b AS block, count(S.block) AS n FROM range({TARGET[0]}, {TARGET[1]}) t(b)
+      LEFT JOIN S ON S.block = b GROUP BY b),
+O AS (SELECT count(*) AS outside, max(block) AS last_outside FROM S
+      WHERE block < {TARGET[0]} OR block >= {TARGET[1]})
+SELECT count(*) AS target_blocks, count(*) FILTER (n > 0) AS present, count(*) FILTER (n = 0) AS gaps,
+  count(*) FILTER (n > 1) AS duplicates, min(CASE WHEN n <> 1 THEN block END) AS first_exception,
+  max(outside) AS outside, max(last_outside) AS last_outside,
+  max(outside) = 0 AND min(CASE WHEN n <> 1 THEN block END) IS NULL AS as_expected
+FROM N, O""",
+)
+def coverage_target(spark, sf_dir):
+    """Swaps against a fixed target of 90 blocks, with what lies outside it."""
+    swaps = ledger(spark, sf_dir).where("kind = 'Swap'")
+    return A.coverage_report(spark, swaps, *TARGET, None)
+
+
+def block_hash(block: int) -> str:
+    """The test ledger's hash of a block."""
+    return f"{block:064x}"
+
+
+# The second range expects a wrong hash at its end, the last one a block that is absent.
+CHECKED_RANGES = (
+    A.BlockRange("right", LEDGER_BLOCK + 1, LEDGER_BLOCK + 40, block_hash(LEDGER_BLOCK + 1), block_hash(LEDGER_BLOCK + 40)),
+    A.BlockRange("wrong", LEDGER_BLOCK + 41, LEDGER_BLOCK + 50, block_hash(LEDGER_BLOCK + 41), block_hash(1)),
+    A.BlockRange("absent", LEDGER_BLOCK - 9, LEDGER_BLOCK + 50, None, None),
+)
+ENDS_SQL = "(VALUES " + ", ".join(
+    f"('{r.name}', '{side}', {block}, {f"'0x{h}'" if h else 'NULL'})"
+    for r in CHECKED_RANGES
+    for side, block, h in (("first", r.first, r.first_hash), ("last", r.last, r.last_hash))
+) + ') e("range", side, block, expected)'
+
+
+@query(
+    "range_boundary_check",
+    LEDGER_SQL
+    + f""", H AS (SELECT DISTINCT block, {key_sql('block', 64)} AS block_hash FROM L)
+SELECT "range", side, e.block, block_hash, expected,
+  block_hash IS NOT NULL AND (expected IS NULL OR expected = block_hash) AS as_expected
+FROM {ENDS_SQL} LEFT JOIN H USING (block)""",
+)
+def range_boundary_check(spark, sf_dir):
+    """Hashes at the ends of each range against the expected ones."""
+    rows = A.boundary_check(encoded_logs(spark, sf_dir), CHECKED_RANGES)
+    return rows.selectExpr("range", "side", "block", *keys("block_hash", "expected"), "as_expected")
+
+
+@query(
+    "range_differential",
+    LEDGER_SQL
+    + f""", R AS (SELECT "range", L.* FROM {RANGES_SQL} JOIN L ON block BETWEEN first AND last)
+SELECT x."range", count(DISTINCT block) AS blocks, count(event_id) AS first_records,
+  count(event_id) FILTER (k % 25 <> 9) + count(event_id) FILTER (k % 25 = 3) AS second_records,
+  count(event_id) FILTER (k % 25 = 3) AS duplicates,
+  count(event_id) FILTER (k % 25 IN (3, 9) OR (k % 25 = 4 AND tick IS NOT NULL)) AS different,
+  count(event_id) FILTER (k % 25 IN (3, 9) OR (k % 25 = 4 AND tick IS NOT NULL)) = 0 AS agrees
+FROM {RANGES_SQL} LEFT JOIN R ON R."range" = x."range" GROUP BY x."range" """,
+)
+def range_differential(spark, sf_dir):
+    """Two runs per range; the second one drops, shifts and repeats some records."""
+    first = ledger(spark, sf_dir).select("block", "ordinal", "kind", "tick", "k")
+    second = with_sql(
+        first.where("k % 25 <> 9"), {"tick": "IF(k % 25 = 4, tick + 1, tick)"}
+    )
+    second = second.unionByName(first.where("k % 25 = 3"))
+    return A.range_differential(first, second, ["block", "ordinal"], ["kind", "tick"], RANGES)

@@ -233,7 +233,7 @@ def enriched_ledger(spark, sf_dir):
     return rows.selectExpr(
         "block", "ordinal", "kind", "source", f"{W.hex_key('pool')} AS pool",
         *[f"coalesce(lower(hex({c})), '') AS {c}" for c in (*STATE_COLUMNS, *TICK_COLUMNS)],
-        f"{W.word_text('raw0')} AS amount0_raw", f"{W.word_text('raw1')} AS amount1_raw",
+        *[f"{W.word_text(W.signed_bytes_to_word(f'raw{i}'))} AS amount{i}_raw" for i in (0, 1)],
         "token_amount0", "token_amount1",
         *[
             f"IF(token{i}_price_after = '', NULL, {micro(f'token{i}_price_after')}) "

@@ -1,11 +1,12 @@
 """Exact kernels against golden vectors and fractions."""
 
-from decimal import Decimal
+from decimal import Context, Decimal
 from fractions import Fraction
 
 import pytest
 
 from tallyline.functions import kernels as K
+from tallyline.functions import words as W
 
 Q96 = 2**96
 
@@ -71,10 +72,78 @@ def test_price_fixture():
     assert K.prices(0, 18, 6) == ("0", "0")
 
 
-def test_scaled_fixture():
-    assert K.plain(K.scaled(123_456, 3)) == "123.456"
-    assert K.plain(K.scaled(-5, 0)) == "-5"
-    assert K.plain(K.scaled(10**40, 2)) == "1" + "0" * 38
+@pytest.mark.parametrize(
+    ("tick", "ratio", "inverse"),
+    # Ratios of the ticks with a single bit, and of their negatives.
+    [
+        (1, 79232123823359799118286999568, 79224201403219477170569942574),
+        (2, 79236085330515764027303304732, 79220240490215316061937756561),
+        (4, 79244008939048815603706035062, 79212319258289487113226433917),
+        (8, 79259858533276714757314932306, 79196479170490597288862688491),
+        (16, 79291567232598584799939703905, 79164808496886665658930780292),
+        (32, 79355022692464371645785046467, 79101505139923049997807806615),
+        (64, 79482085999252804386437311142, 78975050245229982702767995060),
+        (128, 79736823300114093921829183327, 78722746600537056721934508530),
+        (256, 80248749790819932309965073893, 78220554859095770638340573244),
+        (512, 81282483887344747381513967012, 77225761753129597550065289037),
+        (1024, 83390072131320151908154831282, 75273969370139069689486932538),
+        (2048, 87770609709833776024991924139, 71517125791179246722882903168),
+        (4096, 97234110755111693312479820774, 64556580881331167221767657720),
+        (8192, 119332217159966728226237229891, 52601903197458624361810746400),
+        (16384, 179736315981702064433883588728, 34923947901690145425342545399),
+        (32768, 407748233172238350107850275305, 15394552875315951095595078918),
+        (65536, 2098478828474011932436660412518, 2991262837734375505310244437),
+        (131072, 55581415166113811149459800483534, 112935262922445818024280874),
+        (262144, 38992368544603139932233054999993536, 160982827401375763736069),
+        (524288, 19190206568837448476620805525116361302670, 327099227039063107),
+    ],
+)
+def test_single_bit_ticks(tick, ratio, inverse):
+    assert K.tick_ratio(tick) == ratio and K.tick_ratio(-tick) == inverse
+    # Within one unit of sqrt(1.0001)^tick in Q96, by Fraction-free long arithmetic.
+    exact = Decimal("1.0001") ** tick
+    assert abs(Decimal(ratio) ** 2 / Decimal(Q96) ** 2 / exact - 1) < Decimal("1e-9")
+
+
+def rounded(amount, decimals):
+    """amount / 10^decimals to 34 digits, by Python's decimals."""
+    value = K.to_digits(Decimal(amount))
+    shifted = value.scaleb(-decimals, Context(prec=100, Emin=-(10**6), Emax=10**6))
+    text = format(shifted, "f")
+    return (text.rstrip("0").rstrip(".") if "." in text else text) if amount else "0"
+
+
+@pytest.mark.parametrize(
+    ("amount", "decimals", "text"),
+    [
+        (123_456, 3, "123.456"), (-5, 0, "-5"), (0, 18, "0"), (10**40, 2, "1" + "0" * 38),
+        (-1, 18, "-0.000000000000000001"), (1500, 2, "15"), (2**255 - 1, 0, None), (-(2**255), 77, None),
+        (int("1" * 34 + "5"), 1, None), (-int("1" * 34 + "9"), 1, None), (10**35 - 1, 35, None), (7, 254, None),
+    ],
+)
+def test_scaled_text(spark, amount, decimals, text):
+    df = spark.createDataFrame(
+        [(amount.to_bytes(32, "big", signed=True), decimals)], "w binary, d bigint"
+    ).selectExpr(f"{W.scaled_text('w', 'd')} AS t")
+    want = rounded(amount, decimals)
+    assert df.first().t == want and text in (None, want)
+    flipped = df.selectExpr(f"{W.flipped_text('t')} AS t").first().t
+    assert flipped == ("0" if want == "0" else want[1:] if amount < 0 else "-" + want)
+
+
+def test_missing_metadata_fails(spark):
+    from tallyline.operators.metadata import decode_metadata, token_rows
+
+    inits = spark.createDataFrame([(1, bytes(20), b"\1" * 20)], "block bigint, currency0 binary, currency1 binary")
+    calls = [(1, b"\1" * 20, f, True, b"") for f in ("symbol", "name", "totalSupply", "decimals")]
+    kind = "block bigint, token binary, field string, failed boolean, raw binary"
+    metadata = decode_metadata(spark.createDataFrame(calls, kind))
+    assert [r.symbol for r in token_rows(inits, metadata, complete=True).orderBy("side").collect()] == ["ETH", "unknown"]
+    for some in (calls[:3], calls[:0]):
+        part = decode_metadata(spark.createDataFrame(some, kind))
+        assert token_rows(inits, part).count() == 2
+        with pytest.raises(Exception, match="metadata responses missing"):
+            token_rows(inits, part, complete=True).collect()
 
 
 @pytest.mark.parametrize("sqrt_price", [1, 4295128739, 3 * Q96 // 7, 10**40])
