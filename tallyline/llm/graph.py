@@ -43,7 +43,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             star(both)
             .where("other > node")
             .select(F.col("other").alias("node"), F.least("node", "to").alias("other"))
-            .distinct()
         )
         large = stage(large, "large-star")
         # Small star: a node and its smaller neighbours hang on the smallest of them.

@@ -1,7 +1,8 @@
 """Near-duplicate documents: banded MinHash, odd sketches, exact confirmation.
 
 1. Every text becomes the set of its distinct five-word shingles, a MinHash
-   signature of ``BANDS`` x ``ROWS`` samples and an odd sketch.  Texts with
+   signature of ``BANDS`` x ``ROWS`` values and an odd sketch of ``SAMPLES``
+   one-permutation MinHash samples.  Texts with
    equal sets are one class: its smallest doc_id stands for it from then on.
 2. Classes that agree in all samples of a band meet in a bucket.  The
    candidate pairs of a bucket are its first member with every other one, so
@@ -45,9 +46,10 @@ from tallyline.llm.tables import few
 from tallyline.sources.stage import stage
 
 BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
-SKETCH_LONGS = 8
-SKETCH_BITS = 64 * SKETCH_LONGS
+SAMPLE_BITS = 12
+SAMPLES = 1 << SAMPLE_BITS
+LONGS = 32
+BITS = 64 * LONGS
 SIMILARITY = 75  # percent
 MARGIN = 5.0
 CHUNK = 1 << 15
@@ -55,18 +57,25 @@ CHUNK = 1 << 15
 
 def factors() -> np.ndarray:
     """One odd multiplier per sample, from a fixed sequence."""
-    return W.mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
+    return W.mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def most_sketch_bits() -> int:
-    """Differing sketch bits that a pair at the similarity threshold hardly exceeds.
+def most_sketch_bits(a: str, b: str) -> str:
+    """Differing sketch bits that two linked sets of sizes ``a`` and ``b`` hardly exceed.
 
-    Differing samples are binomial; each toggles one bit per side.
+    At the threshold a quarter of the union's samples differ (with the finite
+    population's spread: small sets are sampled whole), a differing sample
+    toggles one bit, or two where both sets have one, and parity folds toggles
+    into bits.  The bound is the mean plus ``MARGIN`` standard deviations.
     """
     miss = 1 - SIMILARITY / 100
-    differing = SAMPLES * miss + MARGIN * np.sqrt(SAMPLES * miss * (1 - miss))
-    expected = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * differing))
-    return int(np.ceil(expected))
+    union = f"(({a} + {b}) / {1 + SIMILARITY / 100}D)"
+    used = f"({SAMPLES} * (1 - exp(-{union} / {SAMPLES})))"
+    both = f"(2 - exp(-least({a}, {b}) / {SAMPLES}D))"
+    fade = f"exp(-2 * {miss}D * {used} * {both} / {BITS})"
+    spread = f"({fade} * {fade} * {both} * {both} * {miss * (1 - miss)}D * {used} * greatest(1 - {used} / {union}, 0D))"
+    folded = f"({BITS / 4}D * (1 - {fade} * {fade}) - {miss}D * {used} * {both} * {fade} * {fade})"
+    return f"({BITS / 2}D * (1 - {fade}) + {MARGIN}D * sqrt({spread} + greatest({folded}, 1D)))"
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +106,7 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     sizes = np.diff(bounds)
     full = np.flatnonzero(sizes)
     starts = bounds[:-1][full]
-    made = np.full((len(full), SAMPLES), np.iinfo(np.uint64).max, np.uint64)
+    made = np.full((len(full), BANDS * ROWS), np.iinfo(np.uint64).max, np.uint64)
     # In chunks that stay in the cache; a set may span chunks.
     for begin in range(0, len(values), CHUNK):
         chunk = values[begin : begin + CHUNK]
@@ -119,14 +128,22 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps: every sample toggles one bit."""
-    salt = W.mixed(np.arange(SAMPLES, dtype=np.uint64))
-    bit = (W.mixed(samples ^ salt) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    rows = np.repeat(np.arange(len(samples)), SAMPLES)
-    odd = np.bincount(rows * SKETCH_BITS + bit.ravel(), minlength=len(samples) * SKETCH_BITS) & 1
-    packed = np.packbits(odd.astype(np.uint8).reshape(len(samples), SKETCH_BITS), axis=1)
-    return packed.view(np.int64)
+def odd_sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the non-empty sets: every sample toggles one bit.
+
+    Samples are the least hash in each of ``SAMPLES`` ranges of hash values (one
+    permutation MinHash); ``values`` are sorted within their set, so those are
+    the first ones of each range.
+    """
+    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    kind = values >> np.uint64(64 - SAMPLE_BITS)
+    first = np.ones(len(values), bool)
+    first[1:] = (rows[1:] != rows[:-1]) | (kind[1:] != kind[:-1])
+    full = np.flatnonzero(np.diff(bounds))
+    place = np.searchsorted(full, rows[first])
+    bit = (W.mixed(values[first]) % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(place * BITS + bit, minlength=len(full) * BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(full), BITS), axis=1).view(np.int64)
 
 
 def digests(values: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
@@ -158,7 +175,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch["doc_id"][part], pa.array(sizes.astype(np.int64)),
                     *digests(values, bounds),
                     lists(band_keys(samples).ravel(), at * BANDS),
-                    lists(odd_sketches(samples).ravel(), at * SKETCH_LONGS),
+                    lists(odd_sketches(values, bounds).ravel(), at * LONGS),
                 ],
                 names=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"],
             )
@@ -179,10 +196,10 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def close(a: str, b: str) -> Column:
     """Whether set sizes and odd sketches leave a link possible."""
-    bits = " + ".join(f"bit_count({a}.sketch[{i}] ^ {b}.sketch[{i}])" for i in range(SKETCH_LONGS))
+    bits = " + ".join(f"bit_count({a}.sketch[{i}] ^ {b}.sketch[{i}])" for i in range(LONGS))
     return F.expr(
         f"100 * least({a}.n_shingles, {b}.n_shingles) >= {SIMILARITY} * greatest({a}.n_shingles, {b}.n_shingles)"
-        f" AND {bits} <= {most_sketch_bits()}"
+        f" AND {bits} <= {most_sketch_bits(f'{a}.n_shingles', f'{b}.n_shingles')}"
     )
 
 
@@ -295,7 +312,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(first, ["a", "b"], "left_anti")
     )
     more = stage(confirmed(stage(second, "near-second"), docs), "near-more")
-    parts = components(links.unionByName(more))
+    # The new links join components, so only those are linked anew.
+    label = lambda side: parts.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+    joined = components(
+        more.join(label("a"), "a", "left")
+        .join(label("b"), "b", "left")
+        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    ).toDF("component", "joined")
+    parts = parts.unionByName(
+        joined.select(F.col("component").alias("node"), "component")
+    ).distinct().join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
 
     labels = (
         nodes()
