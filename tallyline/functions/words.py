@@ -117,7 +117,7 @@ def limb_array(word: str) -> str:
 
 
 def pack(parts: str, carry: int = 0) -> str:
-    """Propagate carries through an array of non-negative limbs, modulo 2^256."""
+    """Propagate carries through an array of limbs, modulo 2^256; limbs may be negative."""
     total = "(_x + _c.carry)"
     return (
         f"aggregate({parts}, named_struct('carry', {carry}L, 'out', ''), (_c, _x) -> "
@@ -131,6 +131,12 @@ def limbs_to_word(parts: list[str]) -> str:
     return let(f"array({', '.join(parts)})", "_y", f"IF(_y[0] IS NULL, NULL, {pack('_y')})")
 
 
+def flat_word(parts: list[str]) -> str:
+    """Limbs whose carries have run already, least significant first, as a word."""
+    low = [f"lpad(hex({p} & {_LOW32}L), 8, '0')" for p in reversed(parts)]
+    return f"unhex(concat({', '.join(low)}))"
+
+
 def word_add(a: str, b: str) -> str:
     return pack(f"zip_with({limb_array(a)}, {limb_array(b)}, (_p, _q) -> _p + _q)")
 
@@ -139,12 +145,6 @@ def word_negate(a: str) -> str:
     return pack(f"transform({limb_array(a)}, _p -> {_LOW32} - _p)", carry=1)
 
 
-def word_sub(a: str, b: str) -> str:
-    return pack(
-        f"zip_with({limb_array(a)}, {limb_array(b)}, (_p, _q) -> _p + {_LOW32} - _q)", carry=1
-    )
-
-
 def minimal_signed_bytes(word: str) -> str:
     """Shortest big-endian two's complement; absent (NULL) becomes empty bytes."""
     return (

@@ -90,12 +90,13 @@ class Narrow:
         return parts[0]
 
     @staticmethod
-    def add(a: str, b: str) -> str:
-        return f"({a} + {b})"
+    def joined(df: DataFrame, values: dict[str, list[str]]) -> DataFrame:
+        """Add columns given as parts; NULL where the first part is."""
+        return with_sql(df, {name: parts[0] for name, parts in values.items()})
 
     @staticmethod
-    def sub(a: str, b: str) -> str:
-        return f"({a} - {b})"
+    def add(a: str, b: str) -> str:
+        return f"({a} + {b})"
 
     @staticmethod
     def negate(a: str) -> str:
@@ -127,12 +128,27 @@ class Wide:
         return W.limbs_to_word(parts)
 
     @staticmethod
-    def add(a: str, b: str) -> str:
-        return W.word_add(a, b)
+    def joined(df: DataFrame, values: dict[str, list[str]]) -> DataFrame:
+        """The same for limbs, which may be negative here.
+
+        Carries run through eight projections of plain arithmetic, which stay in
+        generated code; one expression would need interpreted lambdas.
+        """
+        limb = lambda name, i: f"_{name}_limb{i}"
+        df = with_sql(df, {limb(n, i): p for n, parts in values.items() for i, p in enumerate(parts)})
+        for i in range(1, W.LIMBS):
+            df = with_sql(
+                df, {limb(n, i): f"{limb(n, i)} + shiftright({limb(n, i - 1)}, 32)" for n in values}
+            )
+        words = {
+            n: f"IF({limb(n, 0)} IS NULL, NULL, {W.flat_word([limb(n, i) for i in range(W.LIMBS)])})"
+            for n in values
+        }
+        return with_sql(df, words).drop(*(limb(n, i) for n in values for i in range(W.LIMBS)))
 
     @staticmethod
-    def sub(a: str, b: str) -> str:
-        return W.word_sub(a, b)
+    def add(a: str, b: str) -> str:
+        return W.word_add(a, b)
 
     @staticmethod
     def negate(a: str) -> str:
@@ -185,6 +201,7 @@ def fold(
     position = rank(order)
 
     totals, carries, local, out = [], [], {}, {}
+    apart: dict[type, dict[str, list[str]]] = {}
     for s in states:
         own, carry = f"_{s.name}_total", f"_{s.name}_carry"
         before, after = f"{s.name}_before", f"{s.name}_after"
@@ -214,21 +231,20 @@ def fold(
             ]
             past_parts = [f"({p} - coalesce({x}, 0L))" for p, x in zip(now_parts, parts)]
             no_carry = f"{carry}_0 IS NULL"
-            out[before] = (
-                f"IF({no_carry} AND {seen} = 0, NULL, {s.lane.join(past_parts)})"
-            )
-            out[after] = (
-                f"IF({no_carry} AND _{after}_0 IS NULL, NULL, {s.lane.join(now_parts)})"
-            )
+            past_parts[0] = f"IF({no_carry} AND {seen} = 0, NULL, {past_parts[0]})"
+            now_parts[0] = f"IF({no_carry} AND _{after}_0 IS NULL, NULL, {now_parts[0]})"
+            apart.setdefault(s.lane, {}).update({before: past_parts, after: now_parts})
 
     carried = (
         ledger.groupBy(*group)
         .agg(*[F.expr(t) for t in totals])
         .selectExpr(*group, *carries)
     )
-    return with_sql(ledger, local).join(carried, group, "left").selectExpr(
-        *ledger.columns, *[f"{sql} AS {name}" for name, sql in out.items()]
-    )
+    rows = with_sql(with_sql(ledger, local).join(carried, group, "left"), out)
+    for lane, values in apart.items():
+        rows = lane.joined(rows, values)
+    names = [f"{s.name}_{when}" for s in states for when in ("before", "after")]
+    return rows.select(*ledger.columns, *names)
 
 
 def _local_set_sum(
@@ -239,23 +255,28 @@ def _local_set_sum(
     add: str,
     lane: type,
     out: str,
-) -> DataFrame:
-    """SET_SUM inside one window partition, plus ``_reset``: a set happened here.
+) -> tuple[DataFrame, list[str]]:
+    """SET_SUM inside one window partition, in parts, plus ``_reset``: a set happened here.
 
     The state is ``running sum + (set value - running sum at that set)``, so
-    windows over one sort give it, with no second sort by set number.
+    windows over one sort give it, with no second sort by set number.  Parts are
+    added and subtracted one by one; whoever needs a value joins them once.
     """
     now = rows_upto(partition, order)
-    offset = (
-        f"CASE WHEN {put} IS NULL THEN NULL WHEN _total IS NULL THEN {put} "
-        f"ELSE {lane.sub(put, '_total')} END"
-    )
-    parts = {f"_part_{i}": f"sum({x}) OVER ({now})" for i, x in enumerate(lane.parts(add))}
-    step = with_sql(with_sql(df, parts), {"_total": lane.join(list(parts))}).drop(*parts)
-    step = with_sql(step, {"_base": last_over(offset, now)})
-    return with_sql(
-        step, {out: plus(lane, "_base", "_total"), "_reset": "_base IS NOT NULL"}
-    ).drop("_total", "_base")
+    puts, adds = lane.parts(put), lane.parts(add)
+    sums = {f"_sum_{i}": f"sum({x}) OVER ({now})" for i, x in enumerate(adds)}
+    offsets = {
+        f"_offset_{i}": f"IF({put} IS NULL, NULL, {x} - coalesce(_sum_{i}, 0L))"
+        for i, x in enumerate(puts)
+    }
+    bases = {f"_base_{i}": last_over(f"_offset_{i}", now) for i in range(len(puts))}
+    own = {
+        f"{out}_{i}": f"IF(_base_{i} IS NULL, _sum_{i}, _base_{i} + coalesce(_sum_{i}, 0L))"
+        for i in range(len(puts))
+    }
+    step = with_sql(with_sql(with_sql(df, sums), offsets), bases)
+    step = with_sql(step, own | {"_reset": "_base_0 IS NOT NULL"})
+    return step.drop(*sums, *offsets, *bases), list(own)
 
 
 def fold_set_sum(
@@ -274,19 +295,27 @@ def fold_set_sum(
     group = [*keys, SEGMENT]
     in_segment = _window(group, order)
     step = with_sql(ledger, {"_add": f"IF({put} IS NULL, {add}, NULL)"})
-    local = _local_set_sum(step, group, order, put, "_add", lane, "_own")
-
-    totals = (
-        with_sql(local, {"_next": f"lead(1) OVER ({in_segment})"})
-        .where("_next IS NULL")
-        .selectExpr(*group, "IF(_reset, _own, NULL) AS _put", "IF(_reset, NULL, _own) AS _add")
+    local, own = _local_set_sum(step, group, order, put, "_add", lane, "_own")
+
+    ends = with_sql(local, {"_next": f"lead(1) OVER ({in_segment})"}).where("_next IS NULL")
+    # Joined once per segment, so that carried parts are small again.
+    totals = ends.selectExpr(
+        *group, "_reset AS _was_reset", f"{lane.join(own)} AS _end_value"
+    ).selectExpr(
+        *group, "IF(_was_reset, _end_value, NULL) AS _put", "IF(_was_reset, NULL, _end_value) AS _add"
     )
-    carried = _local_set_sum(totals, keys, [SEGMENT], "_put", "_add", lane, "_end").selectExpr(
-        *group, f"lag(_end) OVER ({_window(keys, [SEGMENT])}) AS _carry"
+    carried, end = _local_set_sum(totals, keys, [SEGMENT], "_put", "_add", lane, "_end")
+    past = _window(keys, [SEGMENT])
+    carry = [f"_carry_{i}" for i in range(len(end))]
+    carried = lane.joined(
+        carried.selectExpr(*group, *[f"lag({e}) OVER ({past}) AS {c}" for e, c in zip(end, carry)]),
+        {"_carry": carry},
     )
     after, before = f"{name}_after", f"{name}_before"
-    rows = local.join(carried, group, "left")
-    rows = with_sql(rows, {after: f"IF(_reset, _own, {plus(lane, '_carry', '_own')})"})
+    sums = [
+        f"IF(_reset OR {c} IS NULL, {o}, {c} + coalesce({o}, 0L))" for c, o in zip(carry, own)
+    ]
+    rows = lane.joined(local.join(carried, group, "left"), {after: sums})
     rows = with_sql(
         rows,
         {

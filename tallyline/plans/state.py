@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import words as W
+from tallyline.functions.segments import block_span
 from tallyline.operators import snapshot as S
 from tallyline.operators.fold import ORDER, SEGMENT, Put, Tally, Wide, fold
 from tallyline.operators.pool_state import (
@@ -19,10 +20,9 @@ from tallyline.operators.pool_state import (
 from tallyline.operators.unpivot import tick_operations
 from tallyline.plans.registry import query
 from tallyline.sources.ledger import (
-    LEDGER_BLOCK,
     LEDGER_SQL,
     ledger,
-    ledger_segments,
+    ledger_blocks,
     segmented_ledger,
 )
 from tallyline.sources.stage import stage
@@ -327,8 +327,8 @@ def merge_partials(spark, sf_dir):
 )
 def seed_continue(spark, sf_dir):
     """State through a seed block, then the rest continued from its snapshot."""
-    segments = ledger_segments(spark, sf_dir)
-    seed_block = LEDGER_BLOCK + 4 * segments.width - 1
+    low, high, _ = block_span(ledger_blocks(spark, sf_dir))
+    seed_block = (low + high) // 2
     rows = pool_ledger(spark, sf_dir)
     head = rows.where(F.col("block") <= seed_block)
     tail = rows.where(F.col("block") > seed_block)

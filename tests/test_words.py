@@ -36,7 +36,7 @@ def test_arithmetic_and_text(spark, values):
         f"{W.word_text('aw')} AS text",
         f"{W.text_to_word('a')} AS parsed",
         f"{W.word_add('aw', 'bw')} AS total",
-        f"{W.word_sub('aw', 'bw')} AS difference",
+        f"{W.word_add('aw', W.word_negate('bw'))} AS difference",
         f"{W.word_negate('aw')} AS negated",
         f"{W.minimal_signed_bytes('aw')} AS short",
         f"{W.signed_bytes_to_word(W.minimal_signed_bytes('aw'))} AS back",
