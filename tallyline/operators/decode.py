@@ -212,10 +212,11 @@ def _metadata(side: int) -> str:
     )
 
 
-def to_events(decoded: DataFrame) -> DataFrame:
+def to_events(decoded: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
     """The nested event record: references, source, kind, one payload per row.
 
     Token metadata is included when the metadata join has added its columns.
+    ``extra`` names further columns and the fragments that make them.
     """
     initialize = {
         "pool_id": "pool", "currency0": "currency0", "currency1": "currency1",
@@ -260,4 +261,5 @@ def to_events(decoded: DataFrame) -> DataFrame:
     return envelope(decoded).selectExpr(
         "block_ref", "transaction_ref", "log_ref", "source", "kind",
         *[f"{_struct(kind, fields)} AS {name}" for name, (kind, fields) in payloads.items()],
+        *[f"{sql} AS {name}" for name, sql in (extra or {}).items()],
     )

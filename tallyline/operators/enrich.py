@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyline.functions import words as W
+from tallyline.operators.decode import to_events
 from tallyline.operators.fold import SEGMENT, Put, Wide, with_sql
 from tallyline.operators.lookup import TICK_VALUES, nest_ticks, tick_deltas
 from tallyline.operators.metadata import by_side, token_decimals, token_rows
@@ -119,6 +120,42 @@ def enriched_ledger(events: DataFrame, tokens: DataFrame) -> DataFrame:
     )
 
 
+def _record(fields: dict[str, str], when: str) -> str:
+    inner = ", ".join(f"'{name}', {sql}" for name, sql in fields.items())
+    return f"IF({when}, named_struct({inner}), NULL)"
+
+
+def enriched_records(rows: DataFrame) -> DataFrame:
+    """:func:`enriched_ledger` rows as nested records: the event and its state.
+
+    ``pool`` is absent for events without a pool; ``ticks`` holds the lower, then
+    the upper bound of a liquidity change; amounts are absent where the event
+    has none.
+    """
+    pool = {"pool_id": "pool"} | {
+        f"{s}_{when}": f"{s}_{when}" for s in (*_NARROW, *_WIDE) for when in ("before", "after")
+    }
+    change = "kind = 'ModifyLiquidity'"
+    sides = [
+        _record({"tick": f"CAST({side} AS STRING)"} | {n: f"{side}_{n}" for n in TICK_VALUES}, "true")
+        for side in ("lower", "upper")
+    ]
+    amounts = {f"token_amount{i}": f"token_amount{i}" for i in (0, 1)}
+    prices = {f"token{i}_price_after": f"token{i}_price_after" for i in (0, 1)}
+    return to_events(
+        rows,
+        {
+            "pool": _record(pool | prices, "pool IS NOT NULL"),
+            "ticks": f"IF({change}, array({', '.join(sides)}), NULL)",
+            "position_amounts": _record({"raw0": "raw0", "raw1": "raw1"}, change),
+            "token_amounts": _record(amounts, "token_amount0 IS NOT NULL OR token_amount1 IS NOT NULL"),
+            "state_version": "state_version",
+            "block": "block",
+            "ordinal": "ordinal",
+        },
+    )
+
+
 def tick_only_ledger(events: DataFrame) -> DataFrame:
     """Events with tick liquidity only."""
     ticks = encode_ticks(tick_values(events)).select(*EVENT, *_TICK_COLUMNS)

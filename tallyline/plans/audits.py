@@ -11,7 +11,7 @@ from tallyline.operators.decode import decode, match_kind, route, to_events
 from tallyline.operators.enrich import EVENT, initialize_tokens
 from tallyline.operators.fold import SEGMENT, with_sql
 from tallyline.plans.decode import SOURCE_SQL, key_sql, keys
-from tallyline.plans.registry import query
+from tallyline.plans.registry import ORACLES, query
 from tallyline.plans.state import POOL_ID, shard_of
 from tallyline.plans.values import META_SQL, metadata_for, segmented_events
 from tallyline.sources.blocks import explode_logs
@@ -25,7 +25,7 @@ from tallyline.sources.ledger import (
     ledger_segments,
     segmented_ledger,
 )
-from tallyline.sources.sinks import fixture_blocks, write_events, write_fixture
+from tallyline.sources.sinks import fixture_blocks, write_and_read, write_events, write_fixture
 from tallyline.sources.stage import new_path, stage
 
 RANGES = (
@@ -72,6 +72,17 @@ def nul_audit(spark, sf_dir):
     )
 
 
+@query("sink_nul_audit", ORACLES["nul_audit"])
+def sink_nul_audit(spark, sf_dir):
+    """NUL occurrences written in block buckets and read back, raw bytes as they are."""
+    rows = with_sql(_occurrences(spark, sf_dir), {"block_bucket": "block div 100"})
+    back = write_and_read(rows, new_path(spark, "nul-audit"), "block_bucket")
+    return back.selectExpr(
+        "block", *keys("block_hash", "tx_hash"), "ordinal", *keys("token"), "field",
+        "lower(hex(raw_utf8)) AS raw_utf8", "corrected_value",
+    )
+
+
 @query(
     "nul_corrections",
     NUL_SQL

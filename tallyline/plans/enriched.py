@@ -12,7 +12,7 @@ from tallyline.operators.pool_state import pool_states, with_contribution
 from tallyline.operators.unpivot import tick_operations
 from tallyline.plans.checks import VALUED_SQL, minimal_hex
 from tallyline.plans.decode import POOL_KEY_SQL, SOURCE_SQL
-from tallyline.plans.registry import query
+from tallyline.plans.registry import ORACLES, query
 from tallyline.plans.state import ID, OPS_SQL, POOL_ID, POOL_SQL, pool_ledger, shard_of
 from tallyline.plans.values import (
     PRICE0_SQL,
@@ -25,7 +25,10 @@ from tallyline.plans.values import (
     segmented_events,
 )
 from tallyline.sources.ledger import LEDGER_SQL, segmented_ledger
-from tallyline.sources.stage import stage
+from tallyline.sources.sinks import write_and_read
+from tallyline.sources.stage import new_path, stage
+
+BUCKET = "block div 100"
 
 
 @query(
@@ -225,11 +228,19 @@ def enriched_ledger(spark, sf_dir):
 
     Two stage tables: the decoded events, and the tokens of the Initialize rows.
     """
+    return shown(enriched_rows(spark, sf_dir))
+
+
+def enriched_rows(spark, sf_dir):
     events = staged_events(spark, sf_dir)
     tokens = stage(
         E.initialize_tokens(events, metadata_for(spark, sf_dir, events)), "tokens"
     )
-    rows = E.enriched_ledger(events, tokens)
+    return E.enriched_ledger(events, tokens)
+
+
+def shown(rows):
+    """The columns that the check compares, bytes as hex and amounts as text."""
     return rows.selectExpr(
         "block", "ordinal", "kind", "source", f"{W.hex_key('pool')} AS pool",
         *[f"coalesce(lower(hex({c})), '') AS {c}" for c in (*STATE_COLUMNS, *TICK_COLUMNS)],
@@ -244,6 +255,31 @@ def enriched_ledger(spark, sf_dir):
     )
 
 
+@query("sink_reducer_inputs", ORACLES["enriched_ledger"])
+def sink_reducer_inputs(spark, sf_dir):
+    """Nested enriched records written in block buckets, read back and flattened."""
+    records = with_sql(
+        E.enriched_records(enriched_rows(spark, sf_dir)), {"block_bucket": BUCKET}
+    )
+    back = write_and_read(records, new_path(spark, "reducer-inputs"), "block_bucket")
+    flat = back.selectExpr(
+        "block_ref.number AS block", "log_ref.ordinal AS ordinal", "kind", "source",
+        "pool.pool_id AS pool",
+        *[f"pool.{c} AS {c}" for c in STATE_COLUMNS],
+        *[
+            f"ticks[{i}].{name} AS {side}_{name}"
+            for i, side in enumerate(("lower", "upper"))
+            for name in L.TICK_VALUES
+        ],
+        "position_amounts.*", "token_amounts.*",
+        *[f"coalesce(pool.token{i}_price_after, '') AS token{i}_price_after" for i in (0, 1)],
+        *[f"initialize.token{i}_metadata.symbol AS symbol{i}" for i in (0, 1)],
+        *[f"CAST(initialize.token{i}_metadata.decimals AS BIGINT) AS decimals{i}" for i in (0, 1)],
+        "state_version",
+    )
+    return shown(flat)
+
+
 @query(
     "tick_only_ledger",
     NESTED_TICKS_SQL
@@ -299,3 +335,10 @@ def state_probe(spark, sf_dir):
         "IF(value_before IS NULL, 1, 2) AS operation",
     )
     return pools.unionByName(ops, allowMissingColumns=True)
+
+
+@query("sink_state_probe", ORACLES["state_probe"])
+def sink_state_probe(spark, sf_dir):
+    """The state probe written in block buckets and read back."""
+    rows = with_sql(state_probe(spark, sf_dir), {"block_bucket": BUCKET})
+    return write_and_read(rows, new_path(spark, "state-probe"), "block_bucket").drop("block_bucket")

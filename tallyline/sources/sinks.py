@@ -1,4 +1,4 @@
-"""Sinks: partitioned event tables and nested fixture documents."""
+"""Sinks: partitioned tables of events, records, probes and audits; fixture documents."""
 
 from __future__ import annotations
 
@@ -18,6 +18,12 @@ def write_events(events: DataFrame, path: str, bucket: str) -> None:
     events.hint("rebalance", bucket).write.partitionBy(bucket).parquet(path)
 
 
+def write_and_read(rows: DataFrame, path: str, bucket: str) -> DataFrame:
+    """Write rows in buckets and read them back with their own schema."""
+    write_events(rows, path, bucket)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def first_per_kind(events: DataFrame) -> DataFrame:
     """The earliest log of each kind: a map-side minimum, one row per kind."""
     at = rank(["block", "log_index"])
