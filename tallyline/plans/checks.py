@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from tallyline.functions.kernels import TICK_FACTORS
 from tallyline.plans.state import POOL_SQL
 
+# 2^128 / sqrt(1.0001)^(2^i) for the bits of ticks below 1024.
+TICK_FACTORS = (
+    340265354078544963557816517032075149313,
+    340248342086729790484326174814286782778,
+    340214320654664324051920982716015181260,
+    340146287995602323631171512101879684304,
+    340010263488231146823593991679159461444,
+    339738377640345403697157401104375502016,
+    339195258003219555707034227454543997025,
+    338111622100601834656805679988414885971,
+    335954724994790223023589805789778977700,
+    331682121138379247127172139078559817300,
+)
 TWO64 = "'18446744073709551616'::UHUGEINT"
 
 
@@ -39,7 +51,7 @@ def ratio_ctes(ticks: str) -> str:
     a bitwise long division of 2^256 - 1.
     """
     steps, previous = [], "f_start"
-    for bit, factor in enumerate(TICK_FACTORS[:10]):
+    for bit, factor in enumerate(TICK_FACTORS):
         name = f"f_{bit}"
         steps.append(
             f"{name} AS (SELECT bound, CASE WHEN (abs(bound) >> {bit}) & 1 = 0 THEN r "
@@ -167,9 +179,68 @@ def scaled_sql(amount: str, decimals: str) -> str:
     )
 
 
-def rounded_ratio_sql(top: str, bottom: str, shift: str) -> str:
-    """top / bottom * 10^shift, times 10^6 and rounded half up, as text."""
-    power = f"CAST('1' || repeat('0', abs(6 + {shift})) AS HUGEINT)"
-    a = f"({top}) * CASE WHEN 6 + {shift} >= 0 THEN {power} ELSE 1 END"
-    b = f"({bottom}) * CASE WHEN 6 + {shift} < 0 THEN {power} ELSE 1 END"
-    return f"CAST((2 * {a} + {b}) // (2 * {b}) AS VARCHAR)"
+def _digits34(value: str) -> str:
+    """A positive integer rounded half up to 34 digits, as a fragment."""
+    drop = f"greatest(length(CAST({value} AS VARCHAR)) - 34, 0)"
+    half = f"CASE WHEN {drop} > 0 THEN 5 * CAST('1' || repeat('0', {drop} - 1) AS HUGEINT) ELSE 0 END"
+    return f"(({value} + {half}) // CAST('1' || repeat('0', {drop}) AS HUGEINT))"
+
+
+def _dropped(value: str) -> str:
+    return f"greatest(length(CAST({value} AS VARCHAR)) - 34, 0)"
+
+
+def _long_division(name: str, source: str, top: str, bottom: str) -> str:
+    """CTEs adding ``q``: top / bottom times 10^36 without rounding, four digits a step."""
+    steps = [f"{name}_0 AS (SELECT *, {top} // {bottom} AS q, {top} % {bottom} AS rest FROM {source})"]
+    for i in range(9):
+        steps.append(
+            f"{name}_{i + 1} AS (SELECT * REPLACE (q * 10000 + (rest * 10000) // {bottom} AS q, "
+            f"(rest * 10000) % {bottom} AS rest) FROM {name}_{i})"
+        )
+    return ",\n".join(steps)
+
+
+def plain_sql(digits: str, exponent: str) -> str:
+    """digits * 10^exponent in plain notation without trailing zeros."""
+    text = f"rtrim(CAST({digits} AS VARCHAR), '0')"
+    shift = f"({exponent} + length(CAST({digits} AS VARCHAR)) - length({text}))"
+    padded = f"lpad({text}, greatest(length({text}), 1 - {shift})::INTEGER, '0')"
+    return (
+        f"CASE WHEN {shift} >= 0 THEN {text} || repeat('0', {shift}) ELSE "
+        f"left({padded}, length({padded}) + {shift}) || '.' || right({padded}, -{shift}) END"
+    )
+
+
+def price_ctes(source: str) -> str:
+    """CTEs ending in ``prices(event_id, price0, price1)`` with all 34 digits.
+
+    ``source`` has event_id, price (sqrt price / 2^80), decimals0 and decimals1.
+    Operands are rounded to 34 digits before each division, as the prices are
+    defined; products run in two halves of 24 digits.
+    """
+    e24 = "1000000000000000000000000::HUGEINT"
+    high, low = divmod(2**160, 10**24)
+    bottom = f"'{str(2**192)[:34]}'::HUGEINT"  # the digit after these is a 4
+    digits = "length(CAST(hi AS VARCHAR))"
+    power = lambda n: f"CAST('1' || repeat('0', {n}) AS HUGEINT)"
+    return f"""
+pr_a AS (SELECT event_id, decimals0, decimals1, CAST(price AS HUGEINT) * price AS n FROM {source}),
+pr_b AS (SELECT *, n * {high}::HUGEINT + (n * {low}::HUGEINT) // {e24} AS hi, (n * {low}::HUGEINT) % {e24} AS lo FROM pr_a),
+pr_c AS (SELECT *, greatest(34 - {digits}, 0) AS g FROM pr_b),
+pr_d AS (
+  SELECT event_id, decimals0, decimals1,
+    CASE WHEN {digits} > 34 THEN {_digits34('hi')}
+         ELSE hi * {power('g')} + lo // {power('24 - g')}
+           + CASE WHEN lo % {power('24 - g')} >= 5 * {power('23 - g')} THEN 1 ELSE 0 END END AS m,
+    CASE WHEN {digits} > 34 THEN {digits} - 34 ELSE -g END AS e
+  FROM pr_c),
+{_long_division('pr_e', 'pr_d', 'm', bottom)},
+pr_f AS (
+  SELECT event_id, {_digits34('q')} AS ratio, e - 36 + {_dropped('q')} + decimals0 - decimals1 AS ex
+  FROM pr_e_9),
+{_long_division('pr_g', 'pr_f', "'10000000000000000000000000000000000'::HUGEINT", 'ratio')},
+prices AS (
+  SELECT event_id, {plain_sql('ratio', 'ex')} AS price1,
+    {plain_sql(_digits34('q'), f"(-70 - ex + {_dropped('q')})")} AS price0
+  FROM pr_g_9)"""

@@ -15,13 +15,10 @@ from tallyline.plans.decode import POOL_KEY_SQL, SOURCE_SQL
 from tallyline.plans.registry import ORACLES, query
 from tallyline.plans.state import ID, OPS_SQL, POOL_ID, POOL_SQL, pool_ledger, shard_of
 from tallyline.plans.values import (
-    PRICE0_SQL,
-    PRICE1_SQL,
-    PRICED_SQL,
+    PRICES_SQL,
     RAW_SQL,
     TOKEN_AMOUNTS_SQL,
     metadata_for,
-    micro,
     segmented_events,
 )
 from tallyline.sources.ledger import LEDGER_SQL, segmented_ledger
@@ -196,10 +193,9 @@ Z AS (SELECT *, {RAW_SQL} FROM V),
 ZZ AS (
   SELECT event_id, {", ".join(f"{_hex_sql(c)} AS {c}" for c in STATE_COLUMNS)},
     CAST(raw0 AS VARCHAR) AS amount0_raw, CAST(raw1 AS VARCHAR) AS amount1_raw,
-    {TOKEN_AMOUNTS_SQL},
-    CASE WHEN {PRICED_SQL} THEN {PRICE0_SQL} END AS price0_micro,
-    CASE WHEN {PRICED_SQL} THEN {PRICE1_SQL} END AS price1_micro
+    {TOKEN_AMOUNTS_SQL}
   FROM Z),
+{PRICES_SQL},
 MM AS (
   SELECT event_id, max(CASE WHEN side = 0 THEN symbol END) AS symbol0,
          max(CASE WHEN side = 1 THEN symbol END) AS symbol1,
@@ -218,10 +214,11 @@ MM AS (
     THEN {POOL_KEY_SQL.replace('pool', 'L.pool')} END AS pool,
   {", ".join(f"coalesce({c}, '') AS {c}" for c in STATE_COLUMNS)},
   {", ".join(f"{minimal_hex(c)} AS {c}" for c in TICK_COLUMNS)},
-  amount0_raw, amount1_raw, token_amount0, token_amount1, price0_micro, price1_micro,
+  amount0_raw, amount1_raw, token_amount0, token_amount1,
+  coalesce(price0, '') AS price0, coalesce(price1, '') AS price1,
   symbol0, symbol1, decimals0, decimals1, CAST(3 AS INTEGER) AS state_version
 FROM L LEFT JOIN ZZ USING (event_id) LEFT JOIN NT ON NT.block = L.block AND NT.ordinal = L.ordinal
-  LEFT JOIN MM USING (event_id)""",
+  LEFT JOIN MM USING (event_id) LEFT JOIN prices USING (event_id)""",
 )
 def enriched_ledger(spark, sf_dir):
     """Flagship: raw logs to one enriched row per event.
@@ -246,11 +243,7 @@ def shown(rows):
         *[f"coalesce(lower(hex({c})), '') AS {c}" for c in (*STATE_COLUMNS, *TICK_COLUMNS)],
         *[f"{W.word_text(W.signed_bytes_to_word(f'raw{i}'))} AS amount{i}_raw" for i in (0, 1)],
         "token_amount0", "token_amount1",
-        *[
-            f"IF(token{i}_price_after = '', NULL, {micro(f'token{i}_price_after')}) "
-            f"AS price{i}_micro"
-            for i in (0, 1)
-        ],
+        *[f"coalesce(token{i}_price_after, '') AS price{i}" for i in (0, 1)],
         "symbol0", "symbol1", "decimals0", "decimals1", "state_version",
     )
 

@@ -16,7 +16,7 @@ from tallyline.plans.checks import (
     VALUED_SQL,
     minimal_hex,
     ratio_ctes,
-    rounded_ratio_sql,
+    price_ctes,
     scaled_sql,
 )
 from tallyline.plans.decode import key_sql, keys
@@ -225,37 +225,19 @@ def token_amounts(spark, sf_dir):
 
 
 PRICED_SQL = f"kind IN ('Initialize', 'Swap') AND {BOTH_SQL}"
-PRICE1_SQL = rounded_ratio_sql(
-    "CAST(price AS HUGEINT) * price", "4294967296::HUGEINT", "(decimals0 - decimals1)"
-)
-PRICE0_SQL = rounded_ratio_sql(
-    "4294967296::HUGEINT", "CAST(price AS HUGEINT) * price", "(decimals1 - decimals0)"
-)
-
-
-def micro(price: str) -> str:
-    """A price text in millionths, rounded half up."""
-    whole = f"CAST({price} AS DECIMAL(38, 12))"
-    return f"CAST(CAST(round({whole}, 6) * 1000000 AS DECIMAL(38, 0)) AS STRING)"
+PRICES_SQL = price_ctes(f"(SELECT * FROM V WHERE {PRICED_SQL})")
 
 
 @query(
     "pool_prices",
     VALUED_SQL
-    + f""" SELECT block, ordinal,
-  CASE WHEN {PRICED_SQL} THEN {PRICE0_SQL} END AS price0_micro,
-  CASE WHEN {PRICED_SQL} THEN {PRICE1_SQL} END AS price1_micro FROM V""",
+    + f""", {PRICES_SQL} SELECT block, ordinal, coalesce(price0, '') AS price0, coalesce(price1, '') AS price1
+FROM V LEFT JOIN prices USING (event_id)""",
 )
 def pool_prices(spark, sf_dir):
-    """Token prices; the check compares them at six decimals."""
-    rows = _valued(spark, sf_dir)
-    return rows.selectExpr(
-        "block", "ordinal",
-        *[
-            f"IF(token{i}_price_after = '', NULL, {micro(f'token{i}_price_after')}) "
-            f"AS price{i}_micro"
-            for i in (0, 1)
-        ],
+    """Token prices to all 34 digits; empty text where there is none."""
+    return _valued(spark, sf_dir).selectExpr(
+        "block", "ordinal", *[f"token{i}_price_after AS price{i}" for i in (0, 1)]
     )
 
 
