@@ -10,6 +10,7 @@ and overwrites them, so a replayed batch gives the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from tallyline.operators.pool_state import (
 )
 from tallyline.operators.snapshot import drop_seed
 
+COMPACT = 16
 MARK_SCHEMA = "block BIGINT, ordinal BIGINT"
 SNAPSHOT_SCHEMA = "pool BIGINT, tick BIGINT, tx_count BIGINT, liquidity BIGINT"
 
@@ -63,11 +65,15 @@ def landed(spark: SparkSession, path: str, schema) -> DataFrame:
 class PoolStateJob:
     """Running pool states over landed ranges.
 
-    Tables under ``root``: ``rows`` (before/after per event), ``snapshots`` (state
-    per pool after each batch), ``marks`` (last position of each batch, by block
-    and ordinal, so a block may be split over batches) and ``late`` (rows at or
-    before the last processed position; blocks are final and land in order, so
-    these break the input contract and never reach the state).
+    Tables under ``root``: ``rows`` (before/after per event), ``deltas`` (state of
+    the pools that a batch touched), ``full`` (state of all pools, every
+    ``COMPACT`` batches), ``marks`` (last position of each batch, by block and
+    ordinal, so a block may be split over batches) and ``late`` (rows at or before
+    the last processed position; blocks are final and land in order, so these
+    break the input contract and never reach the state).
+
+    A batch reads its rows once, and of the state only the pools it touches, so
+    its cost follows the batch.
     """
 
     def __init__(self, spark: SparkSession, root: str, row_schema) -> None:
@@ -85,9 +91,21 @@ class PoolStateJob:
         return None if row["block"] is None else (row["block"], row["ordinal"])
 
     def snapshot(self, batch: int) -> DataFrame:
+        """State of every pool after ``batch``: the last full table and the deltas since."""
         if batch < 0:
             return self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self._path("snapshots", batch))
+        full = (batch + 1) // COMPACT * COMPACT - 1
+        read = self.spark.read.schema(SNAPSHOT_SCHEMA)
+        parts = [read.parquet(self._path("full", full)).withColumn("version", F.lit(full))] if full >= 0 else []
+        parts += [
+            read.parquet(self._path("deltas", b)).withColumn("version", F.lit(b))
+            for b in range(full + 1, batch + 1)
+        ]
+        states = [c for c in parts[0].columns if c not in ("pool", "version")]
+        newest = reduce(DataFrame.unionByName, parts).groupBy("pool").agg(
+            *(F.max_by(F.col(s), F.col("version")).alias(s) for s in states)
+        )
+        return newest if len(parts) > 1 else parts[0].drop("version")
 
     def process(self, batch_rows: DataFrame, batch: int) -> None:
         mark = self._mark(batch)
@@ -95,33 +113,42 @@ class PoolStateJob:
         fresh, late = batch_rows.where(f"NOT ({done})"), batch_rows.where(done)
         late.write.mode("overwrite").parquet(self._path("late", batch))
 
-        low = block_span(fresh)[0]
         # Seeds come before every row of the batch, also in a block that was split.
-        seed_block = low - 1
+        seed_block = block_span(fresh)[0] - 1
         segments = plan_segments(fresh)
+        touched = self.snapshot(batch - 1).join(fresh.select("pool").distinct(), "pool", "left_semi")
         states = continue_pool_states(
-            fresh.withColumn(SEGMENT, segments.of()), self.snapshot(batch - 1), seed_block
+            fresh.withColumn(SEGMENT, segments.of()), touched, seed_block
         )
-        # The rows table is written once; the snapshot is taken from it.
-        states.select(
-            "block", "ordinal", "pool", "kind", "seed",
+        # The rows table is written once; the delta is taken from it.
+        drop_seed(states).select(
+            "block", "ordinal", "pool", "kind",
             *[f"{s}_{w}" for s in STATES for w in ("before", "after")],
         ).write.mode("overwrite").parquet(self._path("rows", batch))
         written = self.spark.read.parquet(self._path("rows", batch))
-        pool_snapshot(written).write.mode("overwrite").parquet(self._path("snapshots", batch))
+        pool_snapshot(written).write.mode("overwrite").parquet(self._path("deltas", batch))
         last = fresh.agg(F.max(F.struct("block", "ordinal")).alias("at")).select(
             *(F.coalesce(F.col(f"at.{c}"), F.lit(mark[i] if mark else None)).alias(c) for i, c in enumerate(ORDER))
         )
         last.write.mode("overwrite").parquet(self._path("marks", batch))
+        if (batch + 1) % COMPACT == 0:
+            previous = self.snapshot(batch - 1).withColumn("version", F.lit(0))
+            delta = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self._path("deltas", batch))
+            both = previous.unionByName(delta.withColumn("version", F.lit(1)))
+            both.groupBy("pool").agg(
+                *(F.max_by(F.col(s), F.col("version")).alias(s) for s in STATES)
+            ).write.mode("overwrite").parquet(self._path("full", batch))
 
     def rows(self, batches: int) -> DataFrame:
         """Before/after rows of all batches."""
-        paths = [self._path("rows", b) for b in range(batches)]
-        return drop_seed(self.spark.read.parquet(*paths))
+        return self._batches("rows", batches).drop("batch")
 
     def late(self, batches: int) -> DataFrame:
-        paths = [self._path("late", b) for b in range(batches)]
-        return self.spark.read.schema(self.row_schema).parquet(*paths)
+        return self._batches("late", batches).drop("batch")
+
+    def _batches(self, name: str, batches: int) -> DataFrame:
+        """A table's first batches, read as partitions of one folder."""
+        return self.spark.read.parquet(f"{self.root}/{name}").where(f"batch < {batches}")
 
 
 def incremental_totals(source: DataFrame, checkpoint: str, path: str) -> None:

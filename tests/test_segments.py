@@ -9,6 +9,7 @@ from tallyline.functions.segments import ROWS_CONF, Segments, plan_segments
 from tallyline.operators.audit import BlockRange, in_ranges, missing_anchors
 from tallyline.operators.fold import rank
 from tallyline.sources.blocks import block_range
+from tallyline.streaming import jobs
 from tallyline.streaming.jobs import PoolStateJob
 
 
@@ -96,3 +97,21 @@ def test_a_block_split_over_batches_reaches_the_state(spark, tmp_path):
     assert (state.tick, state.tx_count, state.liquidity) == (11, 12, 111)
     job.process(df.where("ordinal = 3"), 2)
     assert job.late(3).count() == 1 and job.snapshot(2).collect() == [state]
+
+
+def test_a_batch_writes_state_of_the_pools_it_touches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT", 3)
+    columns = "block BIGINT, ordinal BIGINT, pool BIGINT, kind STRING, tick BIGINT, liquidity BIGINT, delta BIGINT, lower BIGINT, upper BIGINT"
+    rows = [(b, 1, p, "Swap", b, 10 * b, None, None, None) for b in range(1, 8) for p in ([1, 2, 3] if b == 1 else [b % 3 + 1])]
+    df = spark.createDataFrame(rows, columns)
+    job = PoolStateJob(spark, str(tmp_path / "job"), df.schema)
+    want = {}
+    for batch in range(7):
+        part = df.where(F.col("block") == batch + 1)
+        job.process(part, batch)
+        for r in part.collect():
+            want[r.pool] = (r.tick, want.get(r.pool, (0, 0, 0))[1] + 1, r.liquidity)
+        got = {r.pool: (r.tick, r.tx_count, r.liquidity) for r in job.snapshot(batch).collect()}
+        assert got == want
+        assert spark.read.parquet(str(tmp_path / f"job/deltas/batch={batch}")).count() == part.count()
+    assert job.rows(7).count() == df.count()
