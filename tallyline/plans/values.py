@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tallyline.functions import words as W
 from tallyline.operators import metadata as M

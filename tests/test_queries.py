@@ -12,7 +12,6 @@ from tallyline.plans.registry import QUERIES
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
