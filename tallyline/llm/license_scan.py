@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as W
+from tallyline.llm.tables import small_batches
 
 
 @dataclass(frozen=True)
@@ -152,6 +153,7 @@ def template_grams(spark: SparkSession, templates: tuple[Template, ...]) -> Data
 def hits(docs: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     """Every k-gram of every text that stands in a template; a root row per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     cut = rows.mapInArrow(
         pieces,

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import words as W
 from tallyline.llm.graph import components
-from tallyline.llm.tables import few
+from tallyline.llm.tables import few, small_batches
 from tallyline.sources.stage import stage
 
 BANDS, ROWS = 32, 4
@@ -237,6 +237,7 @@ def sketched(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     signed = stage(

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as W
+from tallyline.llm.tables import small_batches
 from tallyline.sources.stage import stage
 
 SEQUENCE = 2048
@@ -186,6 +187,7 @@ def piece_rows(path: str, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]]
 
 def pieces(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents, written once; with their ids if asked for."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {PIECE}, part INT, local BIGINT"
     if with_ids:

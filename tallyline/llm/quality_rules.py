@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import words as W
-from tallyline.llm.tables import fresh
+from tallyline.llm.tables import fresh, small_batches
 
 SYMBOLS = np.isin(W.BYTES, np.frombuffer(b"#*$%&|<>", np.uint8))
 NEWLINE = W.BYTES == 0x0A
@@ -126,6 +126,7 @@ def fail_bits(measures: str = "ledger") -> Column:
 
 def ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFrame:
     """``docs`` with a struct column: all measurements and ``fail_bits``."""
+    small_batches(docs.sparkSession)
     measured = docs.withColumn(into, measurements(F.col(text)))
     return measured.withColumn(into, F.col(into).withField("fail_bits", fail_bits(into)))
 

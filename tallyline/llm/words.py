@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 BYTES = np.arange(256, dtype=np.uint8)
 LOWER = np.where((BYTES >= 0x41) & (BYTES <= 0x5A), BYTES + 0x20, BYTES).astype(np.uint8)
 WHITE = (BYTES == 0x20) | ((BYTES >= 0x09) & (BYTES <= 0x0D))
