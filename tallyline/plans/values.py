@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from tallyline.functions import words as W
 from tallyline.operators import metadata as M
 from tallyline.operators import valuation as V
