@@ -242,6 +242,18 @@ def test_classifier_on_held_out_labels(spark, labelled):
     assert sum(not r.kept for r in bad) >= 0.25 * len(bad)
 
 
+def test_scores_keep_the_label_mix_of_the_whole_table(spark, monkeypatch):
+    """A sample that cuts the larger class means the same as one that cuts nothing."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    share = labels.selectExpr("avg(quality)").first()[0]
+    monkeypatch.setattr(cotraining, "LABELLED", 60)
+    model = cotraining.train(cotraining.training_rows(docs, labels))
+    assert model.prior == pytest.approx(np.log(share / (1 - share)))
+    scores = [r.score for r in cotraining.score(docs, labels).collect()]
+    assert np.mean(scores) == pytest.approx(share, abs=0.08)
+
+
 def test_classifier_edges(spark, labelled):
     docs, labels = labelled
     odd = spark.createDataFrame(
