@@ -5,6 +5,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.llm import cotraining, graph, near_dup, topk, url_filter, warc
 from tallyline.sources.stage import new_path
@@ -254,6 +255,19 @@ def test_scores_keep_the_label_mix_of_the_whole_table(spark, monkeypatch):
     assert np.mean(scores) == pytest.approx(share, abs=0.08)
 
 
+def test_threshold_keeps_good_documents_and_rejects_bad_ones(spark):
+    """On half of the labels of sf0.1, nearly all bad documents of the other half go."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = cotraining.score(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id")
+    kept = {r.quality: r.share for r in rows.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[1] >= 0.98 and kept[0] <= 0.015
+
+
+def test_threshold_needs_enough_held_out_documents():
+    assert [cotraining.spare(n) for n in (0, 298, 299, 473, 800)] == [-1, -1, 0, 1, 3]
+
+
 def test_classifier_edges(spark, labelled):
     docs, labels = labelled
     odd = spark.createDataFrame(
