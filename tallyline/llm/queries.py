@@ -16,6 +16,7 @@ from tallyline.llm import (
     near_dup,
     packing,
     quality_rules,
+    resampling,
     sharding,
     topk,
     url_filter,
@@ -49,6 +50,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# The CRC of a text, by the table of all 256 bytes that its rule gives.
+CRC_TABLE_SQL = """crc_table AS (
+  SELECT list(c ORDER BY i) AS crcs FROM (SELECT i, list_reduce(range(8),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(256) AS t(i)))"""
+
+
+def crc_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, given ``crcs`` of the table."""
+    codes = f"hex(encode({text}))"
+    return f"""xor(4294967295, list_reduce(
+      list_transform(range(len({codes}) // 2), lambda i: ('0x' || substr({codes}, 2 * i + 1, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"""
+
+
 LEDGER_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -345,3 +361,42 @@ def op4_top_k(spark, sf_dir):
 def op10_cotraining(spark, sf_dir):
     """Quality scores of all documents from two views trained on each other."""
     return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+RESAMPLE_SQL = r"""
+WITH """ + CRC_TABLE_SQL + r""", w AS (
+  SELECT 0 AS side, doc_id, unnest(regexp_extract_all(""" + LOWER_SQL.format("coalesce(text, '')") + r""",
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, unnest(regexp_extract_all(""" + LOWER_SQL.format("coalesce(text, '')") + r""",
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), b AS (
+  SELECT w, """ + crc_sql("w") + r""" % 10000 AS bucket FROM (SELECT DISTINCT w FROM w), crc_table
+), f AS (
+  SELECT side, doc_id, bucket FROM w JOIN b USING (w)
+), c AS (
+  SELECT bucket, (count(*) FILTER (side = 0))::DOUBLE AS s, (count(*) FILTER (side = 1))::DOUBLE AS t
+  FROM f GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM c
+), m AS (
+  SELECT d.doc_id, count(gain) AS n_features,
+    floor(coalesce(sum(gain), 0)::DOUBLE / greatest(count(gain), 1))::BIGINT AS weight
+  FROM documents AS d LEFT JOIN (SELECT doc_id, gain FROM f JOIN g USING (bucket) WHERE side = 0) AS x
+    ON x.doc_id = d.doc_id GROUP BY d.doc_id
+), sc AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+    / 4294967296::DOUBLE)))::BIGINT AS score FROM m
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM sc WHERE n_features >= 20
+)
+SELECT sc.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM sc LEFT JOIN r USING (doc_id)
+"""
+
+
+@query("op13_resampling", RESAMPLE_SQL)
+def op13_resampling(spark, sf_dir):
+    """The tenth of all documents that lies towards the benchmark's words, ranked."""
+    target = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return resampling.resample(table(spark, sf_dir, "documents"), target)

@@ -27,7 +27,7 @@ def edges(spark):
 def test_query_matches_sql(spark, sql_rows, spark_rows, name):
     tables = {
         t: spark.read.parquet(f"{SF_DIR}/{t}.parquet")
-        for t in ("documents", "pages", "embeddings")
+        for t in ("documents", "pages", "embeddings", "benchmark", "conversations")
     }
     assert spark_rows(QUERIES[name](spark, SF_DIR)) == sql_rows(ORACLES[name], **tables)
 
