@@ -16,6 +16,7 @@ from tallyline.llm import (
     near_dup,
     packing,
     quality_rules,
+    repair,
     resampling,
     sharding,
     topk,
@@ -400,3 +401,71 @@ def op13_resampling(spark, sf_dir):
     """The tenth of all documents that lies towards the benchmark's words, ranked."""
     target = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return resampling.resample(table(spark, sf_dir, "documents"), target)
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE """ + CRC_TABLE_SQL + r""", fate AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    """ + crc_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))") + r""" % 20 AS f
+  FROM conversations, crc_table
+), d AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM fate, range(2) AS t(copy) WHERE f <> 0 AND (copy = 0 OR f = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body FROM d
+), faults AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+  FROM placed
+), step AS (
+  SELECT * FROM (VALUES ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')) AS v(p, r, q)
+), put AS (
+  SELECT p, '' AS more, '' AS said, p AS q FROM (VALUES ('0'), ('s'), ('u'), ('a')) AS v(p)
+  UNION ALL SELECT p, 'I', chr(10) || CASE r WHEN 'u' THEN 'user:' ELSE 'assistant:' END, q FROM step WHERE r <> 's'
+  UNION ALL SELECT x.p, 'II', chr(10) || CASE x.r WHEN 'u' THEN 'user:' ELSE 'assistant:' END
+    || chr(10) || CASE y.r WHEN 'u' THEN 'user:' ELSE 'assistant:' END, y.q
+  FROM step AS x JOIN step AS y ON x.q = y.p WHERE x.r <> 's'
+), way AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '0' AS state, 0::BIGINT AS cost, '' AS audit, '' AS lines FROM conversations
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS best FROM (
+      SELECT w.conv_id, f.i, e.q AS state,
+        w.cost + 2 * length(put.more) + e.cost + CASE WHEN e.edit <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+        w.audit || put.more || e.edit AS audit,
+        w.lines || put.said || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text
+          ELSE chr(10) || CASE e.r WHEN 'u' THEN 'user:' ELSE 'assistant:' END || f.text END AS lines
+      FROM way AS w JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+      JOIN put ON put.p = w.state
+      JOIN (SELECT p, 'D' AS edit, 3 AS cost, '' AS r, p AS q FROM (VALUES ('0'), ('s'), ('u'), ('a')) AS v(p)
+        UNION ALL SELECT p, 'K', 0, r, q FROM step
+        UNION ALL SELECT p, 'R', 2, r, q FROM step WHERE r <> 's') AS e
+        ON e.p = put.q AND (e.edit = 'D' OR (f.fault NOT IN ('blank', 'duplicate') AND (e.edit = 'R' OR e.r = f.initial)))
+    )
+  ) WHERE best = 1
+), ends AS (
+  SELECT conv_id, w.cost + 2 * length(more) AS cost, audit || more AS audit, substr(lines || said, 2) AS lines,
+    row_number() OVER (PARTITION BY conv_id ORDER BY w.cost + 2 * length(more), audit || more) AS best
+  FROM way AS w JOIN put ON put.p = w.state
+  WHERE put.q IN ('0', 'a') AND w.i = coalesce((SELECT max(i) FROM placed AS x WHERE x.conv_id IS NOT DISTINCT FROM w.conv_id), 0)
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost::BIGINT AS cost, audit, sha256(lines) AS repaired_sha256
+FROM ends AS e LEFT JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE best = 1
+"""
+
+
+@query("op12_conversation_repair", REPAIR_SQL)
+def op12_conversation_repair(spark, sf_dir):
+    """Every damaged conversation's faults and its cheapest repair."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
