@@ -19,6 +19,7 @@ from tallyline.llm import (
     repair,
     resampling,
     sharding,
+    token_counts,
     topk,
     url_filter,
     warc,
@@ -469,3 +470,11 @@ FROM ends AS e LEFT JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 def op12_conversation_repair(spark, sf_dir):
     """Every damaged conversation's faults and its cheapest repair."""
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark, sf_dir):
+    """Tokens of every document, and how much of it a limit of 1024 tokens holds."""
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
