@@ -6,12 +6,13 @@ word's prefix ends in the one token before which such an encoding of the rest
 stands, and the counts of all prefixes follow from left to right: the count at
 ``i`` is the count where its last token begins plus one.
 
-Texts are cut before each single space between other characters; the
-tokenizer's own split starts anew there whatever stands around, so the counts
-of a text are those of its chunks one after another.  Within a chunk the
-tokenizer splits words, and where a cut would change that split the counts are
-those of the cut text: in a run of white space, in a contraction, and in the
-string of a special token, which is ordinary text until it is complete.
+Texts are cut into chunks where the tokenizer's own split starts anew whatever
+stands around, so the counts of a text are those of its chunks one after
+another.  Chunks that are one word are counted together, place by place over
+all of them.  Other chunks the tokenizer splits, and where the end of a prefix
+changes that split the counts are those of the prefix: in a run of white space,
+in a contraction, and in the string of a special token, which is ordinary text
+until it is complete.
 
 ``prefixes`` stores, per document, the total and the step from each prefix (in
 code points) to the next.  ``counts``, ``within`` and ``at`` answer what a
@@ -35,25 +36,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import words as W
-from tallyline.llm.packing import alphabet
+from tallyline.llm.packing import KIND, LETTER, alphabet
 from tallyline.llm.tables import small_batches
 from tallyline.sources.stage import stage
 
 LIMIT = 1024
-KNOWN = 300_000
+KNOWN = 400_000
+LONG = 64
 STEP = np.dtype("<i2")
 
 # White space of the tokenizer's pattern and the contractions of three letters.
-SPACES = re.compile("[\t-\r \u0085   -     　]{2,}")
+SPACES = re.compile("[\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
 CONTRACTED = ("'re", "'ve", "'ll")
 # Bytes that may belong to white space: themselves, or as the first byte of a character.
 WHITE_BYTE = W.BYTES <= 0x20
 WHITE_LEAD = np.isin(W.BYTES, [0xC2, 0xE1, 0xE2, 0xE3])
 NOTHING = np.zeros(256, bool)
-
-
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Single spaces between characters that are surely no white space."""
+# First bytes of characters that are all letters: Latin and Cyrillic of two bytes, Han of three.
+LETTER_LEADS = {0xC3: 2, 0xC4: 2, 0xC5: 2, 0xD0: 2, 0xD1: 2, 0xE5: 3, 0xE6: 3, 0xE7: 3, 0xE8: 3}
+SIGNS = (0x97, 0xB7)  # after 0xC3: the two that are no letters
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """Letter, digit or mark per byte; 0 where only the tokenizer can tell."""
+    kind = KIND[data]
+    for lead, size in LETTER_LEADS.items():
+        at = np.flatnonzero(data == lead)
+        at = at[at + size <= len(data)]
+        if lead == 0xC3:
+            at = at[~np.isin(data[at + 1], SIGNS)]
+        for i in range(size):
+            kind[at + i] = LETTER
+    return kind
+
+
+def cuts(data: np.ndarray, kind: np.ndarray, specials: list[bytes]) -> np.ndarray:
+    """Places where the tokenizer's split starts anew, whatever stands around and follows.
+
+    These are single spaces between characters that are surely no white space,
+    and changes between letters, digits and marks; none inside a special token.
+    """
     white = WHITE_BYTE[data]
     lead = WHITE_LEAD[data]
     white = white | lead
@@ -61,9 +83,52 @@ def cuts(data: np.ndarray) -> np.ndarray:
     white[2:] |= lead[:-2]
     cut = np.zeros(len(data), bool)
     cut[1:-1] = (data[1:-1] == 0x20) & ~white[:-2] & ~white[2:]
+    cut[1:] |= (kind[1:] > 0) & (kind[:-1] > 0) & (kind[1:] != kind[:-1])
+    flat = data.tobytes()
+    for special in specials:
+        at = flat.find(special)
+        while at >= 0:
+            cut[at + 1 : at + len(special)] = False
+            at = flat.find(special, at + 1)
     return cut
 
 
+class Trie:
+    """The vocabulary's tokens by their bytes, walked from many places at once."""
+
+    def __init__(self, tokens: dict[bytes, int]):
+        nodes: dict[tuple[int, int], int] = {}
+        ends: dict[int, int] = {}
+        for name, number in tokens.items():
+            node = 0
+            for byte in name:
+                node = nodes.setdefault((node, byte), len(nodes) + 1)
+            ends[node] = number
+        keys = np.array([n << 8 | b for n, b in nodes], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.next = keys[order], np.array(list(nodes.values()), np.int64)[order]
+        self.token = np.full(len(nodes) + 1, -1, np.int64)
+        self.token[list(ends)] = list(ends.values())
+
+    def matches(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, last byte and number of every token in ``data``; ``ends``: where each byte's word ends."""
+        start = np.arange(len(data))
+        node = np.zeros(len(data), np.int64)
+        found = []
+        for depth in range(LONG):
+            if not len(start):
+                break
+            inside = start + depth < ends[start]
+            start, node = start[inside], node[inside]
+            key = node << 8 | data[start + depth]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = self.keys[at] == key
+            start, node = start[known], self.next[at[known]]
+            whole = self.token[node] >= 0
+            found.append((start[whole], start[whole] + depth, self.token[node[whole]]))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 class PrefixCounter:
     """Token counts of all prefixes; words and chunks that were counted are kept."""
 
@@ -74,40 +139,83 @@ class PrefixCounter:
         self.model = self.tokenizer.model
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
-        tokens = [t for t in self.tokenizer.get_vocab(with_added_tokens=False)]
-        self.vocabulary = frozenset(tokens)
+        longest = sorted(self.specials, key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, longest))) if longest else None
+        self.letters = alphabet()
+        self.numbers = self.tokenizer.get_vocab(with_added_tokens=False)
+        for special in self.specials:
+            self.numbers.pop(special, None)
+        self.names = {number: token for token, number in self.numbers.items()}
+        self.width = max(self.names) + 2
+        byte_of = {letter: byte for byte, letter in enumerate(self.letters)}
+        self.trie = Trie({bytes(byte_of[x] for x in t): n for t, n in self.numbers.items()})
         tails: dict[str, set[int]] = defaultdict(set)
-        for token in tokens:
+        for token in self.numbers:
             tails[token[-2:]].add(len(token))
         # Lengths of the tokens that end in the same two letters, long ones first.
         self.lengths = {tail: tuple(sorted(n, reverse=True)) for tail, n in tails.items()}
-        self.letters = alphabet()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # Pairs of tokens (the first may be none) and whether they stay as they are.
+        self.pairs, self.stays = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.single: dict[int, bool] = {}
         self.words: dict[str, list[int]] = {}
         self.chunks: dict[bytes, tuple[int, bytes]] = {}
 
-    def stable(self, left: str, right: str) -> bool:
-        """Do the two tokens stay as they are side by side?"""
-        key = (left, right)
-        found = self.pairs.get(key)
+    def test(self, pair: int) -> bool:
+        left, right = self.names.get(pair // self.width - 1, ""), self.names[pair % self.width]
+        return [t.value for t in self.model.tokenize(left + right)] == ([left, right] if left else [right])
+
+    def stable(self, pairs: np.ndarray) -> np.ndarray:
+        """Do the tokens of each pair stay as they are side by side?"""
+        at = np.searchsorted(self.pairs, pairs)
+        known = self.pairs[np.minimum(at, len(self.pairs) - 1)] == pairs if len(self.pairs) else np.zeros(len(pairs), bool)
+        if not known.all():
+            new = np.unique(pairs[~known])
+            place = np.searchsorted(self.pairs, new)
+            self.stays = np.insert(self.stays, place, [self.test(p) for p in new.tolist()])
+            self.pairs = np.insert(self.pairs, place, new)
+            at = np.searchsorted(self.pairs, pairs)
+        return self.stays[at]
+
+    def keeps(self, pair: int) -> bool:
+        found = self.single.get(pair)
         if found is None:
-            made = self.model.tokenize(left + right)
-            found = self.pairs[key] = [t.value for t in made] == ([left, right] if left else [right])
+            found = self.single[pair] = self.test(pair)
         return found
 
+    def many(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Counts of the prefixes of many words of at most ``LONG`` bytes, one per byte."""
+        if not len(data):
+            return np.zeros(0, np.int64)
+        sizes = np.diff(bounds)
+        begins, ends = np.repeat(bounds[:-1], sizes), np.repeat(bounds[1:], sizes)
+        start, end, token = self.trie.matches(data, ends)
+        depth = end - begins[end]
+        order = np.argsort(depth, kind="stable")
+        start, end, token = start[order], end[order], token[order]
+        opens = start == begins[start]
+        count, last = np.zeros(len(data), np.int64), np.full(len(data), -1, np.int64)
+        rounds = np.searchsorted(depth[order], np.arange(sizes.max(initial=0) + 1))
+        for a, b in zip(rounds[:-1], rounds[1:], strict=True):
+            before = np.where(opens[a:b], -1, last[start[a:b] - 1])
+            good = self.stable((before + 1) * self.width + token[a:b])
+            at = end[a:b][good]
+            last[at] = token[a:b][good]
+            count[at] = np.where(opens[a:b], 0, count[start[a:b] - 1])[good] + 1
+        return count
+
     def word(self, letters: str) -> list[int]:
         """Counts of the prefixes of one word, in the vocabulary's letters (bytes)."""
         counts = self.words.get(letters)
         if counts is not None:
             return counts
-        counts, last = [0], [""]
+        counts, last = [0], [-1]
         for i in range(1, len(letters) + 1):
             for n in (*self.lengths.get(letters[max(i - 2, 0) : i], ()), 1):
                 token = letters[i - n : i]
-                if n <= i and token in self.vocabulary and self.stable(last[i - n], token):
+                number = self.numbers.get(token) if n <= i else None
+                if number is not None and self.keeps((last[i - n] + 1) * self.width + number):
                     counts.append(counts[i - n] + 1)
-                    last.append(token)
+                    last.append(number)
                     break
             else:
                 raise ValueError(f"no token ends {letters[:i]!r}")
@@ -168,37 +276,74 @@ class PrefixCounter:
             base, begin = total + 1, found.end()
         return made + [base + c for c in self.plain(text[begin:])]
 
-    def learn(self, names: list[bytes]) -> None:
-        new = [n for n in names if n not in self.chunks]
-        if len(self.chunks) + len(new) > KNOWN:
+    def learn(self, names: pa.Array) -> None:
+        """Count the prefixes of chunks that are not known yet."""
+        listed = names.to_pylist()
+        fresh = np.array([n not in self.chunks for n in listed], bool)
+        if len(self.chunks) + fresh.sum() > KNOWN:
             self.chunks.clear()
-            new = names
-        for memory in (self.pairs, self.words):
+            fresh[:] = True
+        for memory in (self.single, self.words):
             if len(memory) > KNOWN:
                 memory.clear()
-        for name in new:
-            counts = np.array(self.chunk(name.decode()), np.int64)
-            steps = np.diff(counts, prepend=0)
-            if len(steps) and (steps.max() > 0x7FFF or steps.min() < -0x8000):
-                raise OverflowError("a step of token counts beyond 16 bits")
-            self.chunks[name] = (int(counts[-1]) if len(counts) else 0, steps.astype(STEP).tobytes())
+        if len(self.pairs) > 4 * KNOWN:
+            self.pairs, self.stays = self.pairs[:0], self.stays[:0]
+        if not fresh.any():
+            return
+        new = names.filter(pa.array(fresh))
+        listed = [n for n, f in zip(listed, fresh.tolist(), strict=True) if f]
+        source = W.texts(new)
+        data, bounds = source.data, source.bounds
+        sizes = np.diff(bounds)
+        # One word to the tokenizer: letters, digits or marks only, but for a space before them.
+        kind = kinds(data)
+        changes = np.append(False, (kind[1:] > 0) & (kind[:-1] > 0) & (kind[1:] != kind[:-1]))
+        changes[bounds[:-1]] = False
+        other = source.count((kind == 0) | changes) - (data[bounds[:-1]] == 0x20)
+        simple = (other == 0) & (sizes <= LONG) & ((sizes > 1) | (data[bounds[:-1]] != 0x20))
+        ours = np.repeat(simple, sizes)
+        flat, own = data[ours], np.append(0, np.cumsum(sizes[simple]))
+        count = self.many(flat, own)
+        # Counts after whole characters only, and the steps between them.
+        whole = np.append(~W.CONTINUES[flat[1:]], True) if len(flat) else np.zeros(0, bool)
+        at = np.append(0, np.cumsum(whole))[own]
+        kept = count[whole]
+        steps = np.diff(kept, prepend=0)
+        steps[at[:-1]] = kept[at[:-1]]
+        stored = checked(steps).tobytes()
+        width = STEP.itemsize
+        totals, at = count[own[1:] - 1].tolist(), (at * width).tolist()
+        places = np.flatnonzero(simple).tolist()
+        for i, place in enumerate(places):
+            self.chunks[listed[place]] = (totals[i], stored[at[i] : at[i + 1]])
+        for place in np.flatnonzero(~simple).tolist():
+            counts = np.array(self.chunk(listed[place].decode()), np.int64)
+            total = int(counts[-1]) if len(counts) else 0
+            self.chunks[listed[place]] = (total, checked(np.diff(counts, prepend=0)).tobytes())
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Bytes and tokens per text, and the steps between its prefixes."""
         source = W.texts(texts)
-        chunks = W.split(source, NOTHING, cuts(source.data))
-        names = chunks.names.to_pylist()
-        self.learn(names)
-        known = [self.chunks[n] for n in names]
+        specials = [s.encode() for s in self.specials]
+        chunks = W.split(source, NOTHING, cuts(source.data, kinds(source.data), specials))
+        self.learn(chunks.names)
+        known = [self.chunks[n] for n in chunks.names.to_pylist()]
         totals = np.fromiter((t for t, _ in known), np.int64, len(known))
-        # The first step of a chunk leads on from the end of the chunk before: nothing to add.
+        # Each chunk's first step leads on from the end of the chunk before it.
+        per = [s for _, s in known]
         steps = [
-            b"".join([known[i][1] for i in chunks.ids[a:b].tolist()])
+            b"".join([per[i] for i in chunks.ids[a:b].tolist()])
             for a, b in zip(chunks.bounds[:-1], chunks.bounds[1:], strict=True)
         ]
         return np.diff(source.bounds), W.between(totals[chunks.ids], chunks.bounds), steps
 
 
+def checked(steps: np.ndarray) -> np.ndarray:
+    if len(steps) and (steps.max() > 0x7FFF or steps.min() < -0x8000):
+        raise OverflowError("a step of token counts beyond 16 bits")
+    return steps.astype(STEP)
+
+
 def counting_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter(path)
