@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tallyline.functions import words as W
 from tallyline.functions.kernels import (
     MAX_TICK,
-    price_texts,
+    price_digits,
+    price_text,
     tick_ratio_word,
     token0_word,
     token1_word,
@@ -97,7 +98,7 @@ def pool_prices(rows: DataFrame) -> DataFrame:
     step = with_sql(
         rows, {"_p": "IF(kind IN ('Initialize', 'Swap'), price_after, NULL)"}
     )
-    step = step.withColumn("_t", price_texts("_p", "decimals0", "decimals1"))
+    step = step.withColumn("_t", price_digits("_p", "decimals0", "decimals1"))
     return with_sql(
-        step, {f"token{i}_price_after": f"coalesce(_t.price{i}, '')" for i in (0, 1)}
+        step, {f"token{i}_price_after": f"coalesce({price_text('_t', i)}, '')" for i in (0, 1)}
     ).drop("_p", "_t")

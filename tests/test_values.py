@@ -1,16 +1,46 @@
 """Exact kernels against golden vectors and fractions."""
 
+import random
 from decimal import Context, Decimal
 from fractions import Fraction
 
+import exact as X
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyline.functions import kernels as K
+from tallyline.functions import wide
 from tallyline.functions import words as W
 
 Q96 = 2**96
 
 
+def numbers(x, base=wide.BINARY):
+    return [sum(int(d) * base**i for i, d in enumerate(row)) for row in x.T]
+
+
+def column(values, base=wide.BINARY):
+    size = max(1, *(len(wide.constant(v, base)) for v in values))
+    return np.concatenate([wide.padded(wide.constant(v, base), size) for v in values], axis=1)
+
+
+def word_column(values):
+    return pa.array([None if v is None else v.to_bytes(32, "big", signed=True) for v in values], pa.binary())
+
+
+def integers(array):
+    return [None if v is None else int.from_bytes(v, "big", signed=True) for v in array.to_pylist()]
+
+
+def wide_numbers(seed, rows):
+    """Numbers of all sizes, and those at which estimates of quotients go wrong."""
+    rng = random.Random(seed)
+    for _ in range(rows):
+        bits = rng.choice((1, 5, 31, 32, 33, 64, 96, 128, 160, 255, 300))
+        yield rng.choice((rng.getrandbits(bits), 2**bits - 1, 2**bits, (2**32 - 1) << bits, 10**30 - 1))
+
+
 @pytest.mark.parametrize(
     ("tick", "ratio"),
     [
@@ -24,7 +54,7 @@ Q96 = 2**96
     ],
 )
 def test_tick_ratio(tick, ratio):
-    assert K.tick_ratio(tick) == ratio
+    assert X.tick_ratio(tick) == ratio == numbers(K.tick_ratios(np.array([tick])))[0]
 
 
 @pytest.mark.parametrize(
@@ -46,7 +76,7 @@ def test_position_amounts(spark, tick, delta, amount0, amount1):
         with_bound_ratios,
     )
 
-    price = K.tick_ratio(tick)
+    price = X.tick_ratio(tick)
     row = (
         delta.to_bytes(32, "big", signed=True), tick, price.to_bytes(32, "big"), -60, 60,
     )
@@ -68,8 +98,8 @@ def test_tick_out_of_range_fails(spark):
 
 
 def test_price_fixture():
-    assert K.prices(Q96, 18, 6) == ("0.000000000001", "1000000000000")
-    assert K.prices(0, 18, 6) == ("0", "0")
+    assert X.prices(Q96, 18, 6) == ("0.000000000001", "1000000000000")
+    assert X.prices(0, 18, 6) == ("0", "0")
 
 
 @pytest.mark.parametrize(
@@ -99,7 +129,8 @@ def test_price_fixture():
     ],
 )
 def test_single_bit_ticks(tick, ratio, inverse):
-    assert K.tick_ratio(tick) == ratio and K.tick_ratio(-tick) == inverse
+    assert X.tick_ratio(tick) == ratio and X.tick_ratio(-tick) == inverse
+    assert numbers(K.tick_ratios(np.array([tick, -tick]))) == [ratio, inverse]
     # Within one unit of sqrt(1.0001)^tick in Q96, by Fraction-free long arithmetic.
     exact = Decimal("1.0001") ** tick
     assert abs(Decimal(ratio) ** 2 / Decimal(Q96) ** 2 / exact - 1) < Decimal("1e-9")
@@ -107,7 +138,7 @@ def test_single_bit_ticks(tick, ratio, inverse):
 
 def rounded(amount, decimals):
     """amount / 10^decimals to 34 digits, by Python's decimals."""
-    value = K.to_digits(Decimal(amount))
+    value = X.to_digits(Decimal(amount))
     shifted = value.scaleb(-decimals, Context(prec=100, Emin=-(10**6), Emax=10**6))
     text = format(shifted, "f")
     return (text.rstrip("0").rstrip(".") if "." in text else text) if amount else "0"
@@ -149,10 +180,63 @@ def test_missing_metadata_fails(spark):
 @pytest.mark.parametrize("sqrt_price", [1, 4295128739, 3 * Q96 // 7, 10**40])
 def test_price_is_right_to_33_digits(sqrt_price):
     exact = Fraction(sqrt_price**2, 2**192) * Fraction(10**6, 10**18)
-    got = Fraction(Decimal(K.prices(sqrt_price, 6, 18)[1]))
+    got = Fraction(Decimal(X.prices(sqrt_price, 6, 18)[1]))
     assert abs(got / exact - 1) < Fraction(1, 10**32)
 
 
 def test_rounding_to_34_digits():
-    assert str(K.to_digits(Decimal("1" * 34 + "5"))) == "1." + "1" * 32 + "2E+34"
-    assert len(K.to_digits(Decimal("-" + "9" * 40)).as_tuple().digits) == 34
+    assert str(X.to_digits(Decimal("1" * 34 + "5"))) == "1." + "1" * 32 + "2E+34"
+    assert len(X.to_digits(Decimal("-" + "9" * 40)).as_tuple().digits) == 34
+
+
+@pytest.mark.parametrize("base", [wide.BINARY, wide.BILLION])
+def test_wide_products_and_quotients(base):
+    a, d = list(wide_numbers(1, 3000)), [n + 1 for n in wide_numbers(2, 3000)]
+    x, y = column(a, base), column(d, base)
+    assert numbers(wide.multiply(x, y, base), base) == [p * q for p, q in zip(a, d, strict=True)]
+    digits, left = wide.divide(x, y, base)
+    assert numbers(digits, base) == [p // q for p, q in zip(a, d, strict=True)]
+    assert left.tolist() == [p % q > 0 for p, q in zip(a, d, strict=True)]
+    assert numbers(wide.to_billions(column(a)), wide.BILLION) == a
+    low, high = K.ordered(*(column([*a, *d])[:, i::2] for i in (0, 1)))
+    assert all(p <= q for p, q in zip(numbers(low), numbers(high), strict=True))
+
+
+def test_rounding_of_columns():
+    """Ties and carries at the 34th digit, short numbers and zero."""
+    values = [0, 1, 10**34 - 1, int("9" * 34 + "5"), int("9" * 34 + "49"), int("1" * 34 + "5"), int("1" * 33 + "25" + "0" * 40), *wide_numbers(3, 2000)]
+    mantissa, power = wide.rounded(column(values, wide.BILLION))
+    made = [Decimal(m).scaleb(int(p), X.EXACT) for m, p in zip(numbers(mantissa, wide.BILLION), power, strict=True)]
+    assert made == [X.to_digits(Decimal(v)) for v in values]
+
+
+def test_amount_kernels_match_python_integers():
+    rng = random.Random(4)
+    ratios = [X.tick_ratio(t) for t in (-887272, -60, -1, 0, 1, 60, 887272)] + [Q96, 4295128739]
+    rows = [
+        (rng.choice((-1, 1)) * rng.getrandbits(rng.choice((1, 20, 64, 90))), rng.choice(ratios), rng.choice(ratios))
+        for _ in range(5000)
+    ] + [(None, Q96, Q96), (1, None, Q96), (0, Q96, 2 * Q96), (-1, Q96, 3 * Q96)]
+    delta, one, other = (word_column(c) for c in zip(*rows, strict=True))
+    for kernel, scalar in ((K.amounts_in_token0, X.amount_in_token0), (K.amounts_in_token1, X.amount_in_token1)):
+        want = [None if None in r else scalar(r[0], *sorted(r[1:])) for r in rows]
+        assert integers(K.columnwise(kernel, delta, one, other)) == want
+    with pytest.raises(OverflowError):
+        K.columnwise(K.amounts_in_token0, word_column([2**250]), word_column([1]), word_column([2**159]))
+
+
+def test_ticks_match_python_integers():
+    rng = random.Random(6)
+    ticks = [rng.randint(-K.MAX_TICK, K.MAX_TICK) for _ in range(3000)]
+    assert numbers(K.tick_ratios(np.array(ticks))) == [X.tick_ratio(t) for t in ticks]
+
+
+def test_price_columns_match_python_decimals(spark):
+    rng = random.Random(7)
+    roots = [0, 1, 4295128739, Q96, 2**160 - 1, 3 * Q96 // 7, 10**40, *(rng.getrandbits(rng.randint(1, 160)) for _ in range(1500))]
+    rows = [(r.to_bytes(32, "big"), rng.choice((0, 6, 18, 254)), rng.choice((0, 6, 18, 254))) for r in roots]
+    df = spark.createDataFrame([*rows, (None, 1, 1), (rows[3][0], None, 6)], "p binary, d0 bigint, d1 bigint")
+    step = df.withColumn("t", K.price_digits("p", "d0", "d1"))
+    got = step.selectExpr(*(K.price_text("t", i) + f" AS price{i}" for i in (0, 1))).collect()
+    want = [X.prices(r, d0, d1) for r, (_, d0, d1) in zip(roots, rows, strict=True)]
+    assert [tuple(g) for g in got] == [*want, (None, None), (None, None)]
