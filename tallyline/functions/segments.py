@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.conf import RuntimeConfig
 
 WIDTH_CONF = "tallyline.segment.width"
 ROWS_CONF = "tallyline.segment.rows"
@@ -77,13 +78,32 @@ def plan_segments(source: DataFrame, block: str = "block") -> Segments:
     width = conf.get(WIDTH_CONF, None)
     if width is not None:
         return Segments.even(0, int(width))
+    return _cut(source.agg(*_survey(block)).first(), conf)
+
+
+def plan_batch(
+    source: DataFrame, block: str = "block", ordinal: str = "ordinal"
+) -> tuple[Segments, int | None, tuple[int, int] | None]:
+    """Segments of a batch, its first block and its last position, in one aggregate."""
+    last = F.max(F.struct(F.col(block), F.col(ordinal))).alias("last")
+    row = source.agg(*_survey(block), last).first()
+    conf = source.sparkSession.conf
+    width = conf.get(WIDTH_CONF, None)
+    segments = _cut(row, conf) if width is None else Segments.even(0, int(width))
+    return segments, row["lo"], tuple(row["last"]) if row["last"] is not None else None
+
+
+def _survey(block: str) -> list[Column]:
     shares = ", ".join(f"{i / PIECES}D" for i in range(PIECES))
-    row = source.agg(
+    return [
         F.min(block).alias("lo"),
         F.max(block).alias("hi"),
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_percentile({block}, array({shares}), {ACCURACY})").alias("at"),
-    ).first()
+    ]
+
+
+def _cut(row: Row, conf: RuntimeConfig) -> Segments:
     if row["lo"] is None:
         return Segments.even(0, 1)
     wanted = int(conf.get(ROWS_CONF, None) or DEFAULT_ROWS)

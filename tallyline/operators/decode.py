@@ -43,21 +43,10 @@ def _reject_reason(registry: Sequence[Source]) -> str:
     start = f"element_at(map({entries}), address)"
     return (
         f"CASE WHEN {start} IS NULL THEN 'unknown source' WHEN block < {start} THEN 'not started' "
-        f"WHEN kind IS NULL THEN 'no signature' WHEN NOT ({_clean(FIELDS)}) THEN 'integer out of range' END"
+        f"WHEN kind IS NULL THEN 'no signature' WHEN NOT ({CLEAN}) THEN 'integer out of range' END"
     )
 
 
-def _clean(fields: Sequence[str]) -> str:
-    """Condition: every narrow integer of the kind has a value of its type."""
-    checks = [
-        f"(kind = '{kind}' AND {name} IS NULL)"
-        for kind, names in _REQUIRED.items()
-        for name in names
-        if name in fields
-    ]
-    return f"NOT ({' OR '.join(checks)})" if checks else "true"
-
-
 def _match(signatures: Sequence[Signature]) -> str:
     """Kind by topic lookup; source, arity and data length must agree."""
     entries = ", ".join(
@@ -133,6 +122,11 @@ _REQUIRED = {
     "Swap": ("fee", "tick"),
 }
 FIELDS = tuple(_FIELDS)
+NEEDED = sorted({name for names in _REQUIRED.values() for name in names})
+# Every narrow integer of the kind has a value of its type.
+CLEAN = "NOT (" + " OR ".join(
+    f"(kind = '{kind}' AND {name} IS NULL)" for kind, names in _REQUIRED.items() for name in names
+) + ")"
 ENVELOPE = (
     "block", "block_hash", "parent_hash", "seconds", "nanos", "tx_index", "tx_hash",
     "origin", "recipient", "gas_price", "address", "tx_log_index", "log_index", "ordinal",
@@ -143,24 +137,22 @@ def decode(logs: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     """Typed events in one narrow pass over routed, matched logs.
 
     Wide integers stay 32-byte words; a narrow integer outside its type makes
-    the log malformed.  Malformed logs give no row here and one row with the
-    reason in :func:`rejected_logs`.
+    the log malformed, whether that field is asked for or not.  Malformed logs
+    give no row here and one row with the reason in :func:`rejected_logs`.
     """
     matched = match_kind(route(logs)).where("kind IS NOT NULL")
+    kept = [*[c for c in ENVELOPE if c in logs.columns], "source", "kind"]
+    checked = [name for name in NEEDED if name not in fields]
     typed = matched.selectExpr(
-        *[c for c in ENVELOPE if c in logs.columns],
-        "source",
-        "kind",
-        *[f"{_case(_FIELDS[name])} AS {name}" for name in fields],
+        *kept, *[f"{_case(_FIELDS[name])} AS {name}" for name in (*fields, *checked)]
     )
-    return typed.where(_clean(fields))
+    return typed.where(CLEAN).select(*kept, *fields)
 
 
 def rejected_logs(logs: DataFrame, registry: Sequence[Source] = REGISTRY) -> DataFrame:
     """Logs that give no event, with the reason; one narrow pass, no exchange."""
     judged = match_kind(logs.withColumn("source", F.expr(_routing(registry))))
-    needed = sorted({name for names in _REQUIRED.values() for name in names})
-    typed = with_sql(judged, {name: _case(_FIELDS[name]) for name in needed})
+    typed = with_sql(judged, {name: _case(_FIELDS[name]) for name in NEEDED})
     return with_sql(typed, {"reason": _reject_reason(registry)}).where("reason IS NOT NULL").select(
         *logs.columns, "reason"
     )

@@ -19,7 +19,8 @@ from tallyline.operators.decode import to_events
 from tallyline.operators.fold import SEGMENT, Put, Wide, with_sql
 from tallyline.operators.lookup import TICK_VALUES, nest_ticks, tick_deltas
 from tallyline.operators.metadata import by_side, token_decimals, token_rows
-from tallyline.operators.pool_state import pool_events, pool_states
+from tallyline.operators.pool_state import pool_events, pool_states, with_count
+from tallyline.operators.snapshot import drop_seed, with_seed
 from tallyline.operators.valuation import (
     pool_prices,
     position_amounts,
@@ -37,38 +38,53 @@ _POOL_COLUMNS = [
 ]
 
 
-def initialize_tokens(events: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Both tokens' metadata and effective decimals, one row per Initialize.
+TOKEN_VALUES = ["symbol", "name", "total_supply", "decimals", "pool_decimals"]
+
+
+def initialize_token_rows(
+    events: DataFrame, metadata: DataFrame, seeds: DataFrame | None = None
+) -> DataFrame:
+    """Metadata and effective decimals, one row per Initialize and side.
 
     Every wanted token needs a response to each call in ``metadata``.
     """
     inits = events.where("kind = 'Initialize'").select(
         *EVENT, SEGMENT, "currency0", "currency1"
     )
-    rows = token_decimals(token_rows(inits, metadata, complete=True))
-    return by_side(
-        rows, EVENT, ["symbol", "name", "total_supply", "decimals", "pool_decimals"]
-    )
+    return token_decimals(token_rows(inits, metadata, complete=True), seeds)
+
 
+def initialize_tokens(events: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Both tokens' metadata and effective decimals, one row per Initialize."""
+    return by_side(initialize_token_rows(events, metadata), EVENT, TOKEN_VALUES)
 
-def pool_values(events: DataFrame, tokens: DataFrame) -> DataFrame:
+
+def pool_values(
+    events: DataFrame, tokens: DataFrame, seeds: DataFrame | None = None
+) -> DataFrame:
     """Pool states and derived values per pool event.
 
     Only the few Initialize rows carry decimals, so only they meet the token
-    join; the rest of the ledger passes by.
+    join; the rest of the ledger passes by.  ``seeds`` are ledger rows with the
+    states of pools (tick, price, tx_count, liquidity, d0, d1) before all others.
     """
     narrow = pool_events(events).select(*_POOL_COLUMNS)
     inits = narrow.where("kind = 'Initialize'").join(
         tokens.select(*EVENT, "pool_decimals0", "pool_decimals1"), EVENT, "left"
     )
     rows = narrow.where("kind <> 'Initialize'").unionByName(inits, allowMissingColumns=True)
+    rows = with_count(rows)
+    if seeds is not None:
+        names = {"tx_count": "touch", "d0": "pool_decimals0", "d1": "pool_decimals1"}
+        rows = with_seed(rows, seeds.withColumnsRenamed(names))
     puts = [
         Put("tick", "tick"), Put("price", "price", Wide),
         Put("d0", "pool_decimals0"), Put("d1", "pool_decimals1"),
     ]
-    states = pool_states(rows, puts=puts, lane=Wide, staged=True).withColumnsRenamed(
-        {"d0_after": "decimals0", "d1_after": "decimals1"}
-    )
+    states = pool_states(rows, puts=puts, lane=Wide, staged=True, counted=True)
+    if seeds is not None:
+        states = drop_seed(states)
+    states = states.withColumnsRenamed({"d0_after": "decimals0", "d1_after": "decimals1"})
     changes = events.where("kind = 'ModifyLiquidity'")
     valued = with_bound_ratios(states, tick_dimension(changes))
     return pool_prices(token_amounts(position_amounts(valued)))
@@ -106,13 +122,20 @@ def enriched_ledger(events: DataFrame, tokens: DataFrame) -> DataFrame:
 
     Pass ``events`` and ``tokens`` (:func:`initialize_tokens`) as stored tables.
     """
-    values = encode_states(pool_values(events, tokens)).select(
+    return assembled(events, tokens, pool_values(events, tokens), tick_values(events))
+
+
+def assembled(
+    events: DataFrame, tokens: DataFrame, values: DataFrame, ticks: DataFrame
+) -> DataFrame:
+    """Events with their pool values, tick values and token metadata."""
+    values = encode_states(values).select(
         *EVENT,
         *[f"{s}_{w}" for s in (*_NARROW, *_WIDE) for w in ("before", "after")],
         "token0_price_after", "token1_price_after", "raw0", "raw1",
         "token_amount0", "token_amount1",
     )
-    ticks = encode_ticks(tick_values(events)).select(*EVENT, *_TICK_COLUMNS)
+    ticks = encode_ticks(ticks).select(*EVENT, *_TICK_COLUMNS)
     meta = tokens.drop("pool_decimals0", "pool_decimals1")
     return with_sql(
         events.join(values, EVENT, "left").join(ticks, EVENT, "left").join(meta, EVENT, "left"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.fold import ORDER, SEGMENT, Narrow, Put, Tally, fold
+from tallyline.operators.snapshot import drop_seed, with_seed
 from tallyline.operators.unpivot import tick_bounds
 
 
@@ -39,17 +40,26 @@ def asof_lookup(
 TICK_VALUES = ("gross_before", "gross_after", "net_before", "net_after")
 
 
-def tick_deltas(changes: DataFrame, lane: type = Narrow) -> DataFrame:
-    """Gross and net liquidity of both bounds before and after each change."""
+def tick_deltas(
+    changes: DataFrame, lane: type = Narrow, seeds: DataFrame | None = None
+) -> DataFrame:
+    """Gross and net liquidity of both bounds before and after each change.
+
+    ``seeds`` are ledger rows (pool, bound, gross, net) that come before all others.
+    """
     rows = tick_bounds(
         changes.select("block", "ordinal", SEGMENT, "pool", "lower", "upper", "delta"), lane
     )
-    return fold(
+    if seeds is not None:
+        before = seeds.withColumnsRenamed({"gross": "gross_amount", "net": "net_amount"})
+        rows = with_seed(rows, before.withColumn("position", F.lit(0)))
+    done = fold(
         rows,
         ["pool", "bound"],
         [Tally("gross", "gross_amount", lane), Tally("net", "net_amount", lane)],
         [*ORDER, "position"],
     )
+    return done if seeds is None else drop_seed(done)
 
 
 def nest_ticks(deltas: DataFrame) -> DataFrame:

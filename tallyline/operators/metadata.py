@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import words as W
 from tallyline.operators.fold import SEGMENT, Put, fold, with_sql
+from tallyline.operators.snapshot import drop_seed, with_seed
 from tallyline.operators.unpivot import currencies
 
 # The call fields and the defaults of the zero address and of
@@ -152,13 +153,19 @@ def by_side(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     )
 
 
-def token_decimals(rows: DataFrame) -> DataFrame:
+def token_decimals(rows: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """SET: decimals per token as of each (Initialize, side) row.
 
     Missing decimals write nothing, so an earlier value stays.  The zero address
-    is fixed; a pool whose token never answered gets NULL (no write).
+    is fixed; a pool whose token never answered gets NULL (no write).  ``seeds``
+    are ledger rows (token, known) that come before all others.
     """
+    if seeds is not None:
+        before = seeds.withColumnRenamed("known", "decimals").withColumn("side", F.lit(0))
+        rows = with_seed(rows, before)
     done = fold(rows, ["token"], [Put("known", "decimals")], ["block", "ordinal", "side"])
+    if seeds is not None:
+        done = drop_seed(done)
     return with_sql(
         done, {"pool_decimals": f"IF(token = {ZERO_ADDRESS}, 18L, known_after)"}
     )

@@ -42,14 +42,16 @@ def pool_states(
     puts: Sequence[Put] = (Put("tick", "tick"), Put("price", "price")),
     lane: type = Narrow,
     staged: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """All pool states before and after each pool event.
 
     Two scans of the same (pool, segment) partitions: the simple states first,
     then liquidity, whose in-range test needs the tick.  ``staged`` writes the
-    first result, so that the second scan does not compute it twice.
+    first result, so that the second scan does not compute it twice; ``counted``
+    says that the ledger has its ``touch`` already.
     """
-    simple = fold(with_count(ledger), keys, [*puts, Tally("tx_count", "touch")])
+    simple = fold(ledger if counted else with_count(ledger), keys, [*puts, Tally("tx_count", "touch")])
     if staged:
         simple = stage(simple, "pool-states")
     return fold_set_sum(
