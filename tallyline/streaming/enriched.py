@@ -96,7 +96,9 @@ class EnrichedJob:
         changes = events.where("kind = 'ModifyLiquidity'")
 
         def seeds(table: StateTable, wanted: DataFrame) -> DataFrame:
-            return seed_rows(table.after(batch - 1, wanted), seed_block)
+            # A fold reads its input twice.
+            states = table.after(batch - 1, wanted)
+            return seed_rows(stage(states, "batch-seeds") if batch else states, seed_block)
 
         token_rows = stage(
             initialize_token_rows(events, self.metadata(events), seeds(self.tokens, currencies(inits))),
