@@ -1,41 +1,49 @@
 """Quality classifier by co-training of two views.
 
-The text view is made of character shares and word statistics of the whole
-text, the metadata view of language, source and length.  Each view has a
-logistic regression.  In every round each classifier labels a pool of
-unlabelled documents, and its most confident labels become training rows of
-the other one.  Both views are then calibrated on labelled documents held out
-of training, and their log odds are added up, counting the prior once.
-
-Fitting uses a bounded sample: at most ``LABELLED`` labelled documents per
-class and ``POOL`` unlabelled ones, those with the smallest digests of their
-ids.  A sampled row weighs as much as the rows of its class (or of the
-unlabelled ones) that it stands for, so a score is the chance under the label
-mix of the whole table at every size.  Every document is scored.
-
-A document is rejected if its score, the chance of good quality, is below the
-classifier's threshold.  It is the highest score below which, as the held-out
-labels show with a confidence of ``SURE``, at most ``LOST`` of the good
-documents lie.  Where too few good documents are held out to show that at any
-score (under 299), it is ``REJECT``.
-
-Defined results: of several labels of a document the lowest counts, null
-labels are none; without labels of both classes every document scores 1 and is
-kept; null or empty texts and null metadata have features of their own;
+The text view is made of character shares, word statistics and hashed runs of
+one and two words of the whole text; the metadata view of language, source and
+length, hashed.  Each view has a logistic regression.  In every round each
+classifier scores all documents, and labels that it is sure of, of documents
+that have none, become training rows of the other one.
+
+Everything is cross-fitted: labelled documents are dealt into ``FOLDS`` folds,
+and next to the classifier that learns from all of them, one per fold never sees
+its labels, neither directly nor through the labels it gives to others.  Those
+classifiers score the labelled documents; on these scores both views are
+calibrated (their log odds are added up, counting the prior once), and the
+threshold is taken: the score below which at most ``LOST`` of the good documents
+lie.  The rank that stands for it is ``LOST`` times their number less one
+standard deviation of that count, interpolated between neighbouring scores (the
+score before the lowest is 0); one rule at every number of labels.
+
+Fitting uses bounded samples: at most ``LABELLED`` labelled documents per class,
+and of the documents that a view is sure of about ``PSEUDO`` per class, chosen
+by digests of their ids.  A sampled row weighs as much as the rows of its kind
+that it stands for.  All documents are scored in every round and in the end.
+
+Features are computed once per document and written (a few bytes per distinct
+word); a round reads them, never the texts.
+
+Defined results: of several labels of a document the lowest counts, null labels
+are none; without two labelled documents of each class every document scores 1
+and is kept; null or empty texts and null metadata have features of their own;
 repeated rows score alike; an empty table gives no rows; other columns are
 carried by ``kept`` and not read by ``score``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import FeatureHasher
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,34 +53,92 @@ from tallyline.llm.tables import small_batches
 from tallyline.sources.stage import stage
 
 LABELLED = 4_000
-POOL = 4_000
-FIT_PARTS = 4
-ROUNDS = 3
-CONFIDENT = 0.95
-REJECT = 0.2
-LOST = 0.01
-SURE = 0.95
-HASHED = 64
-PENALTY = 0.005
+PSEUDO = 2_000
+FIT_PARTS = 2
+FITS = 8  # at a time
+FOLDS = 3
+ROUNDS = 2
+STEPS = 60
+ENOUGH = 1e-4  # a step that gains less than this share of the loss is the last
+SURE = float(np.log(0.95 / 0.05))
+LOST = 0.005
+HASHED = 1 << 16
+DENSE = 138
+PENALTY = 1e-4
 VIEWS = ("text", "meta")
 NEEDED = ("doc_id", "text", "lang", "source", "n_chars")
 UPPER = (W.BYTES >= 0x41) & (W.BYTES <= 0x5A)
+SHARE = np.dtype("<f2")
+PLACE = np.dtype("<u2")
+
+
+@dataclass
+class Features:
+    """Both views of a batch: a dense block, hashed word runs and hashed metadata, as flat arrays."""
+
+    dense: np.ndarray
+    grams: np.ndarray
+    shares: np.ndarray
+    gram_counts: np.ndarray
+    meta: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.dense)
+
+    def odds(self, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+        """Raw log odds of the text view and of the metadata view."""
+        rows = np.repeat(np.arange(len(self)), self.gram_counts)
+        runs = np.bincount(rows, self.shares * weights.text[DENSE:][self.grams], len(self))
+        text = self.dense @ weights.text[:DENSE] + runs + weights.text_base
+        return text, weights.meta[self.meta].sum(axis=1) + weights.meta_base
+
+    def stored(self) -> list[pa.Array]:
+        """One binary value per document and block."""
+        n = len(self)
+        flat = (self.dense.astype("<f4"), self.grams.astype(PLACE), self.shares.astype(SHARE), self.meta.astype(PLACE))
+        sizes = (np.full(n, 4 * DENSE), self.gram_counts * 2, self.gram_counts * 2, np.full(n, 2 * self.meta.shape[1]))
+        made = []
+        for values, size in zip(flat, sizes, strict=True):
+            ends = np.append(0, np.cumsum(size)).astype(np.int32)
+            made.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())]))
+        return made
+
+    @classmethod
+    def read(cls, batch: pa.RecordBatch) -> Features:
+        def flat(name: str, kind: str | np.dtype) -> tuple[np.ndarray, np.ndarray]:
+            column = batch[name]
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            return data.view(kind), np.diff(ends)
+
+        grams, sizes = flat("grams", PLACE)
+        shares = flat("shares", SHARE)[0].astype(float)
+        meta = flat("meta", PLACE)[0].reshape(batch.num_rows, -1)
+        dense = flat("dense", "<f4")[0].reshape(batch.num_rows, DENSE).astype(float)
+        return cls(dense, grams.astype(np.int64), shares, sizes // 2, meta.astype(np.int64))
+
+
+BLOCKS = ("dense", "grams", "shares", "meta")
 
 
-def text_features(column: pa.Array) -> np.ndarray:
-    """Per text: shares of the ASCII characters, of others, and word statistics."""
+def text_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Dense features, then hashed word runs with their shares, and their number per text."""
     source = W.texts(column)
-    rows = np.repeat(np.arange(len(source)), np.diff(source.bounds))
+    n_texts = len(source)
+    rows = np.repeat(np.arange(n_texts), np.diff(source.bounds))
     kinds = np.minimum(source.data, 128)
-    counts = np.bincount(rows * 129 + kinds, minlength=len(source) * 129).reshape(-1, 129)
+    counts = np.bincount(rows * 129 + kinds, minlength=n_texts * 129).reshape(-1, 129)
     size = np.maximum(counts.sum(axis=1), 1)
     words = W.split(W.texts(column, lower=True), W.WHITE)
     n = np.maximum(words.counts, 1)
     distinct = np.unique(words.rows << 32 | words.ids) >> 32
+    owner = words.rows
+    neighbours = owner[1:] == owner[:-1]
+    again = np.append(False, neighbours & (words.ids[1:] == words.ids[:-1]))[: len(owner)]
     m = dict(zip(MEASURES, measure(column).flatten(), strict=True))
     m = {k: v.to_numpy() for k, v in m.items()}
     more = [
-        np.bincount(distinct, minlength=len(source)) / n,
+        np.bincount(distinct, minlength=n_texts) / n,
         m["word_chars"] / n / 10,
         m["n_symbols"] / n,
         m["n_dup_lines"] / np.maximum(m["n_lines"], 1),
@@ -80,37 +146,72 @@ def text_features(column: pa.Array) -> np.ndarray:
         np.log1p(m["n_words"]) / 10,
         source.count(UPPER[source.data]) / size,
         (words.counts == 0).astype(float),
+        np.bincount(owner, again, n_texts) / n,
     ]
-    return np.concatenate([np.sqrt(counts / size[:, None]), np.stack(more, axis=1)], axis=1)
+    dense = np.concatenate([np.sqrt(counts / size[:, None]), np.stack(more, axis=1)], axis=1)
+    hashes = W.name_hashes(words.names)[0][words.ids] if len(words.ids) else np.zeros(0, np.uint64)
+    pairs = W.mixed(hashes[:-1] * np.uint64(31) + hashes[1:])[neighbours]
+    place = np.concatenate([hashes, pairs]) & np.uint64(HASHED - 1)
+    of = np.concatenate([owner, owner[:-1][neighbours]])
+    keys, times = np.unique(of.astype(np.int64) << 16 | place.astype(np.int64), return_counts=True)
+    of = keys >> 16
+    total = np.bincount(of, times, n_texts)
+    return dense, keys & (HASHED - 1), np.sqrt(times / total[of]), np.bincount(of, minlength=n_texts)
+
+
+def meta_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> np.ndarray:
+    """Places of language, source and the binary digits of the length."""
+    lengths = ["?" if n is None else str(max(int(n), 0).bit_length()) for n in n_chars.to_pylist()]
+    columns = [[("?" if v is None else f"={v}") for v in c.to_pylist()] for c in (lang, source)] + [lengths]
+    place = lambda i, v: xxhash.xxh3_64_intdigest(f"{i}{v}") % HASHED
+    known: dict[tuple[int, str], int] = {}
+    made = np.empty((len(lengths), len(columns)), np.int64)
+    for i, values in enumerate(columns):
+        for row, value in enumerate(values):
+            if (i, value) not in known:
+                known[i, value] = place(i, value)
+            made[row, i] = known[i, value]
+    return made
+
+
+def features(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> Iterator[tuple[slice, Features]]:
+    for part in W.parts(text):
+        yield part, Features(*text_features(text[part]), meta_features(lang[part], source[part], n_chars[part]))
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id", "text", F.col("lang").cast("string"), F.col("source").cast("string"),
+        F.col("n_chars").cast("bigint"),
+    )
 
 
-@F.arrow_udf(T.ArrayType(T.FloatType()))
-def text_vector(text: pa.Array) -> pa.Array:
-    made = [text_features(text[part]) for part in W.parts(text)] or [text_features(text)]
-    full = np.concatenate(made).astype(np.float32)
-    bounds = np.arange(len(full) + 1, dtype=np.int32) * full.shape[1]
-    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(full.ravel()))
+def feature_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, at, blocks of features) of every row, written once; ``at`` is the row's own number."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, made in features(*(batch[c] for c in NEEDED[1:])):
+                yield pa.RecordBatch.from_arrays([batch["doc_id"][part], *made.stored()], names=["doc_id", *BLOCKS])
 
-text_vector = text_vector.asNondeterministic()  # so that a plan never runs it twice
+    small_batches(docs.sparkSession)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, " + ", ".join(f"{b} BINARY" for b in BLOCKS)
+    return stage(prepared(docs).mapInArrow(run, schema).withColumn("at", F.monotonically_increasing_id()), "train-features")
 
 
-def featured(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, lang, source, n_chars) with a vector per view."""
-    small_batches(docs.sparkSession)
-    length = F.coalesce(F.col("n_chars").cast("double"), F.lit(-1.0))
-    prepared = docs.select(
-        "*",
-        F.coalesce(F.col("lang").cast("string"), F.lit("?")).alias("_lang"),
-        F.coalesce(F.col("source").cast("string"), F.lit("?")).alias("_source"),
-        F.floor(F.log2(F.greatest(length, F.lit(0.0)) + 1)).cast("string").alias("_length"),
-    )
-    hasher = FeatureHasher(
-        inputCols=["_lang", "_source", "_length"], outputCol="meta", numFeatures=HASHED
-    )
-    return hasher.transform(prepared).select(
-        *docs.columns, "meta", array_to_vector(text_vector("text")).alias("text_view")
-    ).withColumnRenamed("text_view", "text_vector").withColumnRenamed("meta", "meta_vector")
+@dataclass(frozen=True)
+class Weights:
+    """Coefficients of both views."""
+
+    text: np.ndarray
+    text_base: float
+    meta: np.ndarray
+    meta_base: float
+
+    @classmethod
+    def of(cls, text: LogisticRegressionModel, meta: LogisticRegressionModel) -> Weights:
+        return cls(text.coefficients.toArray(), text.intercept, meta.coefficients.toArray(), meta.intercept)
 
 
 def labels_of(labels: DataFrame) -> DataFrame:
@@ -120,154 +221,237 @@ def labels_of(labels: DataFrame) -> DataFrame:
     )
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Features of a bounded sample: labelled rows, with a held-out part, and the pool."""
-    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    known = stage(ids.join(labels_of(labels), "doc_id", "left"), "train-labels")
-    digest = F.xxhash64("doc_id")
-    kinds = (("label = 0", LABELLED), ("label = 1", LABELLED), ("label IS NULL", POOL))
-    parts = [known.where(kind).orderBy(digest, "doc_id").limit(n) for kind, n in kinds]
-    sample = stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "train-sample")
-    rows_of = lambda df: {r["label"]: r["n"] for r in df.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
-    every, taken = rows_of(known), rows_of(sample)
-    weight = F.lit(1.0)
-    for label, n in taken.items():
-        weight = F.when(F.col("label").eqNullSafe(F.lit(label)), every[label] / n).otherwise(weight)
-    # At most 2 * LABELLED + POOL ids.
-    found = docs.join(F.broadcast(sample.select("doc_id", "label", weight.alias("weight"))), "doc_id").withColumn(
-        "held_out", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)) == 0
-    )
-    # A bounded table in few files: every step of the fits reads it again.
-    return stage(featured(found).drop("text").repartition(FIT_PARTS), "train-rows")
+@F.udf(VectorUDT())
+def text_vector(dense: bytes, grams: bytes, shares: bytes) -> object:
+    head = np.frombuffer(dense, "<f4")
+    used = np.flatnonzero(head)
+    places = np.frombuffer(grams, PLACE).astype(np.int64) + DENSE
+    values = np.concatenate([head[used], np.frombuffer(shares, SHARE)]).astype(float)
+    return Vectors.sparse(DENSE + HASHED, np.concatenate([used, places]), values)
+
+
+@F.udf(VectorUDT())
+def meta_vector(meta: bytes) -> object:
+    places, times = np.unique(np.frombuffer(meta, PLACE), return_counts=True)
+    return Vectors.sparse(HASHED, places, times.astype(float))
 
 
 @dataclass(frozen=True)
-class View:
-    name: str
-    model: LogisticRegressionModel
-    slope: float = 1.0
-    shift: float = 0.0
+class Examples:
+    """Features of all documents, which of them are labelled, and the sample that fits see."""
+
+    table: DataFrame
+    known: DataFrame
+    sample: DataFrame
+    counts: dict[float, int]
 
     @property
-    def raw(self) -> Column:
-        return vector_to_array(F.col(f"{self.name}_raw"))[1]
+    def enough(self) -> bool:
+        per = {r["label"]: r["n"] for r in self.sample.groupBy("label").agg(F.countDistinct("doc_id").alias("n")).collect()}
+        return len(per) == 2 and min(per.values()) >= 2
 
-    def transform(self, rows: DataFrame) -> DataFrame:
-        return self.model.transform(rows).drop(f"{self.name}_chance", f"{self.name}_guess")
 
-    @property
-    def odds(self) -> Column:
-        """Calibrated log odds."""
-        return self.raw * self.slope + self.shift
+def vectors(table: DataFrame, picked: DataFrame, label: str) -> DataFrame:
+    """The features of a bounded number of rows as vectors, written once in few files."""
+    found = table.join(F.broadcast(picked), "at").drop("doc_id")
+    rows = found.withColumns(
+        {"text_vector": text_vector("dense", "grams", "shares"), "meta_vector": meta_vector("meta")}
+    )
+    return stage(rows.drop("dense", "grams", "shares", "meta").repartition(FIT_PARTS), label)
 
 
-@dataclass(frozen=True)
-class Classifier:
-    views: tuple[View, ...]
-    prior: float
-    reject: float = REJECT
-
-    def score(self, rows: DataFrame) -> DataFrame:
-        """Featured rows with text_score, meta_score and score instead of the features."""
-        for view in self.views:
-            rows = view.transform(rows)
-        total = F.lit(self.prior)
-        for view in self.views:
-            total = total + (view.odds - self.prior)
-        chance = lambda odds: 1 / (1 + F.exp(-odds))
-        rows = rows.withColumns(
-            {f"{v.name}_score": chance(v.odds) for v in self.views} | {"score": chance(total)}
-        )
-        return rows.drop(*(f"{v}_{kind}" for v in VIEWS for kind in ("raw", "vector")))
-
-
-def regression(view: str) -> LogisticRegression:
+def training_rows(docs: DataFrame, labels: DataFrame) -> Examples:
+    """Features of all of ``docs``, and a bounded sample of the labelled ones in folds."""
+    table = feature_table(docs)
+    known = stage(table.select("at", "doc_id").join(labels_of(labels), "doc_id"), "train-labels")
+    digest = F.xxhash64("doc_id")
+    parts = [known.where(F.col("label") == c).orderBy(digest, "doc_id", "at").limit(LABELLED) for c in (0.0, 1.0)]
+    drawn = stage(parts[0].unionByName(parts[1]), "train-drawn")
+    count = lambda df: {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    every, taken = count(known), count(drawn)
+    weight = F.lit(1.0)
+    for label, n in taken.items():
+        weight = F.when(F.col("label") == label, every[label] / n).otherwise(weight)
+    # At most 2 * LABELLED rows: one task deals a class's documents into folds.
+    order = Window.partitionBy("label").orderBy(digest, "doc_id")
+    fold = (F.dense_rank().over(order) % FOLDS).cast("int")
+    picked = drawn.select("at", "doc_id", "label", weight.alias("weight"), fold.alias("fold"))
+    ids = picked.select("at", F.col("doc_id").alias("id"), "label", "weight", "fold")
+    return Examples(table, known, vectors(table, ids, "train-sample").withColumnRenamed("id", "doc_id"), every)
+
+
+def regression(features_: str, penalty: float = PENALTY) -> LogisticRegression:
     return LogisticRegression(
-        featuresCol=f"{view}_vector", labelCol="label", weightCol="weight", maxIter=20, regParam=PENALTY,
-        rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_chance", predictionCol=f"{view}_guess",
+        featuresCol=features_, labelCol="label", weightCol="weight", maxIter=STEPS, tol=ENOUGH, regParam=penalty, standardization=False,
     )
 
 
-def train(rows: DataFrame, rounds: int = ROUNDS) -> Classifier | None:
-    """Fit both views on ``training_rows``; None without labels of both classes."""
-    labelled = rows.where("label IS NOT NULL")
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.sum("weight").alias("n")).collect()}
-    if len(counts) < 2:
-        return None
-    held, own = labelled.where("held_out"), labelled.where("NOT held_out")
-    if own.select("label").distinct().count() < 2 or held.select("label").distinct().count() < 2:
-        held = own = labelled
-    pool = rows.where("label IS NULL")
-    extra: dict[str, DataFrame] = {}
-    views: dict[str, View] = {}
-    for number in range(rounds + 1):
-        for view in VIEWS:
-            data = own.select("label", "weight", f"{view}_vector")
-            if view in extra:
-                data = data.unionByName(extra[view])
-            views[view] = View(view, regression(view).fit(data))
-        if number == rounds:
-            break
-        for view, other in (VIEWS, VIEWS[::-1]):
-            chance = 1 / (1 + F.exp(-views[view].raw))
-            sure = views[view].transform(pool).withColumn("chance", chance).where(
-                (F.col("chance") >= CONFIDENT) | (F.col("chance") <= 1 - CONFIDENT)
-            )
-            extra[other] = stage(
-                sure.select(
-                    F.when(F.col("chance") > 0.5, 1.0).otherwise(0.0).alias("label"), "weight", f"{other}_vector"
-                ),
-                "train-extra",
+def fitted(jobs: list[Callable[[], object]]) -> list:
+    """Small fits at the same time: each is a chain of short jobs."""
+    with ThreadPoolExecutor(FITS) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+def fit_all(examples: Examples, extra: DataFrame | None) -> list[Weights]:
+    """The classifiers of all runs: one that sees all labels, then one per left-out fold."""
+
+    def job(run: int, view: str) -> Callable[[], LogisticRegressionModel]:
+        own = examples.sample if run == 0 else examples.sample.where(F.col("fold") != run - 1)
+        data = own.select("label", "weight", f"{view}_vector")
+        if extra is not None:
+            pick = F.col("picks")[chosen(run, VIEWS[1 - VIEWS.index(view)])]
+            more = extra.where(pick != 0).select(
+                F.when(pick > 0, 1.0).otherwise(0.0).alias("label"), F.abs(pick).alias("weight"), f"{view}_vector"
             )
-    share = counts[1.0] / (counts[0.0] + counts[1.0])
-    made = Classifier(tuple(calibrated(views[v], held) for v in VIEWS), float(np.log(share / (1 - share))))
-    if held is own:  # nothing was held out
-        return made
-    return replace(made, reject=threshold(made, held.where("label = 1")))
+            data = data.unionByName(more)
+        return lambda: regression(f"{view}_vector").fit(data)
+
+    models = fitted([job(run, view) for run in range(FOLDS + 1) for view in VIEWS])
+    return [Weights.of(*models[i : i + 2]) for i in range(0, len(models), 2)]
+
+
+def chosen(run: int, view: str) -> int:
+    """Place of a run's view in a row's list of odds or picks."""
+    return 2 * run + VIEWS.index(view)
+
+
+def odds_of_all(table: DataFrame, runs: list[Weights]) -> DataFrame:
+    """(at, doc_id, odds) of every row, from its stored features; written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = Features.read(batch)
+            columns = [column for weights in runs for column in made.odds(weights)]
+            flat = pa.array(np.stack(columns, axis=1).ravel())
+            lists = pa.FixedSizeListArray.from_arrays(flat, len(columns)).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch["at"], batch["doc_id"], lists], names=["at", "doc_id", "odds"])
 
+    kind = table.schema["doc_id"].dataType.simpleString()
+    return stage(table.mapInArrow(run, f"at BIGINT, doc_id {kind}, odds ARRAY<DOUBLE>"), "train-odds")
 
-def spare(n: int) -> int:
-    """How many of ``n`` good documents may score lower, so that ``LOST`` of all is not exceeded.
 
-    The largest number so small that a higher share than ``LOST`` would hardly
-    give it; -1 if even none shows nothing.
+def sure_labels(examples: Examples, runs: list[Weights]) -> DataFrame:
+    """Rows without a label of which some view is sure, with the weight it gives them per run and view.
+
+    A positive weight labels the row good, a negative one bad.
     """
-    k, term, below = -1, (1 - LOST) ** n, 0.0
-    while (below := below + term) <= 1 - SURE:
-        k += 1
-        term *= (n - k) / (k + 1) * LOST / (1 - LOST)
-    return k
+    scored = odds_of_all(examples.table, runs)
+    free = scored.join(examples.known.select("at"), "at", "left_anti")
+    places = range(2 * len(runs))
+    tests = [(i, sign, F.col("odds")[i] * sign >= SURE) for i in places for sign in (1, -1)]
+    counts = free.agg(*(F.count_if(test) for *_, test in tests)).first()
+    chance = (F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) + 0.5) / (1 << 30)
+    picks = []
+    for i in places:
+        pick = F.lit(0.0)
+        for (place, sign, test), count in zip(tests, counts, strict=True):
+            if place == i and count:
+                rate = min(PSEUDO / count, 1.0)
+                pick = F.when(test & (chance < rate), sign / rate).otherwise(pick)
+        picks.append(pick)
+    picked = free.select("at", F.array(*picks).alias("picks")).where(F.exists("picks", lambda p: p != 0))
+    # About 4 * (FOLDS + 1) * PSEUDO rows at most.
+    return vectors(examples.table, stage(picked, "train-picks"), "train-extra")
+
+
+@dataclass(frozen=True)
+class Classifier:
+    weights: Weights
+    slopes: tuple[float, float]
+    shifts: tuple[float, float]
+    prior: float
+    reject: float = 0.0
 
+    def combined(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Calibrated scores of both views and of both together, from raw log odds."""
+        parts = [odds * slope + shift for odds, slope, shift in zip((text, meta), self.slopes, self.shifts, strict=True)]
+        total = self.prior + sum(p - self.prior for p in parts)
+        return tuple(1 / (1 + np.exp(-np.clip(x, -500, 500))) for x in (*parts, total))
 
-def threshold(model: Classifier, good: DataFrame) -> float:
-    """The highest score that is safe for the held-out ``good`` documents."""
-    # Held out of at most LABELLED documents; only the lowest scores come to the driver.
-    most = spare(good.count())
-    if most < 0:
-        return REJECT
-    return float(model.score(good).select("score").orderBy("score").take(most + 1)[most]["score"])
+    def scores(self, made: Features) -> list[pa.Array]:
+        values = self.combined(*made.odds(self.weights))
+        return [*map(pa.array, values), pa.array(values[2] >= self.reject)]
 
+    def of_table(self, table: DataFrame) -> DataFrame:
+        """(doc_id, scores, kept) of stored features."""
 
-def calibrated(view: View, held: DataFrame) -> View:
-    """Slope and shift of the view's log odds that fit the held-out labels best."""
-    odds = view.transform(held).select("label", "weight", array_to_vector(F.array(view.raw)).alias("text_vector"))
-    fit = regression("text").setRegParam(1e-3).fit(odds)
-    return View(view.name, view.model, max(float(fit.coefficients[0]), 0.0), float(fit.intercept))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], *self.scores(Features.read(batch))], names=["doc_id", *SCORES])
 
+        kind = table.schema["doc_id"].dataType.simpleString()
+        return table.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} {k}" for n, k in SCORES.items()))
 
-def scored(docs: DataFrame, labels: DataFrame, examples: DataFrame) -> DataFrame:
-    """``docs`` with the scores and the verdict of every row; trained on ``examples``."""
-    model = train(training_rows(examples.select(*NEEDED), labels))
-    if model is None:
-        return docs.withColumns({f"{v}_score": F.lit(1.0) for v in VIEWS} | {"score": F.lit(1.0), "kept": F.lit(True)})
-    return model.score(featured(docs)).withColumn("kept", F.col("score") >= model.reject)
+    def verdict(self) -> Column:
+        """Is a document kept?  Over the columns that the features need."""
+
+        def run(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
+            made = [self.scores(m)[3] for _, m in features(text, lang, source, n_chars)]
+            return pa.concat_arrays(made) if made else pa.array([], pa.bool_())
+
+        kept_ = F.arrow_udf(run, T.BooleanType()).asNondeterministic()  # so that a plan never runs it twice
+        return kept_("text", F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("bigint"))
+
+
+SCORES = {"text_score": "DOUBLE", "meta_score": "DOUBLE", "score": "DOUBLE", "kept": "BOOLEAN"}
+
+
+def threshold(good: np.ndarray) -> float:
+    """The score that about ``LOST`` of good documents stay below, with a margin for their number."""
+    n = len(good)
+    rank = max(n * LOST - np.sqrt(n * LOST * (1 - LOST)), n * LOST / (n * LOST + 1) * LOST)
+    known = np.append(0.0, np.sort(good))
+    return float(np.interp(rank, np.arange(n + 1), known))
+
+
+def train(examples: Examples, rounds: int = ROUNDS) -> Classifier | None:
+    """Co-train, calibrate and choose the threshold; None without enough labels of both classes."""
+    if not examples.enough:
+        return None
+    extra = None
+    runs = fit_all(examples, extra)
+    for _ in range(rounds):
+        extra = sure_labels(examples, runs)
+        runs = fit_all(examples, extra)
+    # Every labelled document of the sample by the run that left it out.
+    blocks = examples.table.join(F.broadcast(examples.sample.select("at", "label", "weight", "fold")), "at")
+
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, fold = Features.read(batch), batch["fold"].to_numpy()
+            odds = np.zeros((2, len(made)))
+            for run in range(FOLDS):
+                rows = fold == run
+                odds[:, rows] = np.stack(made.odds(runs[run + 1]))[:, rows]
+            yield pa.RecordBatch.from_arrays([batch["label"], batch["weight"], pa.array(odds[0]), pa.array(odds[1])], names=["label", "weight", *VIEWS])
+
+    held = stage(
+        blocks.mapInArrow(crossed, "label DOUBLE, weight DOUBLE, text DOUBLE, meta DOUBLE").coalesce(FIT_PARTS), "train-held"
+    )
+
+    def calibrated(view: str) -> Callable[[], LogisticRegressionModel]:
+        rows = held.select("label", "weight", array_to_vector(F.array(view)).alias("raw"))
+        return lambda: regression("raw", 1e-3).fit(rows)
+
+    fits = fitted([calibrated(view) for view in VIEWS])
+    share = examples.counts[1.0] / (examples.counts[0.0] + examples.counts[1.0])
+    made = Classifier(
+        runs[0], tuple(max(float(m.coefficients[0]), 0.0) for m in fits), tuple(float(m.intercept) for m in fits),
+        float(np.log(share / (1 - share))),
+    )
+    # At most LABELLED documents.
+    good = held.where("label = 1").select(*VIEWS).toArrow()
+    scores = made.combined(*(good[v].to_numpy() for v in VIEWS))[2]
+    return Classifier(made.weights, made.slopes, made.shifts, made.prior, threshold(scores))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text_score, meta_score, score, kept) per row of ``docs``."""
-    return scored(docs.select(*NEEDED), labels, docs).select(
-        "doc_id", "text_score", "meta_score", "score", "kept"
-    )
+    examples = training_rows(docs.select(*NEEDED), labels)
+    model = train(examples)
+    if model is None:
+        return docs.select("doc_id", *(F.lit(1.0).alias(c) for c in list(SCORES)[:3]), F.lit(True).alias("kept"))
+    return model.of_table(examples.table)
 
 
 def kept(docs: DataFrame, labels: DataFrame, examples: DataFrame | None = None) -> DataFrame:
@@ -275,7 +459,8 @@ def kept(docs: DataFrame, labels: DataFrame, examples: DataFrame | None = None)
 
     The views are trained on ``examples``, or on ``docs`` themselves.
     """
-    own = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    packed = docs.select(*NEEDED, own.alias("_doc"))
-    left = scored(packed, labels, docs if examples is None else examples).where("kept")
-    return left.select([F.col(f"_doc.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    model = train(training_rows((docs if examples is None else examples).select(*NEEDED), labels))
+    if model is None:
+        return docs
+    small_batches(docs.sparkSession)
+    return docs.where(model.verdict())

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -264,8 +265,48 @@ def test_threshold_keeps_good_documents_and_rejects_bad_ones(spark):
     assert kept[1] >= 0.98 and kept[0] <= 0.015
 
 
-def test_threshold_needs_enough_held_out_documents():
-    assert [cotraining.spare(n) for n in (0, 298, 299, 473, 800)] == [-1, -1, 0, 1, 3]
+def test_threshold_is_one_rule_at_every_size():
+    """The rank rises with the number of scores without a jump and stays near the wanted share."""
+    ranks = []
+    for n in (1, 2, 10, 100, 150, 200, 250, 298, 299, 300, 1000, 4000, 40_000):
+        scores = np.arange(1, n + 1) / n
+        ranks.append(cotraining.threshold(scores) * n)
+        assert ranks[-1] <= cotraining.LOST * n
+        assert cotraining.threshold(scores[::-1]) * n == pytest.approx(ranks[-1])
+    assert all(0 < a < b for a, b in zip(ranks, ranks[1:]))
+    assert ranks[-1] > 0.9 * cotraining.LOST * 40_000
+    assert cotraining.threshold(np.zeros(0)) == 0
+
+
+def test_folds_never_see_their_own_labels(spark, labelled):
+    """Flipping a fold's labels changes no score that the fold gets while it is left out."""
+    docs, labels = labelled
+    examples = cotraining.training_rows(docs, labels)
+    folds = {r.doc_id: r.fold for r in examples.sample.select("doc_id", "fold").collect()}
+    assert set(folds.values()) == set(range(cotraining.FOLDS))
+    one = [i for i, fold in folds.items() if fold == 0]
+    flipped = labels.withColumn("quality", F.when(F.col("doc_id").isin(one), 1 - F.col("quality")).otherwise(F.col("quality")))
+    other = replace(
+        examples,
+        sample=examples.sample.drop("label").join(flipped.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id"),
+    )
+    for run, same in ((1, True), (0, False)):
+        a, b = (cotraining.fit_all(e, None)[run].text for e in (examples, other))
+        assert np.allclose(a, b, atol=1e-6) == same
+
+
+def test_stored_features_are_those_of_the_texts(spark, labelled):
+    docs, labels = labelled
+    table = cotraining.feature_table(docs.select(*cotraining.NEEDED))
+    model = cotraining.Classifier(
+        cotraining.Weights(np.linspace(-1, 1, cotraining.DENSE + cotraining.HASHED), 0.1, np.linspace(-1, 1, cotraining.HASHED), 0.2),
+        (1.0, 0.5), (0.0, 0.1), 0.3, 0.5,
+    )
+    scores = [r.score for r in model.of_table(table).collect()]
+    model = replace(model, reject=float(np.median(scores)))
+    stored = {r.doc_id: r.kept for r in model.of_table(table).collect()}
+    direct = {r.doc_id: r.k for r in docs.select("doc_id", model.verdict().alias("k")).collect()}
+    assert stored == direct and len(set(stored.values())) == 2
 
 
 def test_classifier_edges(spark, labelled):
