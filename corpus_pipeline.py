@@ -3,12 +3,14 @@
 Stages, each over all that the one before kept; every result is written as
 Parquet and read again, so a lost executor repeats one stage at most:
 
-1. quality rules: documents that the strict policy rejects go;
+1. quality rules: documents that the base policy rejects go (the further rules
+   would take most of what the classifier can tell, so they are left to it);
 2. quality classifier: documents that the two trained views reject go;
 3. near duplicates: one document of each component stays;
 4. source mix: documents are taken as often as their source's target needs,
    so a document may come twice or not at all;
-5. packing: the pieces of all documents in sequences of 2048 tokens.
+5. packing: the pieces of all documents, with their token ids, in sequences of
+   2048 tokens.
 
 Defined results: an empty table passes through as no rows; rows that repeat a
 doc_id are judged alike and stay or go together; other columns are carried to
@@ -28,7 +30,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.kept(docs)
+    return quality_rules.kept(docs, quality_rules.BASE)
 
 
 def by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(docs, TOKENIZER))
+    return packing.pack(packing.pieces(docs, TOKENIZER, with_ids=True))
 
 
 STAGES = [
