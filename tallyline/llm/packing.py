@@ -8,9 +8,10 @@ sequence.  ``pack`` places pieces into sequences:
 2. ``plan`` indexes lengths by what they sum up to.  From long to short, the
    gap a length leaves is filled exactly by one, two or three shorter pieces
    as long as the counts last; each combination is consumed as often as its
-   scarcest length allows.  What has no exact complement goes best-fit: into
-   the open sequences with the smallest gap it fits, else into new ones.  The
-   plan is a list of patterns with multiplicities.
+   scarcest length allows.  What has no exact complement goes best-fit,
+   together with a small reserve of the shortest pieces: into the open
+   sequences with the smallest gap it fits, else into new ones.  The plan is a
+   list of patterns with multiplicities.
 3. Pieces of a length are numbered, and a piece's number tells its pattern,
    the pattern's instance and the offset there.  Numbers are made of a running
    count per partition, written with the piece, and of the counts of the
@@ -23,9 +24,11 @@ documents give no pieces; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -41,6 +44,7 @@ from tallyline.llm.tables import small_batches
 from tallyline.sources.stage import stage
 
 SEQUENCE = 2048
+RESERVE = 0.01
 END = 0
 KNOWN_WORDS = 400_000
 PIECE = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
@@ -230,15 +234,27 @@ def complements(counts: np.ndarray, most: int, gap: int) -> Iterator[tuple[int,
 
 
 def plan(lengths: dict[int, int], size: int = SEQUENCE) -> Plan:
-    """Pack counted lengths: exact complements first, then best fit.
+    """Pack counted lengths: exact complements first, then best fit of the rest.
 
-    With few pieces the exact fills can use up lengths that best fit needs more;
-    best fit alone is tried as well, and the fewer sequences win.
+    The shortest pieces, ``RESERVE`` of all tokens, take no part in exact fills:
+    without them nothing would be left that fills the gaps of the residuals.
     """
-    made, left = exact_fills(lengths, size)
-    filled = Plan.of(made + best_fit(left, size))
-    plain = Plan.of(best_fit(sorted(lengths.items(), reverse=True), size))
-    return min(filled, plain, key=lambda p: p.sequences)
+    kept, rest = reserve(lengths)
+    made, left = exact_fills(rest, size)
+    residual = Counter(dict(left)) + Counter(kept)
+    return Plan.of(made + best_fit(sorted(residual.items(), reverse=True), size))
+
+
+def reserve(lengths: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+    """The shortest pieces that hold ``RESERVE`` of the tokens, and the others."""
+    wanted = RESERVE * sum(length * n for length, n in lengths.items())
+    kept: dict[int, int] = {}
+    for length in sorted(lengths):
+        if wanted <= 0:
+            break
+        kept[length] = min(lengths[length], math.ceil(wanted / length))
+        wanted -= kept[length] * length
+    return kept, {k: n - kept.get(k, 0) for k, n in lengths.items() if n > kept.get(k, 0)}
 
 
 def exact_fills(

@@ -144,3 +144,39 @@ def test_plan_uses_every_piece_once(seed):
 def test_plan_finds_exact_complements():
     assert packing.plan({60: 5, 40: 5, 70: 2, 20: 2, 10: 2}, 100).sequences == 7
     assert packing.plan({}, 100).sequences == 0
+
+
+def test_exact_fills_take_fewer_sequences_than_best_fit_alone():
+    """Lengths on which best fit alone wastes sequences; without exact fills this fails."""
+    for lengths, most in (
+        ({27: 28, 40: 28, 33: 33}, 30),
+        ({38: 44, 32: 44, 58: 51, 42: 51, 30: 60, 28: 50}, 117),
+        ({28: 29, 35: 18, 43: 56, 27: 55, 32: 42, 29: 60, 46: 55}, 115),
+    ):
+        made = packing.plan(lengths, 100)
+        alone = sum(t for _, t in packing.best_fit(sorted(lengths.items(), reverse=True), 100))
+        assert made.sequences <= most < alone
+        used = Counter()
+        for pattern, times in zip(made.patterns, made.times, strict=True):
+            assert sum(pattern) <= 100
+            used += Counter({k: n * times for k, n in Counter(pattern).items()})
+        assert used == Counter(lengths)
+
+
+def test_exact_fills_fill_whole_sequences():
+    made, left = packing.exact_fills({100: 2, 60: 5, 40: 7, 50: 4, 30: 3, 25: 2}, 100)
+    assert all(sum(pattern) == 100 for pattern, _ in made)
+    used = Counter(dict(left))
+    for pattern, times in made:
+        used += Counter({k: n * times for k, n in Counter(pattern).items()})
+    assert used == Counter({100: 2, 60: 5, 40: 7, 50: 4, 30: 3, 25: 2})
+    assert sum(times for _, times in made) >= 10
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_documents_take_no_more_sequences_than_their_tokens_need(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    lengths = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    bound = -(-sum(k * n for k, n in lengths.items()) // packing.SEQUENCE)
+    assert packing.plan(lengths).sequences <= bound + 1
