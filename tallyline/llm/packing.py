@@ -44,7 +44,8 @@ from tallyline.llm.tables import small_batches
 from tallyline.sources.stage import stage
 
 SEQUENCE = 2048
-RESERVE = 0.01
+RESERVES = (0.01, 0.05)  # shares of all tokens
+UNDONE = (0, 0.25, 0.5)  # shares of the exact fills
 END = 0
 KNOWN_WORDS = 400_000
 PIECE = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
@@ -236,18 +237,30 @@ def complements(counts: np.ndarray, most: int, gap: int) -> Iterator[tuple[int,
 def plan(lengths: dict[int, int], size: int = SEQUENCE) -> Plan:
     """Pack counted lengths: exact complements first, then best fit of the rest.
 
-    The shortest pieces, ``RESERVE`` of all tokens, take no part in exact fills:
+    A share of the tokens, the shortest pieces, takes no part in exact fills:
     without them nothing would be left that fills the gaps of the residuals.
+    Fills of the shorter lengths that cost more sequences than they save are
+    undone and their pieces join the residuals.
     """
-    kept, rest = reserve(lengths)
-    made, left = exact_fills(rest, size)
-    residual = Counter(dict(left)) + Counter(kept)
-    return Plan.of(made + best_fit(sorted(residual.items(), reverse=True), size))
-
-
-def reserve(lengths: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
-    """The shortest pieces that hold ``RESERVE`` of the tokens, and the others."""
-    wanted = RESERVE * sum(length * n for length, n in lengths.items())
+    found = None
+    for share in RESERVES:
+        kept, rest = reserve(lengths, share)
+        made, left = exact_fills(rest, size)
+        for undone in UNDONE:
+            first = math.ceil(len(made) * (1 - undone))
+            residual = Counter(dict(left)) + Counter(kept)
+            for pattern, times in made[first:]:
+                for length in pattern:
+                    residual[length] += times
+            tried = Plan.of(made[:first] + best_fit(sorted(residual.items(), reverse=True), size))
+            if found is None or tried.sequences < found.sequences:
+                found = tried
+    return found
+
+
+def reserve(lengths: dict[int, int], share: float) -> tuple[dict[int, int], dict[int, int]]:
+    """The shortest pieces that hold a share of the tokens, and the others."""
+    wanted = share * sum(length * n for length, n in lengths.items())
     kept: dict[int, int] = {}
     for length in sorted(lengths):
         if wanted <= 0:

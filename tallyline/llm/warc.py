@@ -8,14 +8,18 @@ seek and never decoded.  ``df.write.format("warc")`` writes one archive per
 task under a temporary name and renames it when the job commits, so a failed or
 repeated task leaves nothing behind.
 
-Archives are reached through Arrow's file systems, by the path's scheme.
+Archives are reached through Arrow's file systems, by the path's scheme.  Files
+end in ``.warc`` or ``.warc.gz`` (whose blocks are skipped by decompressing over
+them); hidden ones are passed over, and any other file is an error, so that no
+archive is left out without a word.
 
 Identical payloads: of the records with one payload the one with the largest
 page_id is a ``response``, all others are ``revisit`` records that name it and
 store no payload.  Null and empty html are the same payload of no bytes.
 
 Defined results: rows repeating the largest page_id of their payload are all
-responses; a null page_id is written without an id and sorts below all others;
+responses; records of other writers have no page_id unless they name one; their
+folded header lines are joined; a payload without a digest is not checked; a null page_id is written without an id and sorts below all others;
 a null url is left out, and line ends in a url are written as %0D and %0A;
 other columns are not written; no pages make no archive, which reads as no
 rows.
@@ -24,11 +28,13 @@ rows.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import operator
 import os
 import posixpath
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -102,8 +108,8 @@ def record(page_id: int | None, uri: str | None, kind: str, refers_to: int | Non
 
 
 def page_of(value: str | None) -> int | None:
-    inner = (value or "").strip("<>")
-    return int(inner[len(PAGE) :]) if inner.startswith(PAGE) else None
+    number = (value or "").strip("<>").removeprefix(PAGE)
+    return int(number) if (value or "").startswith(f"<{PAGE}") and re.fullmatch("-?[0-9]{1,18}", number) else None
 
 
 def header_row(fields: dict[str, str]) -> dict:
@@ -123,19 +129,33 @@ def header_row(fields: dict[str, str]) -> dict:
 def read_fields(source: io.BufferedReader) -> dict[str, str] | None:
     """The next record's header fields by lower-case name; None at the end."""
     line = source.readline()
-    while line == b"\r\n":
+    while line in (b"\r\n", b"\n"):
         line = source.readline()
     if not line:
         return None
     if not line.startswith(b"WARC/"):
         raise ValueError(f"no WARC record where one should start: {line[:40]!r}")
-    fields = {}
-    while (line := source.readline()) not in (b"\r\n", b""):
-        name, _, value = line.decode().rstrip("\r\n").partition(":")
-        fields[name.strip().lower()] = value.strip()
+    fields: dict[str, str] = {}
+    name = ""
+    while (line := source.readline()) not in (b"\r\n", b"\n", b""):
+        text = line.decode(errors="replace").rstrip("\r\n")
+        if text[:1] in (" ", "\t") and name:
+            # A folded line goes on with the field before it.
+            fields[name] = f"{fields[name]} {text.strip()}".strip()
+            continue
+        name, _, value = text.partition(":")
+        name = name.strip().lower()
+        fields[name] = value.strip()
     return fields
 
 
+def opened(raw: pa.NativeFile, name: str) -> io.BufferedReader:
+    """An archive's bytes; gzip members, usually one a record, are read one after another."""
+    if name.endswith(".gz"):
+        return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 18)
+    return io.BufferedReader(raw, 1 << 18)
+
+
 def payload_of(block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2]
 
@@ -173,7 +193,12 @@ class WarcReader(D.DataSourceReader):
         """Whole archives, gathered up to ``PARTITION_BYTES``."""
         system, path = file_system(self.path)
         found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-        files = sorted((f.path, f.size) for f in found if f.is_file and f.path.endswith(".warc"))
+        shown = [f for f in found if f.is_file and f.base_name[0] not in "._"]
+        other = [f.path for f in shown if not f.path.endswith((".warc", ".warc.gz"))]
+        if other:
+            raise ValueError(f"not an archive: {other[0]}")
+        # Compressed archives take more work a byte.
+        files = sorted((f.path, f.size * (4 if f.path.endswith(".gz") else 1)) for f in shown)
         groups: list[Archives] = []
         room = 0
         for file, size in files:
@@ -200,7 +225,7 @@ class WarcReader(D.DataSourceReader):
         rows: list[dict] = []
         size = 0
         for file in partition.files:
-            with system.open_input_file(file) as raw, io.BufferedReader(raw, 1 << 18) as source:
+            with system.open_input_file(file) as raw, opened(raw, file) as source:
                 while (fields := read_fields(source)) is not None:
                     length = int(fields["content-length"])
                     row = header_row(fields)
@@ -209,7 +234,7 @@ class WarcReader(D.DataSourceReader):
                         continue
                     if "payload" in self.names and row["record_type"] == "response":
                         row["payload"] = payload_of(source.read(length))
-                        if base32_sha1(row["payload"]) != row["payload_digest"]:
+                        if row["payload_digest"] not in (None, base32_sha1(row["payload"])):
                             raise ValueError(f"{file}: payload of page {row['page_id']} is damaged")
                     else:
                         source.seek(length, io.SEEK_CUR)
@@ -274,7 +299,7 @@ class WarcWriter(D.DataSourceArrowWriter):
 
 
 class WarcSource(D.DataSource):
-    """Options: path, a folder of ``.warc`` files."""
+    """Options: path, a folder of ``.warc`` and ``.warc.gz`` files."""
 
     @classmethod
     def name(cls) -> str:

@@ -1,7 +1,9 @@
 """Near duplicates, components, top-k search, WARC, url rules and the classifier."""
 
 import base64
+import gzip
 import hashlib
+import re
 from dataclasses import replace
 
 import numpy as np
@@ -309,6 +311,32 @@ def test_stored_features_are_those_of_the_texts(spark, labelled):
     assert stored == direct and len(set(stored.values())) == 2
 
 
+def test_foreign_archives(spark, tmp_path):
+    """Gzip members, folded headers, ids of other writers; no file is skipped in silence."""
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i % 3}</p>" * 50) for i in range(20)], "page_id BIGINT, url STRING, html STRING")
+    folder = str(tmp_path / "own")
+    warc.write(pages.coalesce(1), folder)
+    want = sorted(map(tuple, warc.records(spark, folder).collect()), key=repr)
+    own = next((tmp_path / "own").glob("*.warc")).read_bytes()
+    cuts = [m.start() for m in re.finditer(rb"WARC/1\.1", own)] + [len(own)]
+    packed = tmp_path / "gz"
+    packed.mkdir()
+    (packed / "a.warc.gz").write_bytes(b"".join(gzip.compress(own[a:b]) for a, b in zip(cuts, cuts[1:])))
+    assert sorted(map(tuple, warc.records(spark, str(packed)).collect()), key=repr) == want
+    assert warc.headers(spark, str(packed)).where("record_type = 'revisit'").count() == 17
+
+    block = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:x>\r\nWARC-Target-URI: http://a/\r\n  b\r\nContent-Length: %d\r\n\r\n" % len(block)
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "b.warc").write_bytes((head + block + b"\r\n\r\n") * 2)
+    rows = warc.records(spark, str(other)).collect()
+    assert [(r.page_id, r.target_uri, bytes(r.payload), r.payload_digest) for r in rows] == [(None, "http://a/ b", b"hello", None)] * 2
+    (other / "c.warc.zst").write_bytes(b"")
+    with pytest.raises(Exception, match="not an archive"):
+        warc.records(spark, str(other)).count()
+
+
 def test_classifier_edges(spark, labelled):
     docs, labels = labelled
     odd = spark.createDataFrame(
