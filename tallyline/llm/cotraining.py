@@ -21,6 +21,7 @@ and of the documents that a view is sure of about ``PSEUDO`` per class, chosen
 by digests of their ids.  A sampled row weighs as much as the rows of its kind
 that it stands for.  All documents are scored in every round and in the end.
 
+A fit is one task over its bounded sample, all fits of a round are one job.
 Features are computed once per document and written (a few bytes per distinct
 word); a round reads them, never the texts.
 
@@ -34,15 +35,11 @@ carried by ``kept`` and not read by ``score``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,14 +49,13 @@ from tallyline.llm.quality_rules import MEASURES, measure
 from tallyline.llm.tables import small_batches
 from tallyline.sources.stage import stage
 
-LABELLED = 4_000
-PSEUDO = 2_000
-FIT_PARTS = 2
-FITS = 8  # at a time
+LABELLED = 3_000
+PSEUDO = 1_000
 FOLDS = 3
 ROUNDS = 2
-STEPS = 60
-ENOUGH = 1e-4  # a step that gains less than this share of the loss is the last
+STEPS = 200
+ENOUGH = 1e-5  # a step that gains less than this share of the loss is the last
+MEMORY = 10  # of past steps
 SURE = float(np.log(0.95 / 0.05))
 LOST = 0.005
 HASHED = 1 << 16
@@ -209,10 +205,6 @@ class Weights:
     meta: np.ndarray
     meta_base: float
 
-    @classmethod
-    def of(cls, text: LogisticRegressionModel, meta: LogisticRegressionModel) -> Weights:
-        return cls(text.coefficients.toArray(), text.intercept, meta.coefficients.toArray(), meta.intercept)
-
 
 def labels_of(labels: DataFrame) -> DataFrame:
     """(doc_id, label): one row per labelled document."""
@@ -221,21 +213,6 @@ def labels_of(labels: DataFrame) -> DataFrame:
     )
 
 
-@F.udf(VectorUDT())
-def text_vector(dense: bytes, grams: bytes, shares: bytes) -> object:
-    head = np.frombuffer(dense, "<f4")
-    used = np.flatnonzero(head)
-    places = np.frombuffer(grams, PLACE).astype(np.int64) + DENSE
-    values = np.concatenate([head[used], np.frombuffer(shares, SHARE)]).astype(float)
-    return Vectors.sparse(DENSE + HASHED, np.concatenate([used, places]), values)
-
-
-@F.udf(VectorUDT())
-def meta_vector(meta: bytes) -> object:
-    places, times = np.unique(np.frombuffer(meta, PLACE), return_counts=True)
-    return Vectors.sparse(HASHED, places, times.astype(float))
-
-
 @dataclass(frozen=True)
 class Examples:
     """Features of all documents, which of them are labelled, and the sample that fits see."""
@@ -251,13 +228,9 @@ class Examples:
         return len(per) == 2 and min(per.values()) >= 2
 
 
-def vectors(table: DataFrame, picked: DataFrame, label: str) -> DataFrame:
-    """The features of a bounded number of rows as vectors, written once in few files."""
-    found = table.join(F.broadcast(picked), "at").drop("doc_id")
-    rows = found.withColumns(
-        {"text_vector": text_vector("dense", "grams", "shares"), "meta_vector": meta_vector("meta")}
-    )
-    return stage(rows.drop("dense", "grams", "shares", "meta").repartition(FIT_PARTS), label)
+def picked_rows(table: DataFrame, picked: DataFrame, label: str) -> DataFrame:
+    """The features of a bounded number of rows, written once."""
+    return stage(table.drop("doc_id").join(F.broadcast(picked), "at"), label)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> Examples:
@@ -276,38 +249,125 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> Examples:
     order = Window.partitionBy("label").orderBy(digest, "doc_id")
     fold = (F.dense_rank().over(order) % FOLDS).cast("int")
     picked = drawn.select("at", "doc_id", "label", weight.alias("weight"), fold.alias("fold"))
-    ids = picked.select("at", F.col("doc_id").alias("id"), "label", "weight", "fold")
-    return Examples(table, known, vectors(table, ids, "train-sample").withColumnRenamed("id", "doc_id"), every)
+    return Examples(table, known, picked_rows(table, picked, "train-sample"), every)
 
 
-def regression(features_: str, penalty: float = PENALTY) -> LogisticRegression:
-    return LogisticRegression(
-        featuresCol=features_, labelCol="label", weightCol="weight", maxIter=STEPS, tol=ENOUGH, regParam=penalty, standardization=False,
-    )
+@dataclass
+class Rows:
+    """Sparse rows of a view: places and values, and where each row starts."""
+
+    places: np.ndarray
+    values: np.ndarray
+    counts: np.ndarray
+    size: int
+
+    def __post_init__(self) -> None:
+        self.full = np.flatnonzero(self.counts)
+        self.starts = (np.cumsum(self.counts) - self.counts)[self.full]
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        made = np.zeros(len(self.counts))
+        if len(self.full):
+            made[self.full] = np.add.reduceat(self.values * weights[self.places], self.starts)
+        return made
+
+    def gathered(self, by_row: np.ndarray) -> np.ndarray:
+        return np.bincount(self.places, np.repeat(by_row, self.counts) * self.values, self.size)
+
 
+def view_rows(made: Features, view: str) -> tuple[np.ndarray, Rows]:
+    """Dense block and sparse rows of a view."""
+    if view == "text":
+        return made.dense, Rows(made.grams, made.shares, made.gram_counts, HASHED)
+    places = made.meta.ravel()
+    return made.dense[:, :0], Rows(places, np.ones(len(places)), np.full(len(made), made.meta.shape[1]), HASHED)
 
-def fitted(jobs: list[Callable[[], object]]) -> list:
-    """Small fits at the same time: each is a chain of short jobs."""
-    with ThreadPoolExecutor(FITS) as pool:
-        return list(pool.map(lambda job: job(), jobs))
+
+def regression(dense: np.ndarray, rows: Rows, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float, int]:
+    """Weighted logistic regression with a penalty on the coefficients, by limited-memory BFGS.
+
+    Gives the coefficients (dense ones first), the intercept, and the steps taken.
+    """
+    size = dense.shape[1]
+    weight = weight / weight.sum()
+    sign = 2 * label - 1
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        margin = sign * (dense @ w[:size] + rows.times(w[size:-1]) + w[-1])
+        push = -sign * weight / (1 + np.exp(np.clip(margin, -500, 500)))
+        slope = np.concatenate([dense.T @ push, rows.gathered(push), [push.sum()]])
+        slope[:-1] += PENALTY * w[:-1]
+        return float(weight @ np.logaddexp(0, -margin) + PENALTY / 2 * (w[:-1] @ w[:-1])), slope
+
+    w = np.zeros(size + rows.size + 1)
+    value, slope = loss(w)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    steps = 0
+    for steps in range(1, STEPS + 1):
+        way, shares = slope.copy(), []
+        for moved, turned in reversed(past):
+            shares.append(moved @ way / (turned @ moved))
+            way -= shares[-1] * turned
+        if past:
+            moved, turned = past[-1]
+            way *= moved @ turned / (turned @ turned)
+        for (moved, turned), share in zip(past, reversed(shares), strict=True):
+            way += moved * (share - turned @ way / (turned @ moved))
+        reach = 1.0
+        while True:
+            further = w - reach * way
+            lower, next_slope = loss(further)
+            if lower <= value - 1e-4 * reach * (slope @ way) or reach < 1e-8:
+                break
+            reach /= 2
+        gain, moved, turned = value - lower, further - w, next_slope - slope
+        if gain <= 0:
+            break
+        if moved @ turned > 0:
+            past = [*past, (moved, turned)][-MEMORY:]
+        w, value, slope = further, lower, next_slope
+        if gain < ENOUGH * value:
+            break
+    return w[:-1], float(w[-1]), steps
+
+
+def fit_group(table: pa.Table) -> pa.Table:
+    """One run's view, from its bounded sample."""
+    batch = table.combine_chunks().to_batches()[0]
+    task = batch["task"][0].as_py()
+    dense, rows = view_rows(Features.read(batch), VIEWS[task % 2])
+    w, base, steps = regression(dense, rows, batch["label"].to_numpy(), batch["weight"].to_numpy())
+    columns = [pa.array([task], pa.int32()), pa.array([w.tobytes()], pa.binary()), pa.array([base]), pa.array([steps], pa.int32())]
+    return pa.Table.from_arrays(columns, names=["task", "coefficients", "base", "steps"])
 
 
 def fit_all(examples: Examples, extra: DataFrame | None) -> list[Weights]:
-    """The classifiers of all runs: one that sees all labels, then one per left-out fold."""
-
-    def job(run: int, view: str) -> Callable[[], LogisticRegressionModel]:
-        own = examples.sample if run == 0 else examples.sample.where(F.col("fold") != run - 1)
-        data = own.select("label", "weight", f"{view}_vector")
-        if extra is not None:
-            pick = F.col("picks")[chosen(run, VIEWS[1 - VIEWS.index(view)])]
-            more = extra.where(pick != 0).select(
-                F.when(pick > 0, 1.0).otherwise(0.0).alias("label"), F.abs(pick).alias("weight"), f"{view}_vector"
-            )
-            data = data.unionByName(more)
-        return lambda: regression(f"{view}_vector").fit(data)
+    """The classifiers of all runs: one that sees all labels, then one per left-out fold.
 
-    models = fitted([job(run, view) for run in range(FOLDS + 1) for view in VIEWS])
-    return [Weights.of(*models[i : i + 2]) for i in range(0, len(models), 2)]
+    Each run's view is one task over at most 2 * ``LABELLED`` rows and the picks.
+    """
+    runs = range(FOLDS + 1)
+    tasks = [(run, view, chosen(run, view)) for run in runs for view in VIEWS]
+    uses = [F.when(F.lit(run == 0) | (F.col("fold") != run - 1), F.lit(task)) for run, _, task in tasks]
+    own = examples.sample.select("label", "weight", *BLOCKS, F.explode(F.array_compact(F.array(*uses))).alias("task"))
+    data = own
+    if extra is not None:
+        # A view learns what the other one is sure of.
+        given = [F.struct(F.lit(task).alias("task"), F.col("picks")[task ^ 1].alias("pick")) for *_, task in tasks]
+        more = extra.select(*BLOCKS, F.explode(F.filter(F.array(*given), lambda g: g["pick"] != 0)).alias("g"))
+        data = own.unionByName(
+            more.select(
+                F.when(F.col("g.pick") > 0, 1.0).otherwise(0.0).alias("label"), F.abs("g.pick").alias("weight"),
+                *BLOCKS, F.col("g.task").alias("task"),
+            )
+        )
+    # Only what a view needs travels.
+    empty = F.lit(b"")
+    text_only = {b: F.when(F.col("task") % 2 == 0, F.col(b)).otherwise(empty) for b in ("grams", "shares")}
+    schema = "task INT, coefficients BINARY, base DOUBLE, steps INT"
+    made = data.withColumns(text_only).groupBy("task").applyInArrow(fit_group, schema).collect()
+    found = {r["task"]: (np.frombuffer(r["coefficients"]), r["base"]) for r in made}
+    return [Weights(*found[chosen(run, "text")], *found[chosen(run, "meta")]) for run in runs]
 
 
 def chosen(run: int, view: str) -> int:
@@ -351,7 +411,7 @@ def sure_labels(examples: Examples, runs: list[Weights]) -> DataFrame:
         picks.append(pick)
     picked = free.select("at", F.array(*picks).alias("picks")).where(F.exists("picks", lambda p: p != 0))
     # About 4 * (FOLDS + 1) * PSEUDO rows at most.
-    return vectors(examples.table, stage(picked, "train-picks"), "train-extra")
+    return picked_rows(examples.table, stage(picked, "train-picks"), "train-extra")
 
 
 @dataclass(frozen=True)
@@ -414,8 +474,6 @@ def train(examples: Examples, rounds: int = ROUNDS) -> Classifier | None:
         extra = sure_labels(examples, runs)
         runs = fit_all(examples, extra)
     # Every labelled document of the sample by the run that left it out.
-    blocks = examples.table.join(F.broadcast(examples.sample.select("at", "label", "weight", "fold")), "at")
-
     def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made, fold = Features.read(batch), batch["fold"].to_numpy()
@@ -423,25 +481,21 @@ def train(examples: Examples, rounds: int = ROUNDS) -> Classifier | None:
             for run in range(FOLDS):
                 rows = fold == run
                 odds[:, rows] = np.stack(made.odds(runs[run + 1]))[:, rows]
-            yield pa.RecordBatch.from_arrays([batch["label"], batch["weight"], pa.array(odds[0]), pa.array(odds[1])], names=["label", "weight", *VIEWS])
-
-    held = stage(
-        blocks.mapInArrow(crossed, "label DOUBLE, weight DOUBLE, text DOUBLE, meta DOUBLE").coalesce(FIT_PARTS), "train-held"
-    )
-
-    def calibrated(view: str) -> Callable[[], LogisticRegressionModel]:
-        rows = held.select("label", "weight", array_to_vector(F.array(view)).alias("raw"))
-        return lambda: regression("raw", 1e-3).fit(rows)
-
-    fits = fitted([calibrated(view) for view in VIEWS])
+            columns = [batch["label"], batch["weight"], pa.array(odds[0]), pa.array(odds[1])]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "weight", *VIEWS])
+
+    # At most 2 * LABELLED rows of four numbers.
+    schema = "label DOUBLE, weight DOUBLE, text DOUBLE, meta DOUBLE"
+    held = examples.sample.mapInArrow(crossed, schema).toArrow()
+    label, weight, *odds = (held[c].to_numpy() for c in held.column_names)
+    none = Rows(np.zeros(0, np.int64), np.zeros(0), np.zeros(len(label), np.int64), 0)
+    fits = [regression(o[:, None], none, label, weight) for o in odds]
     share = examples.counts[1.0] / (examples.counts[0.0] + examples.counts[1.0])
     made = Classifier(
-        runs[0], tuple(max(float(m.coefficients[0]), 0.0) for m in fits), tuple(float(m.intercept) for m in fits),
+        runs[0], tuple(max(float(w[0]), 0.0) for w, *_ in fits), tuple(base for _, base, _ in fits),
         float(np.log(share / (1 - share))),
     )
-    # At most LABELLED documents.
-    good = held.where("label = 1").select(*VIEWS).toArrow()
-    scores = made.combined(*(good[v].to_numpy() for v in VIEWS))[2]
+    scores = made.combined(*odds)[2][label > 0]
     return Classifier(made.weights, made.slopes, made.shifts, made.prior, threshold(scores))
 
 

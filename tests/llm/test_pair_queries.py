@@ -297,6 +297,24 @@ def test_folds_never_see_their_own_labels(spark, labelled):
         assert np.allclose(a, b, atol=1e-6) == same
 
 
+def test_regression_converges_to_the_least_loss():
+    rng = np.random.default_rng(2)
+    n, counts = 500, rng.integers(0, 6, 500)
+    rows = cotraining.Rows(rng.integers(0, 40, counts.sum()), rng.random(counts.sum()), counts, 40)
+    dense, weight = rng.normal(size=(n, 3)), rng.random(n) + 0.5
+    label = (dense[:, 0] + 0.5 * rng.normal(size=n) > 0).astype(float)
+    w, base, steps = cotraining.regression(dense, rows, label, weight)
+
+    def loss(w, base):
+        odds = dense @ w[:3] + rows.times(w[3:]) + base
+        return weight @ np.logaddexp(0, -(2 * label - 1) * odds) / weight.sum() + cotraining.PENALTY / 2 * w @ w
+
+    assert steps < cotraining.STEPS and w[0] > 1
+    for _ in range(50):
+        assert loss(w + 0.05 * rng.normal(size=len(w)), base + 0.05 * rng.normal()) > loss(w, base) - 1e-4
+    assert np.isfinite(cotraining.regression(dense[:2], cotraining.Rows(rows.places[:0], rows.values[:0], np.zeros(2, int), 40), np.array([1.0, 0]), np.ones(2))[0]).all()
+
+
 def test_stored_features_are_those_of_the_texts(spark, labelled):
     docs, labels = labelled
     table = cotraining.feature_table(docs.select(*cotraining.NEEDED))
