@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import words as W
 from tallyline.functions.segments import block_span
 from tallyline.operators import snapshot as S
-from tallyline.operators.fold import ORDER, SEGMENT, Put, Tally, Wide, fold
+from tallyline.operators.fold import ORDER, SEGMENT, Narrow, Put, Tally, Wide, fold
 from tallyline.operators.pool_state import (
     continue_pool_states,
     pool_events,
@@ -17,6 +17,7 @@ from tallyline.operators.pool_state import (
     with_contribution,
     with_count,
 )
+from tallyline.operators.state_index import StateIndex
 from tallyline.operators.unpivot import tick_operations
 from tallyline.plans.registry import query
 from tallyline.sources.ledger import (
@@ -25,7 +26,7 @@ from tallyline.sources.ledger import (
     ledger_blocks,
     segmented_ledger,
 )
-from tallyline.sources.stage import stage
+from tallyline.sources.stage import new_path, stage
 
 ID = ["block", "ordinal", "pool", "kind"]
 
@@ -337,3 +338,21 @@ def seed_continue(spark, sf_dir):
     snapshot = stage(pool_snapshot(first), "snapshot")
     rest = S.drop_seed(continue_pool_states(tail, snapshot, seed_block))
     return first.select(*out).unionByName(rest.select(*out))
+
+
+@query(
+    "state_at",
+    POOL_SQL
+    + """, PR AS (SELECT DISTINCT pool, block - 7 AS block FROM P),
+EN AS (SELECT * FROM S QUALIFY row_number() OVER (PARTITION BY pool, block ORDER BY ordinal DESC) = 1)
+SELECT PR.pool, PR.block, tick_after AS tick, price_after AS price, tx_count_after AS tx_count,
+  liquidity_after AS liquidity
+FROM PR ASOF LEFT JOIN EN ON PR.pool = EN.pool AND PR.block >= EN.block""",
+)
+def state_at(spark, sf_dir):
+    """All pool states seven blocks before every pool event, from the point-in-time index."""
+    rows = pool_ledger(spark, sf_dir)
+    values = {"tick": Narrow, "price": Narrow, "tx_count": Narrow, "liquidity": Narrow}
+    index = StateIndex(new_path(spark, "state-index"), {"pool": "BIGINT"}, values, width=50)
+    index.write(stage(pool_states(rows), "indexed-states"))
+    return index.at(rows.select("pool", F.expr("block - 7 AS block")).distinct())
