@@ -15,8 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.segments import block_span, plan_segments
-from tallyline.operators.fold import ORDER, SEGMENT
+from tallyline.functions.segments import plan_batch
+from tallyline.operators.fold import SEGMENT
 from tallyline.operators.pool_state import (
     STATES,
     continue_pool_states,
@@ -24,6 +24,7 @@ from tallyline.operators.pool_state import (
     with_count,
 )
 from tallyline.operators.snapshot import drop_seed
+from tallyline.sources.stage import stage
 
 COMPACT = 16
 MARK_SCHEMA = "block BIGINT, ordinal BIGINT"
@@ -110,12 +111,14 @@ class PoolStateJob:
     def process(self, batch_rows: DataFrame, batch: int) -> None:
         mark = self._mark(batch)
         done = "false" if mark is None else f"block < {mark[0]} OR (block = {mark[0]} AND ordinal <= {mark[1]})"
-        fresh, late = batch_rows.where(f"NOT ({done})"), batch_rows.where(done)
+        # The batch is read once; everything after reads the columns it needs of this copy.
+        rows = stage(batch_rows.withColumn("_late", F.expr(done)), "batch-rows")
+        fresh, late = rows.where("NOT _late").drop("_late"), rows.where("_late").drop("_late")
         late.write.mode("overwrite").parquet(self._path("late", batch))
 
+        segments, first, last = plan_batch(fresh)
         # Seeds come before every row of the batch, also in a block that was split.
-        seed_block = block_span(fresh)[0] - 1
-        segments = plan_segments(fresh)
+        seed_block = (first or 0) - 1
         touched = self.snapshot(batch - 1).join(fresh.select("pool").distinct(), "pool", "left_semi")
         states = continue_pool_states(
             fresh.withColumn(SEGMENT, segments.of()), touched, seed_block
@@ -127,10 +130,10 @@ class PoolStateJob:
         ).write.mode("overwrite").parquet(self._path("rows", batch))
         written = self.spark.read.parquet(self._path("rows", batch))
         pool_snapshot(written).write.mode("overwrite").parquet(self._path("deltas", batch))
-        last = fresh.agg(F.max(F.struct("block", "ordinal")).alias("at")).select(
-            *(F.coalesce(F.col(f"at.{c}"), F.lit(mark[i] if mark else None)).alias(c) for i, c in enumerate(ORDER))
+        position = last or mark or (None, None)
+        self.spark.createDataFrame([position], MARK_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            self._path("marks", batch)
         )
-        last.write.mode("overwrite").parquet(self._path("marks", batch))
         if (batch + 1) % COMPACT == 0:
             previous = self.snapshot(batch - 1).withColumn("version", F.lit(0))
             delta = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self._path("deltas", batch))
