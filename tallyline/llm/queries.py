@@ -478,3 +478,37 @@ def op11_token_counts(spark, sf_dir):
     return token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
+
+
+URL_PARTS_SQL = r"""
+WITH r AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"('{r.verdict}', '{r.host}', '{r.path}')" for r in url_filter.RULES
+) + r""") AS v(verdict, h, p)
+), u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, """ + LOWER_SQL.format("regexp_extract(rest, '^[^/?#]*')") + r""" AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+)
+SELECT page_id, host, path, (
+    SELECT h || p FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    ORDER BY length(h || p) DESC LIMIT 1) AS rule
+FROM parts
+"""
+
+
+@query("url_parts", URL_PARTS_SQL)
+def url_parts(spark, sf_dir):
+    """Host, path and rule of every page's url, as the url filter finds them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "judged.host", "judged.path", "judged.rule")
+
+
+@query(
+    "shard_sizes",
+    "SELECT doc_id, (octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS size, 'rows' AS law FROM documents",
+)
+def shard_sizes(spark, sf_dir):
+    """Size and law of every document, as sharding carries them."""
+    rows = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "size", "law")

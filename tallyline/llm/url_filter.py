@@ -8,8 +8,10 @@ segment are blocked among labelled urls.
 
 Labelled urls are those that a rule decides.  The trees are fitted on at most
 ``TRAIN_ROWS`` distinct labelled urls per verdict, chosen by the smallest
-digests of the urls, so a rerun fits the same trees; the suffix statistics are
-counted over all labelled urls.  Without labelled urls of both verdicts the
+digests of the urls, so a rerun fits the same trees; a sampled url weighs as
+much as those of its verdict that it stands for.  The suffix statistics are
+counted over all labelled urls; a training row's leave out its host's fold.
+Without labelled urls of both verdicts the
 model gives the only verdict there is, or ``allow``.
 
 Defined results: a null url, or one without ``://``, has an empty host and
@@ -34,7 +36,9 @@ from tallyline.sources.stage import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRAIN_ROWS = 10_000
-TREES, DEPTH, SEED = 10, 4, 7
+TREES, DEPTH, SEED = 20, 4, 7
+SUBSET = "onethird"  # of the features, tried at each split: the rates alone would decide all
+FOLDS = 5
 PRIOR = 20.0
 
 
@@ -117,20 +121,33 @@ def features(urls: DataFrame) -> DataFrame:
     return made.select(*(c for c in made.columns if c not in ("u", "query")), *(v.alias(k) for k, v in plain.items()))
 
 
-def rates(labelled: DataFrame, by: str) -> DataFrame:
-    """Share of blocked urls per value, pulled towards one half where few were seen."""
+def sums(labelled: DataFrame, by: str) -> DataFrame:
+    """Labelled and blocked urls per value, in all and per fold of the host."""
+    folds = [F.count_if(F.col("fold") == f) for f in range(FOLDS)]
+    blocked = [F.sum(F.when(F.col("fold") == f, F.col("label")).otherwise(0.0)) for f in range(FOLDS)]
     return labelled.groupBy(by).agg(
-        ((F.sum("label") + PRIOR / 2) / (F.count(F.lit(1)) + PRIOR)).alias(f"{by}_rate"),
-        F.log1p(F.count(F.lit(1)).cast("double")).alias(f"{by}_seen"),
+        F.array(F.count(F.lit(1)), *folds).alias(f"{by}_n"), F.array(F.sum("label"), *blocked).alias(f"{by}_blocked")
     )
 
 
-def with_rates(made: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def with_rates(made: DataFrame, tables: dict[str, DataFrame], apart: bool) -> DataFrame:
+    """Share of blocked urls per value, pulled towards one half where few were seen.
+
+    ``apart`` leaves out the urls of the row's own fold, so that no host's labels
+    tell of themselves.
+    """
+    own = F.col("fold") + 1 if apart else None
     for by, table in tables.items():
         small = table.count() <= BROADCAST_IDS
         made = made.join(F.broadcast(table) if small else table, by, "left")
-    none = {"suffix_rate": 0.5, "segment_rate": 0.5, "suffix_seen": 0.0, "segment_seen": 0.0}
-    return made.fillna(none)
+        of = lambda c: F.coalesce(F.col(c)[0] - (F.get(c, own) if apart else 0), F.lit(0)).cast("double")
+        made = made.withColumns(
+            {
+                f"{by}_rate": (of(f"{by}_blocked") + PRIOR / 2) / (of(f"{by}_n") + PRIOR),
+                f"{by}_seen": F.log1p(of(f"{by}_n")),
+            }
+        ).drop(f"{by}_n", f"{by}_blocked")
+    return made
 
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url") -> DataFrame:
@@ -149,20 +166,24 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url")
     urls = stage(features(distinct), "url-features")
     labelled = urls.where("by_rule IS NOT NULL").withColumn(
         "label", F.when(F.col("by_rule") == "block", 1.0).otherwise(0.0)
-    )
+    ).withColumn("fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int"))
     counts = {r["by_rule"]: r["n"] for r in labelled.groupBy("by_rule").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) == 2:
-        tables = {by: stage(rates(labelled, by), f"url-{by}") for by in ("suffix", "segment")}
-        known = with_rates(urls, tables)
+        tables = {by: stage(sums(labelled, by), f"url-{by}") for by in ("suffix", "segment")}
+        known = with_rates(urls, tables, apart=False)
         vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         # A bounded sample per verdict: the urls with the smallest digests.
         digest = F.xxhash64("url")
         sample = [
-            labelled.where(F.col("by_rule") == v).orderBy(digest, "url").limit(TRAIN_ROWS) for v in counts
-        ]
-        train = stage(with_rates(sample[0].unionByName(sample[1]), tables).select("label", *FEATURES), "url-train")
+            labelled.where(F.col("by_rule") == v).orderBy(digest, "url").limit(TRAIN_ROWS)
+            .withColumn("weight", F.lit(max(n / TRAIN_ROWS, 1.0)))
+            for v, n in counts.items()
+        ]
+        drawn = with_rates(sample[0].unionByName(sample[1]), tables, apart=True)
+        train = stage(drawn.select("label", "weight", *FEATURES), "url-train")
         model = GBTClassifier(
-            maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", subsamplingRate=1.0
+            maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", weightCol="weight",
+            subsamplingRate=1.0, featureSubsetStrategy=SUBSET,
         ).fit(vectors.transform(train))
         scored = model.transform(vectors.transform(known)).withColumn(
             "score", vector_to_array("probability")[1]

@@ -223,6 +223,24 @@ def test_url_model_learns_labelled_urls(spark):
     assert right >= 0.9 * len(known)
 
 
+def test_url_rates_leave_out_the_own_fold(spark):
+    """A training row's rates come from other hosts only, all others from every host."""
+    rows = [("a", "s", 0, 1.0), ("b", "s", 0, 1.0), ("c", "s", 1, 0.0), ("d", "t", 2, 1.0)]
+    urls = spark.createDataFrame(rows, "host STRING, suffix STRING, fold INT, label DOUBLE")
+    tables = {"suffix": url_filter.sums(urls, "suffix")}
+    half, prior = url_filter.PRIOR / 2, url_filter.PRIOR
+    apart = {r.host: r.suffix_rate for r in url_filter.with_rates(urls, tables, True).collect()}
+    assert apart == {h: pytest.approx(v) for h, v in {"a": half / (1 + prior), "b": half / (1 + prior), "c": (2 + half) / (2 + prior), "d": 0.5}.items()}
+    whole = {r.host: r.suffix_rate for r in url_filter.with_rates(urls.drop("fold"), tables, False).collect()}
+    assert whole["a"] == whole["c"] == pytest.approx((2 + half) / (3 + prior))
+
+
+def test_url_scores_of_unruled_urls_differ(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = url_filter.judged(pages).select("judged.*").collect()
+    assert len({round(r.score, 6) for r in rows if r.rule is None}) > 2
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     return (
