@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as W
-from tallyline.llm.tables import small_batches
+from tallyline.llm.tables import few, small_batches
 from tallyline.sources.stage import stage
 
 SEQUENCE = 2048
@@ -388,11 +388,13 @@ def pack(cut: DataFrame) -> DataFrame:
     lengths = per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()
     places = Places.of(plan({r["length"]: r["n"] for r in lengths}))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")
+    # One row per task and length; pieces stay where they are while that is few.
+    offsets = stage(
+        per_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")),
+        "pack-offsets",
     )
     names = [c for c in cut.columns if c not in ("part", "local")]
-    numbered = cut.join(offsets, ["part", "length"]).select(
+    numbered = cut.join(few(offsets), ["part", "length"]).select(
         *names, (F.col("local") + F.col("earlier")).alias("number")
     )
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in numbered.schema if f.name != "number")
