@@ -53,7 +53,7 @@ def padded(x: np.ndarray, size: int) -> np.ndarray:
 
 def lengths(x: np.ndarray) -> np.ndarray:
     """Digits of each row without leading zeros."""
-    return len(x) - np.argmax((x != 0)[::-1], axis=0) * 1 - np.where(x.any(axis=0), 0, len(x))
+    return len(x) - np.argmax((x != 0)[::-1], axis=0) - np.where(x.any(axis=0), 0, len(x))
 
 
 def multiply(a: np.ndarray, b: np.ndarray, base: int) -> np.ndarray:
