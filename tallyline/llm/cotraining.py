@@ -59,6 +59,7 @@ MEMORY = 10  # of past steps
 SURE = float(np.log(0.95 / 0.05))
 LOST = 0.005
 HASHED = 1 << 16
+BLOCK = 1 << 18  # entries of sparse rows that are widened to doubles at a time
 DENSE = 138
 PENALTY = 1e-4
 VIEWS = ("text", "meta")
@@ -83,8 +84,7 @@ class Features:
 
     def odds(self, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
         """Raw log odds of the text view and of the metadata view."""
-        rows = np.repeat(np.arange(len(self)), self.gram_counts)
-        runs = np.bincount(rows, self.shares * weights.text[DENSE:][self.grams], len(self))
+        runs = Rows(self.grams, self.shares, self.gram_counts, HASHED).summed(weights.text[DENSE:])
         text = self.dense @ weights.text[:DENSE] + runs + weights.text_base
         return text, weights.meta[self.meta].sum(axis=1) + weights.meta_base
 
@@ -107,11 +107,12 @@ class Features:
             data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
             return data.view(kind), np.diff(ends)
 
+        # Places and shares stay narrow; they are widened block by block where they are used.
         grams, sizes = flat("grams", PLACE)
-        shares = flat("shares", SHARE)[0].astype(float)
+        shares = flat("shares", SHARE)[0].astype(np.float32)
         meta = flat("meta", PLACE)[0].reshape(batch.num_rows, -1)
         dense = flat("dense", "<f4")[0].reshape(batch.num_rows, DENSE).astype(float)
-        return cls(dense, grams.astype(np.int64), shares, sizes // 2, meta.astype(np.int64))
+        return cls(dense, grams, shares, sizes // 2, meta.astype(np.int64))
 
 
 BLOCKS = ("dense", "grams", "shares", "meta")
@@ -254,25 +255,55 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> Examples:
 
 @dataclass
 class Rows:
-    """Sparse rows of a view: places and values, and where each row starts."""
+    """Sparse rows of a view: places and values, and how many each row has.
+
+    A sample holds millions of entries: they stay as narrow as they come, and
+    arithmetic in doubles runs over blocks of whole rows of about ``BLOCK``
+    entries.  Sums are added up in the same order whatever the block.
+    """
 
     places: np.ndarray
     values: np.ndarray
     counts: np.ndarray
     size: int
 
-    def __post_init__(self) -> None:
-        self.full = np.flatnonzero(self.counts)
-        self.starts = (np.cumsum(self.counts) - self.counts)[self.full]
+    def blocks(self) -> Iterator[tuple[slice, slice]]:
+        """Rows and their entries."""
+        ends = np.append(0, np.cumsum(self.counts, dtype=np.int64))
+        row = 0
+        while row < len(self.counts):
+            last = max(int(np.searchsorted(ends, ends[row] + BLOCK, "right")) - 1, row + 1)
+            yield slice(row, last), slice(int(ends[row]), int(ends[last]))
+            row = last
+
+    def weighed(self, entries: slice, weights: np.ndarray) -> np.ndarray:
+        return self.values[entries] * weights[self.places[entries]]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         made = np.zeros(len(self.counts))
-        if len(self.full):
-            made[self.full] = np.add.reduceat(self.values * weights[self.places], self.starts)
+        for rows, entries in self.blocks():
+            counts = self.counts[rows]
+            full = np.flatnonzero(counts)
+            if len(full):
+                starts = (np.cumsum(counts) - counts)[full]
+                made[rows][full] = np.add.reduceat(self.weighed(entries, weights), starts)
+        return made
+
+    def summed(self, weights: np.ndarray) -> np.ndarray:
+        """``times``, each row's entries added one after the other."""
+        made = np.zeros(len(self.counts))
+        for rows, entries in self.blocks():
+            counts = self.counts[rows]
+            owner = np.repeat(np.arange(len(counts)), counts)
+            made[rows] = np.bincount(owner, self.weighed(entries, weights), len(counts))
         return made
 
     def gathered(self, by_row: np.ndarray) -> np.ndarray:
-        return np.bincount(self.places, np.repeat(by_row, self.counts) * self.values, self.size)
+        made = np.zeros(self.size)
+        for rows, entries in self.blocks():
+            given = np.repeat(by_row[rows], self.counts[rows]) * self.values[entries]
+            np.add.at(made, self.places[entries].astype(np.intp), given)
+        return made
 
 
 def view_rows(made: Features, view: str) -> tuple[np.ndarray, Rows]:
