@@ -75,7 +75,8 @@ def nul_audit(spark, sf_dir):
 @query("sink_nul_audit", ORACLES["nul_audit"])
 def sink_nul_audit(spark, sf_dir):
     """NUL occurrences written in block buckets and read back, raw bytes as they are."""
-    rows = with_sql(_occurrences(spark, sf_dir), {"block_bucket": "block div 100"})
+    segments = ledger_segments(spark, sf_dir)
+    rows = _occurrences(spark, sf_dir).withColumn("block_bucket", segments.of())
     back = write_and_read(rows, new_path(spark, "nul-audit"), "block_bucket")
     return back.selectExpr(
         "block", *keys("block_hash", "tx_hash"), "ordinal", *keys("token"), "field",

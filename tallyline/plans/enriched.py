@@ -21,11 +21,15 @@ from tallyline.plans.values import (
     metadata_for,
     segmented_events,
 )
-from tallyline.sources.ledger import LEDGER_SQL, segmented_ledger
+from tallyline.sources.ledger import LEDGER_SQL, ledger_segments, segmented_ledger
 from tallyline.sources.sinks import write_and_read
 from tallyline.sources.stage import new_path, stage
 
-BUCKET = "block div 100"
+
+def with_bucket(spark, sf_dir, rows):
+    """Block buckets planned from the rows: a fixed number of blocks would make
+    more folders and files, of a few rows each, the longer the ledger is."""
+    return rows.withColumn("block_bucket", ledger_segments(spark, sf_dir).of())
 
 
 @query(
@@ -251,9 +255,7 @@ def shown(rows):
 @query("sink_reducer_inputs", ORACLES["enriched_ledger"])
 def sink_reducer_inputs(spark, sf_dir):
     """Nested enriched records written in block buckets, read back and flattened."""
-    records = with_sql(
-        E.enriched_records(enriched_rows(spark, sf_dir)), {"block_bucket": BUCKET}
-    )
+    records = with_bucket(spark, sf_dir, E.enriched_records(enriched_rows(spark, sf_dir)))
     back = write_and_read(records, new_path(spark, "reducer-inputs"), "block_bucket")
     flat = back.selectExpr(
         "block_ref.number AS block", "log_ref.ordinal AS ordinal", "kind", "source",
@@ -333,5 +335,5 @@ def state_probe(spark, sf_dir):
 @query("sink_state_probe", ORACLES["state_probe"])
 def sink_state_probe(spark, sf_dir):
     """The state probe written in block buckets and read back."""
-    rows = with_sql(state_probe(spark, sf_dir), {"block_bucket": BUCKET})
+    rows = with_bucket(spark, sf_dir, state_probe(spark, sf_dir))
     return write_and_read(rows, new_path(spark, "state-probe"), "block_bucket").drop("block_bucket")
