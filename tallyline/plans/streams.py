@@ -37,10 +37,10 @@ def thirds(spark, sf_dir):
 )
 def stream_decode(spark, sf_dir):
     """The batch decode on a stream of landed ranges; appends exactly once."""
-    logs = encoded_logs(spark, sf_dir)
     root = new_path(spark, "stream-decode")
     for part in thirds(spark, sf_dir):
-        J.land(logs.where(part), f"{root}/landing")
+        logs = encoded_logs(spark, sf_dir, part=part)
+        J.land(logs, f"{root}/landing")
         source = J.landed(spark, f"{root}/landing", logs.schema)
         decoded = decode(source, ["fee", "tick"]).select(
             "block", "ordinal", "source", "kind", "tick"
@@ -120,12 +120,12 @@ def stream_totals(spark, sf_dir):
 
 
 def enriched_job(spark, sf_dir, order=range(RANGES)):
-    logs = encoded_logs(spark, sf_dir)
     root = new_path(spark, "stream-enriched")
     job = EnrichedJob(spark, root, lambda events: metadata_for(spark, sf_dir, events))
     parts = thirds(spark, sf_dir)
     for i in order:
-        J.land(logs.where(parts[i]), f"{root}/landing")
+        logs = encoded_logs(spark, sf_dir, part=parts[i])
+        J.land(logs, f"{root}/landing")
         source = J.landed(spark, f"{root}/landing", logs.schema)
         J.run_available(source, f"{root}/checkpoint", job.process)
     return job

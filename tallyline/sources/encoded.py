@@ -8,7 +8,7 @@ address, and spreads blocks over the sources' start blocks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyline.functions import words as W
 from tallyline.operators.fold import with_sql
@@ -100,14 +100,19 @@ def encode_logs(ledger: DataFrame, dirty: bool = False) -> DataFrame:
         "ordinal": "ordinal",
     }
     # A generator hands on finished columns: filters of the decode stay above
-    # it, as they would above a stored log table.
-    parts = ", ".join(f"'{name}', {sql}" for name, sql in columns.items())
-    return ledger.selectExpr(f"inline(array(named_struct({parts})))")
-
-
-def encoded_logs(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    events = spread(event_rows(spark, sf_dir), "event_id")
-    return encode_logs(ledger_columns(events), dirty)
+    # it, as they would above a stored log table.  The columns are made below
+    # it, in generated code; a generator evaluates its own expressions node by node.
+    finished = ledger.selectExpr(*(f"{sql} AS {name}" for name, sql in columns.items()))
+    parts = ", ".join(f"'{name}', {name}" for name in columns)
+    return finished.selectExpr(f"inline(array(named_struct({parts})))")
+
+
+def encoded_logs(
+    spark: SparkSession, sf_dir: str, dirty: bool = False, part: Column | None = None
+) -> DataFrame:
+    """All logs, or those of the ledger rows in ``part``: only these are encoded."""
+    rows = ledger_columns(spread(event_rows(spark, sf_dir), "event_id"))
+    return encode_logs(rows if part is None else rows.where(part), dirty)
 
 
 def token_calls(spark: SparkSession, sf_dir: str, wanted: DataFrame) -> DataFrame:
