@@ -47,7 +47,8 @@ SEQUENCE = 2048
 RESERVES = (0.01, 0.05)  # shares of all tokens
 UNDONE = (0, 0.25, 0.5)  # shares of the exact fills
 END = 0
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
+LEARNT = 10_000  # words that go to the tokenizer at a time: an encoding takes about a kilobyte
 PIECE = "piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT"
 
 
@@ -122,8 +123,10 @@ class WordEncoder:
                 rest.append(word)
             else:
                 self.known[word] = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
-        coded = self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)
-        self.known.update((w, array("I", c.ids).tobytes()) for w, c in zip(rest, coded, strict=True))
+        for begin in range(0, len(rest), LEARNT):
+            some = rest[begin : begin + LEARNT]
+            coded = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
+            self.known.update((w, array("I", c.ids).tobytes()) for w, c in zip(some, coded, strict=True))
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         source = W.texts(texts, lower=True)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_IDS = 1_000_000
-ARROW_ROWS = 2_000
+ARROW_ROWS = 500
+ARROW_BYTES = 4 << 20
+SCAN_ROWS = 1_024
 
 
 def few(ids: DataFrame) -> DataFrame:
@@ -15,8 +17,14 @@ def few(ids: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole texts travel to Python: fewer rows a batch than Spark's default, which suits numbers."""
+    """Whole texts are read and travel to Python: fewer rows a batch than Spark's defaults, which suit numbers.
+
+    A batch is held several times over, in the JVM's heap, outside it and in the
+    Python worker, by every task of an executor; a long session keeps the largest.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
 
 
 def fresh(df: DataFrame, name: str) -> str:
