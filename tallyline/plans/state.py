@@ -354,5 +354,6 @@ def state_at(spark, sf_dir):
     rows = pool_ledger(spark, sf_dir)
     values = {"tick": Narrow, "price": Narrow, "tx_count": Narrow, "liquidity": Narrow}
     index = StateIndex(new_path(spark, "state-index"), {"pool": "BIGINT"}, values, width=50)
-    index.write(stage(pool_states(rows), "indexed-states"))
+    states = pool_states(rows).select("pool", *ORDER, *(f"{v}_after" for v in values))
+    index.write(stage(states, "indexed-states"))
     return index.at(rows.select("pool", F.expr("block - 7 AS block")).distinct())
